@@ -27,7 +27,7 @@ from shopsight.operators import (
 from shopsight.plans import customers as customer_plan
 from shopsight.plans import pipeline
 from shopsight.sources import catalog, outputs, paths, tables
-from shopsight.sources.scratch import materialize, new_path
+from shopsight.sources.scratch import new_path
 
 Query = Callable[[Model], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -186,12 +186,12 @@ def dq_row_counts(m: Model) -> DataFrame:
     return quality.row_counts(m.dirty)
 
 
+def _some(m: Model, *names: str) -> dict[str, DataFrame]:
+    return {t: m.dirty[t] for t in names}
+
+
 def _key_report(m: Model, check: str) -> DataFrame:
-    frames = [quality.key_checks(t, m.dirty[t]) for t in ("users", "orders", "order_items", "products")]
-    merged = frames[0]
-    for frame in frames[1:]:
-        merged = merged.unionByName(frame)
-    return quality.only(merged, check)
+    return quality.only(quality.key_checks(_some(m, "users", "orders", "order_items", "products")), check)
 
 
 @query
@@ -205,11 +205,7 @@ def dq_conflicting_keys(m: Model) -> DataFrame:
 
 
 def _column_report(m: Model, check: str, names: tuple[str, ...]) -> DataFrame:
-    merged = None
-    for name in names:
-        rows = quality.only(quality.column_checks(name, m.dirty[name]), check)
-        merged = rows if merged is None else merged.unionByName(rows)
-    return merged
+    return quality.only(quality.column_checks(_some(m, *names)), check)
 
 
 @query
@@ -229,16 +225,12 @@ def dq_negative_values(m: Model) -> DataFrame:
 
 @query
 def dq_orphan_keys(m: Model) -> DataFrame:
-    merged = None
-    for fk in quality.FOREIGN_KEYS:
-        rows = quality.orphans(m.dirty, fk)
-        merged = rows if merged is None else merged.unionByName(rows)
-    return merged
+    return quality.finish(quality.orphans(m.dirty))
 
 
 @query
 def dq_owner_mismatch(m: Model) -> DataFrame:
-    return quality.owner_mismatch(m.dirty["order_items"], m.dirty["orders"])
+    return quality.finish(quality.owner_mismatch(m.dirty["order_items"], m.dirty["orders"]))
 
 
 @query
@@ -381,7 +373,7 @@ def _features(m: Model) -> DataFrame:
 
 
 def _stored_features(m: Model) -> DataFrame:
-    return materialize(_features(m), "churn-features")
+    return churn_model.training_table(_features(m))
 
 
 @query

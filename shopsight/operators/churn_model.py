@@ -23,6 +23,7 @@ from shopsight.contracts import (
     TEST_SHARE,
 )
 from shopsight.operators import ranking
+from shopsight.sources.scratch import materialize
 
 LOGISTIC = "Logistic Regression"
 FOREST = "Random Forest"
@@ -47,6 +48,11 @@ class ChurnModels:
         return self.models[self.best_name]
 
 
+def training_table(features: DataFrame) -> DataFrame:
+    """The features stored once, spread over all cores and in a fixed order."""
+    return materialize(features, "churn-features", spread_by="user_id")
+
+
 def split_key(seed: int) -> Column:
     return F.xxhash64(F.lit(seed), F.col("user_id"))
 
@@ -146,6 +152,7 @@ def fit_forest(train: DataFrame, columns: list[str], trees: int = 200, depth: in
             maxDepth=depth,
             featureSubsetStrategy="sqrt",
             maxMemoryInMB=1024,
+            cacheNodeIds=True,
             seed=SEED,
         ),
     ).fit(weighted)
@@ -189,7 +196,7 @@ def evaluate(model: PipelineModel, test: DataFrame) -> dict[str, float]:
 def train_churn_models(features: DataFrame, columns: list[str] = CHURN_FEATURES, trees: int = 200) -> ChurnModels:
     """Fit both models on the training part and evaluate on the rest.
 
-    `features` is read by every stage: pass a stored table.
+    `features` is read by every stage: pass a `training_table`.
     """
     check_training_data(features)
     available = [c for c in columns if c in features.columns]
@@ -248,8 +255,8 @@ def generate_churn_predictions(features: DataFrame, model: PipelineModel) -> Dat
     The risk level uses the unrounded probability.
     """
     scored = model.transform(prepared(features, input_columns(model)))
-    probability = vector_to_array("probability")[1]
-    return scored.select(
+    probability = F.col("_probability")
+    return scored.select("user_id", "prediction", vector_to_array("probability")[1].alias("_probability")).select(
         F.col("user_id").alias("customer_id"),
         F.round(probability, 4).alias("churn_probability"),
         F.col("prediction").cast("bigint").alias("churn_prediction"),

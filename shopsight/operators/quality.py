@@ -2,13 +2,19 @@
 
 Every check yields rows (table_name, check_name, column_name, severity, n_bad,
 pct). An `issue` fails validation when n_bad is positive; a `warning` does not.
-Each table is read once for its column checks and once, reduced to key, count
-and row fingerprint, for its key checks.
+
+A family of checks is one aggregation over all tables together, not a job per
+check: columns are flagged in a scan and summed per table; keys are reduced to
+counts and row fingerprints; references are settled by grouping child and parent
+keys together. Everything is combined on the map side, so a repeated key or a
+heavily referenced parent does not gather in one task.
 """
 
 from __future__ import annotations
 
 from functools import reduce
+from itertools import chain
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,61 +34,128 @@ from shopsight.functions.money import ratio
 from shopsight.operators.ranking import first_per_key
 
 ISSUE, WARNING = "issue", "warning"
-CHECK_COLUMNS = ["table_name", "check_name", "column_name", "severity", "n_bad", "pct"]
+CHECK_COLUMNS = ["table_name", "check_name", "column_name", "severity", "n_bad"]
 RELATIONS = "references"
 
+Tables = dict[str, DataFrame]
+
+
+class ColumnCheck(NamedTuple):
+    check: str
+    column: str
+    severity: str
+    bad: Column
+
 
 def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def _check(name: str, column: str | None, severity: str, n_bad: Column, rows: Column) -> Column:
+def _types(df: DataFrame) -> dict:
+    return {f.name: f.dataType for f in df.schema}
+
+
+def _common_type(*columns: tuple[DataFrame, str]) -> str:
+    """Type to compare key columns in: their own if all are equal, else text."""
+    types = {df.schema[c].dataType.simpleString() for df, c in columns}
+    return types.pop() if len(types) == 1 else "string"
+
+
+def _check(name: str, column: Column, severity: str, n_bad: Column) -> Column:
     return F.struct(
         F.lit(name).alias("check_name"),
-        F.lit(column).cast("string").alias("column_name"),
+        column.cast("string").alias("column_name"),
         F.lit(severity).alias("severity"),
         n_bad.cast("bigint").alias("n_bad"),
-        (ratio(n_bad.cast("bigint"), rows, 3) * 100).alias("pct"),
     )
 
 
-def _as_rows(table: str, counted: DataFrame, checks: list[Column]) -> DataFrame:
-    return counted.select(F.lit(table).alias("table_name"), F.inline(F.array(*checks))).select(*CHECK_COLUMNS)
+def finish(checks: DataFrame) -> DataFrame:
+    """Check rows with the share of bad rows in percent."""
+    return checks.select(*CHECK_COLUMNS, (ratio(F.col("n_bad"), F.col("rows"), 3) * 100).alias("pct"))
 
 
-def _types(df: DataFrame) -> dict:
-    return {f.name: f.dataType for f in df.schema}
+# --- columns ----------------------------------------------------------------
 
 
 def missing_columns(table: str, df: DataFrame) -> list[str]:
     return [c for c in RAW_COLUMNS.get(table, []) if c not in df.columns]
 
 
-def bad_dates(df: DataFrame, column: str) -> Column:
-    parsed = parsing.timestamp(column, _types(df)[column])
-    return F.count_if(F.col(column).isNotNull() & parsed.isNull())
-
+def planned_column_checks(table: str, df: DataFrame) -> list[ColumnCheck]:
+    types = _types(df)
 
-def negatives(df: DataFrame, column: str) -> Column:
-    return F.count_if(parsing.number(column, _types(df)[column]) < 0)
+    def present(columns: dict[str, list[str]]) -> list[str]:
+        return [c for c in columns.get(table, []) if c in types]
 
-
-def column_checks(table: str, df: DataFrame) -> DataFrame:
-    """Missing columns, emptiness, null keys, bad dates and negative numbers in one aggregate."""
-    plans: list[tuple[str, str | None, str, Column]] = [("empty_table", None, ISSUE, None)]
-    plans += [("missing_column", c, ISSUE, F.lit(1)) for c in missing_columns(table, df)]
-    plans += [
-        ("null_key", c, WARNING, F.count_if(F.col(c).isNull())) for c in NOT_NULL.get(table, []) if c in df.columns
+    checks = [ColumnCheck("null_key", c, WARNING, F.col(c).isNull()) for c in present(NOT_NULL)]
+    checks += [
+        ColumnCheck("bad_date", c, WARNING, F.col(c).isNotNull() & parsing.timestamp(c, types[c]).isNull())
+        for c in present(DATES)
     ]
-    plans += [("bad_date", c, WARNING, bad_dates(df, c)) for c in DATES.get(table, []) if c in df.columns]
-    plans += [("negative_value", c, WARNING, negatives(df, c)) for c in NON_NEGATIVE.get(table, []) if c in df.columns]
-    measures = [measure.alias(f"m{i}") for i, (_, _, _, measure) in enumerate(plans) if i > 0]
-    counted = df.agg(F.count("*").alias("rows"), *measures)
-    checks = [
-        _check(name, column, severity, F.col(f"m{i}") if i else (F.col("rows") == 0).cast("bigint"), F.col("rows"))
-        for i, (name, column, severity, _) in enumerate(plans)
+    checks += [
+        ColumnCheck("negative_value", c, WARNING, F.coalesce(parsing.number(c, types[c]) < 0, F.lit(False)))
+        for c in present(NON_NEGATIVE)
     ]
-    return _as_rows(table, counted, checks)
+    return checks
+
+
+def column_checks(tables: Tables) -> DataFrame:
+    """Missing columns, emptiness, null keys, bad dates and negative numbers."""
+    spark = next(iter(tables.values())).sparkSession
+    planned = {t: planned_column_checks(t, df) for t, df in tables.items()}
+    width = max(len(checks) for checks in planned.values())
+    slots = [f"f{i}" for i in range(width)]
+
+    def flags(checks: list[ColumnCheck]) -> list[Column]:
+        bad = [c.bad.cast("int") for c in checks] + [F.lit(0)] * (width - len(checks))
+        return [b.alias(s) for b, s in zip(bad, slots)]
+
+    flagged = [df.select(F.lit(t).alias("table_name"), F.lit(1).alias("row"), *flags(planned[t])) for t, df in tables.items()]
+    # A table without rows still gets its result row.
+    present = spark.range(1).select(
+        F.explode(F.array(*[F.lit(t) for t in tables])).alias("table_name"), F.lit(0).alias("row"), *flags([])
+    )
+    counted = (
+        _union([*flagged, present])
+        .groupBy("table_name")
+        .agg(F.sum("row").alias("rows"), *[F.sum(s).alias(s) for s in slots])
+    )
+    names = F.create_map(
+        *chain.from_iterable(
+            (
+                F.lit(t),
+                F.array(*[F.struct(F.lit(c.check).alias("check"), F.lit(c.column).alias("column")) for c in checks])
+                if checks
+                else F.array().cast("array<struct<check:string,column:string>>"),
+            )
+            for t, checks in planned.items()
+        )
+    )
+    absent = F.create_map(
+        *chain.from_iterable(
+            (F.lit(t), F.array(*[F.lit(c) for c in missing_columns(t, df)]).cast("array<string>"))
+            for t, df in tables.items()
+        )
+    )
+    sums = F.array(*[F.col(s) for s in slots])
+    measured = F.transform(
+        names[F.col("table_name")],
+        lambda c, i: F.struct(
+            c["check"].alias("check_name"),
+            c["column"].alias("column_name"),
+            F.lit(WARNING).alias("severity"),
+            F.get(sums, i).alias("n_bad"),
+        ),
+    )
+    missing = F.transform(
+        absent[F.col("table_name")], lambda c: _check("missing_column", c, ISSUE, F.lit(1))
+    )
+    empty = F.array(_check("empty_table", F.lit(None), ISSUE, F.col("rows") == 0))
+    return counted.select("table_name", "rows", F.inline(F.concat(empty, missing, measured)))
+
+
+# --- keys -------------------------------------------------------------------
 
 
 def _fingerprint(df: DataFrame, key: str, salt: int) -> Column:
@@ -92,80 +165,86 @@ def _fingerprint(df: DataFrame, key: str, salt: int) -> Column:
     return F.xxhash64(F.lit(salt), *parts)
 
 
-def key_groups(df: DataFrame, key: str) -> DataFrame:
-    """Rows per key and whether they differ, by 128 bits of row hash.
-
-    Only counts and hash bounds are shuffled, combined on the map side.
-    """
-    low, high = _fingerprint(df, key, 1), _fingerprint(df, key, 2)
-    grouped = (
-        df.select(F.col(key).alias("key"), low.alias("h1"), high.alias("h2"))
-        .groupBy("key")
-        .agg(
-            F.count("*").alias("copies"),
-            F.min("h1").alias("l1"),
-            F.max("h1").alias("u1"),
-            F.min("h2").alias("l2"),
-            F.max("h2").alias("u2"),
-        )
-    )
-    differ = (F.col("l1") != F.col("u1")) | (F.col("l2") != F.col("u2"))
-    return grouped.select("key", "copies", differ.alias("conflicting"))
-
-
-def key_checks(table: str, df: DataFrame) -> DataFrame | None:
+def key_checks(tables: Tables) -> DataFrame:
     """Repeated rows per primary key, and keys whose rows disagree.
 
-    When any key conflicts, the repeats are reported as part of that issue.
+    Rows are compared by 128 bits of row hash; only counts and hash bounds are
+    shuffled. When any key conflicts, the repeats are part of that issue.
     """
-    key = PRIMARY_KEYS.get(table)
-    if key is None or key not in df.columns:
-        return None
-    counted = key_groups(df, key).agg(
-        F.coalesce(F.sum("copies"), F.lit(0)).alias("rows"),
-        F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("repeats"),
-        F.count_if("conflicting").alias("conflicts"),
-    )
-    return _as_rows(
-        table,
-        counted,
+    keyed = {t: PRIMARY_KEYS[t] for t, df in tables.items() if PRIMARY_KEYS.get(t) in df.columns}
+    dtype = _common_type(*[(tables[t], key) for t, key in keyed.items()])
+    rows = _union(
         [
-            _check("duplicate_key", key, WARNING, F.col("repeats"), F.col("rows")),
-            _check("conflicting_key", key, ISSUE, F.col("conflicts"), F.col("rows")),
-        ],
+            tables[t].select(
+                F.lit(t).alias("table_name"),
+                F.lit(key).alias("key_name"),
+                F.col(key).cast(dtype).alias("key"),
+                _fingerprint(tables[t], key, 1).alias("h1"),
+                _fingerprint(tables[t], key, 2).alias("h2"),
+            )
+            for t, key in keyed.items()
+        ]
     )
+    groups = rows.groupBy("table_name", "key_name", "key").agg(
+        F.count("*").alias("copies"),
+        F.min("h1").alias("l1"),
+        F.max("h1").alias("u1"),
+        F.min("h2").alias("l2"),
+        F.max("h2").alias("u2"),
+    )
+    conflicting = (F.col("l1") != F.col("u1")) | (F.col("l2") != F.col("u2"))
+    counted = groups.groupBy("table_name", "key_name").agg(
+        F.sum("copies").alias("rows"),
+        F.sum(F.col("copies") - 1).alias("repeats"),
+        F.count_if(conflicting).alias("conflicts"),
+    )
+    checks = F.array(
+        _check("duplicate_key", F.col("key_name"), WARNING, F.col("repeats")),
+        _check("conflicting_key", F.col("key_name"), ISSUE, F.col("conflicts")),
+    )
+    return counted.select("table_name", "rows", F.inline(checks))
 
 
-def _common_type(left: DataFrame, left_column: str, right: DataFrame, right_column: str) -> str:
-    """Type to compare two key columns in: their own if equal, else text."""
-    types = {df.schema[c].dataType.simpleString() for df, c in ((left, left_column), (right, right_column))}
-    return types.pop() if len(types) == 1 else "string"
+# --- references -------------------------------------------------------------
 
 
-def orphans(tables: dict[str, DataFrame], fk: ForeignKey) -> DataFrame:
-    """Child rows without a parent; children are counted per key before the join.
+def orphans(tables: Tables, keys: list[ForeignKey] = FOREIGN_KEYS) -> DataFrame:
+    """Child rows without a parent, by grouping child and parent keys together.
 
     A NULL child key has a parent only if some parent key is NULL.
     """
-    dtype = _common_type(tables[fk.child], fk.child_column, tables[fk.parent], fk.parent_column)
-    children = tables[fk.child].groupBy(F.col(fk.child_column).cast(dtype).alias("child_key")).agg(
-        F.count("*").alias("n")
+    sides = [(tables[fk.child], fk.child_column) for fk in keys] + [(tables[fk.parent], fk.parent_column) for fk in keys]
+    dtype = _common_type(*sides)
+
+    def side(df: DataFrame, column: str, label: str, is_child: int) -> DataFrame:
+        return df.select(
+            F.lit(label).alias("label"),
+            F.col(column).cast(dtype).alias("key"),
+            F.lit(is_child).alias("child"),
+            F.lit(1 - is_child).alias("parent"),
+        )
+
+    both = []
+    for fk in keys:
+        label = f"{fk.child}.{fk.child_column}"
+        both.append(side(tables[fk.child], fk.child_column, label, 1))
+        both.append(side(tables[fk.parent], fk.parent_column, label, 0))
+    met = _union(both).groupBy("label", "key").agg(F.sum("child").alias("children"), F.max("parent").alias("parent"))
+    counted = met.groupBy("label").agg(
+        F.sum("children").alias("rows"),
+        F.sum(F.when(F.col("parent") == 0, F.col("children")).otherwise(0)).alias("bad"),
     )
-    parents = tables[fk.parent].select(F.col(fk.parent_column).cast(dtype).alias("parent_key")).distinct()
-    counted = children.join(
-        parents.withColumn("found", F.lit(True)), F.col("child_key").eqNullSafe(F.col("parent_key")), "left"
-    ).agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
-        F.coalesce(F.sum(F.when(F.col("found").isNull(), F.col("n"))), F.lit(0)).alias("bad"),
+    return counted.select(
+        F.lit(RELATIONS).alias("table_name"),
+        "rows",
+        F.inline(F.array(_check("orphan_key", F.col("label"), ISSUE, F.col("bad")))),
     )
-    label = f"{fk.child}.{fk.child_column}"
-    return _as_rows(RELATIONS, counted, [_check("orphan_key", label, ISSUE, F.col("bad"), F.col("rows"))])
 
 
 def owner_mismatch(items: DataFrame, orders: DataFrame) -> DataFrame:
     """Item rows whose customer is not the customer of their order."""
-    order_type = _common_type(items, "order_id", orders, "order_id")
-    user_type = _common_type(items, "user_id", orders, "user_id")
+    order_type = _common_type((items, "order_id"), (orders, "order_id"))
+    user_type = _common_type((items, "user_id"), (orders, "user_id"))
     tie_break = ["created_at", "user_id"] if "created_at" in orders.columns else ["user_id"]
     owners = first_per_key(orders.select("order_id", *tie_break), "order_id", tie_break).select(
         F.col("order_id").cast(order_type), F.col("user_id").cast(user_type).alias("owner")
@@ -177,51 +256,60 @@ def owner_mismatch(items: DataFrame, orders: DataFrame) -> DataFrame:
         F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
         F.coalesce(F.sum(F.when(F.col("owner") != F.col("user_id"), F.col("n"))), F.lit(0)).alias("bad"),
     )
-    return _as_rows(
-        RELATIONS, counted, [_check("owner_mismatch", "order_items.user_id", ISSUE, F.col("bad"), F.col("rows"))]
+    return counted.select(
+        F.lit(RELATIONS).alias("table_name"),
+        "rows",
+        F.inline(F.array(_check("owner_mismatch", F.lit("order_items.user_id"), ISSUE, F.col("bad")))),
     )
 
 
-def reference_checks(tables: dict[str, DataFrame]) -> list[DataFrame]:
+def reference_checks(tables: Tables) -> list[DataFrame]:
     def has(table: str, *columns: str) -> bool:
         return table in tables and all(c in tables[table].columns for c in columns)
 
-    checks = [
-        orphans(tables, fk)
-        for fk in FOREIGN_KEYS
-        if has(fk.child, fk.child_column) and has(fk.parent, fk.parent_column)
-    ]
+    checkable = [fk for fk in FOREIGN_KEYS if has(fk.child, fk.child_column) and has(fk.parent, fk.parent_column)]
+    checks = [orphans(tables, checkable)] if checkable else []
     if has("order_items", "order_id", "user_id") and has("orders", "order_id", "user_id"):
         checks.append(owner_mismatch(tables["order_items"], tables["orders"]))
     return checks
 
 
-def missing_tables(tables: dict[str, DataFrame], required: list[str] = RAW_TABLES) -> list[str]:
+# --- reports ----------------------------------------------------------------
+
+
+def missing_tables(tables: Tables, required: list[str] = RAW_TABLES) -> list[str]:
     return [t for t in required if t not in tables]
 
 
-def quality_report(tables: dict[str, DataFrame], required: list[str] = RAW_TABLES) -> DataFrame:
-    """All check rows of a table set."""
+def all_checks(tables: Tables, required: list[str] = RAW_TABLES) -> DataFrame:
+    """Check rows with the row count they refer to."""
     spark = next(iter(tables.values())).sparkSession
-    frames: list[DataFrame] = []
-    for table, df in tables.items():
-        frames.append(column_checks(table, df))
-        keys = key_checks(table, df)
-        if keys is not None:
-            frames.append(keys)
-    frames += reference_checks(tables)
+    frames = [column_checks(tables), key_checks(tables), *reference_checks(tables)]
     frames += [
-        _as_rows(t, spark.range(1), [_check("missing_table", None, ISSUE, F.lit(1), F.lit(0))])
+        spark.range(1).select(
+            F.lit(t).alias("table_name"),
+            F.lit(0).cast("bigint").alias("rows"),
+            F.inline(F.array(_check("missing_table", F.lit(None), ISSUE, F.lit(1)))),
+        )
         for t in missing_tables(tables, required)
     ]
     return _union(frames)
 
 
+def quality_report(tables: Tables, required: list[str] = RAW_TABLES) -> DataFrame:
+    """All check rows of a table set."""
+    return finish(all_checks(tables, required))
+
+
 def passed(report: DataFrame) -> bool:
     return report.filter((F.col("severity") == ISSUE) & (F.col("n_bad") > 0)).isEmpty()
 
 
-def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
+def only(checks: DataFrame, *names: str) -> DataFrame:
+    return finish(checks.filter(F.col("check_name").isin(*names)))
+
+
+def row_counts(tables: Tables) -> DataFrame:
     return _union(
         [
             df.agg(F.count("*").alias("row_count")).select(
@@ -232,11 +320,12 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def required_columns(tables: dict[str, DataFrame]) -> DataFrame:
+def required_columns(tables: Tables) -> DataFrame:
     """One row per missing required column, with the rows it concerns."""
     frames = [
-        df.agg(F.count("*").alias("row_count"))
-        .select(F.lit(t).alias("table_name"), F.explode(F.array(*[F.lit(c) for c in missing])).alias("column_name"), "row_count")
+        df.agg(F.count("*").alias("row_count")).select(
+            F.lit(t).alias("table_name"), F.explode(F.array(*[F.lit(c) for c in missing])).alias("column_name"), "row_count"
+        )
         for t, df in tables.items()
         if (missing := missing_columns(t, df))
     ]
@@ -246,37 +335,29 @@ def required_columns(tables: dict[str, DataFrame]) -> DataFrame:
     return _union(frames)
 
 
-def only(report: DataFrame, *checks: str) -> DataFrame:
-    return report.filter(F.col("check_name").isin(*checks))
-
-
-def summary(tables: dict[str, DataFrame], required: list[str] = RAW_TABLES) -> DataFrame:
+def summary(tables: Tables, required: list[str] = RAW_TABLES) -> DataFrame:
     """Per table: rows, columns, failed issues, raised warnings, status."""
-    report = quality_report(tables, required)
     failed = F.col("n_bad") > 0
     conflicts = F.max((F.col("check_name") == "conflicting_key") & failed)
-    repeated_only = (F.col("check_name") == "duplicate_key") & failed
-    per_table = report.groupBy("table_name").agg(
-        F.count_if(failed & (F.col("severity") == ISSUE)).alias("issues"),
-        # Repeats of conflicting keys are part of that issue, not a warning of their own.
-        (
-            F.count_if(failed & (F.col("severity") == WARNING))
-            - F.when(conflicts, F.count_if(repeated_only)).otherwise(F.lit(0))
-        ).alias("warnings"),
-    )
-    sizes = _union(
-        [
-            df.agg(F.count("*").alias("row_count")).select(
-                F.lit(t).alias("table_name"), "row_count", F.lit(len(df.columns)).cast("bigint").alias("column_count")
-            )
-            for t, df in tables.items()
-        ]
-    )
-    return per_table.join(sizes, "table_name", "left").select(
-        "table_name",
-        F.coalesce("row_count", F.lit(0)).alias("row_count"),
-        F.coalesce("column_count", F.lit(0)).alias("column_count"),
-        "issues",
-        "warnings",
-        F.when(F.col("issues") == 0, "PASS").otherwise("FAIL").alias("status"),
+    repeated = F.count_if((F.col("check_name") == "duplicate_key") & failed)
+    widths = F.create_map(*chain.from_iterable((F.lit(t), F.lit(len(df.columns))) for t, df in tables.items()))
+    return (
+        all_checks(tables, required)
+        .groupBy("table_name")
+        .agg(
+            F.max(F.when(F.col("table_name") == RELATIONS, 0).otherwise(F.col("rows"))).alias("row_count"),
+            F.count_if(failed & (F.col("severity") == ISSUE)).alias("issues"),
+            # Repeats of conflicting keys are part of that issue, not a warning of their own.
+            (
+                F.count_if(failed & (F.col("severity") == WARNING)) - F.when(conflicts, repeated).otherwise(F.lit(0))
+            ).alias("warnings"),
+        )
+        .select(
+            "table_name",
+            "row_count",
+            F.coalesce(F.try_element_at(widths, F.col("table_name")), F.lit(0)).cast("bigint").alias("column_count"),
+            "issues",
+            "warnings",
+            F.when(F.col("issues") == 0, "PASS").otherwise("FAIL").alias("status"),
+        )
     )

@@ -40,6 +40,12 @@ class PipelineResult:
     status: DataFrame | None = field(default=None)
 
 
+def staged(spark: SparkSession, raw_dir: str) -> dict[str, DataFrame]:
+    """Raw tables; CSV, which would be parsed anew by every check, is stored as Parquet."""
+    raw = tables.load_all_tables(spark, raw_dir)
+    return {t: materialize(df, t) if tables.detect_format(spark, t, raw_dir) == "csv" else df for t, df in raw.items()}
+
+
 def clean_tables(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Cleaned tables; those with several readers are stored as Parquet."""
     clean = clean_all(raw)
@@ -62,7 +68,7 @@ def compute_outputs(clean: dict[str, DataFrame], trees: int = 200) -> PipelineRe
     rfm = materialize(customers.segmented(activity), "rfm")
     profile = materialize(customers.full_profile(activity, users, rfm), "profile")
 
-    features = materialize(churn_features.build_churn_features(orders, items, users), "churn-features")
+    features = churn_model.training_table(churn_features.build_churn_features(orders, items, users))
     trained = churn_model.train_churn_models(features, trees=trees)
 
     results = {
@@ -89,7 +95,7 @@ def run(
     """Load, validate, clean, compute, publish. Nothing is written on failure."""
     tune(spark)
     logger.info("Loading and validating %s", raw_dir)
-    raw = tables.load_all_tables(spark, raw_dir)
+    raw = staged(spark, raw_dir)
     validate(raw)
     logger.info("Cleaning")
     clean = clean_tables(raw)
