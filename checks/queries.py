@@ -115,10 +115,10 @@ def sink_parquet_roundtrip(m: Model) -> DataFrame:
 
 @query
 def sink_publish(m: Model) -> DataFrame:
-    result = pipeline.compute_outputs(
-        {"users": m.users, "orders": m.orders, "order_items": m.items, "products": m.products}
-    )
-    return outputs.publish_outputs(result.outputs, new_path(m.spark, "published"))
+    clean = {"users": m.users, "orders": m.orders, "order_items": m.items, "products": m.products}
+    with outputs.Staging(m.spark, new_path(m.spark, "published")) as staging:
+        pipeline.compute_outputs(clean, staging)
+        return staging.publish()
 
 
 @query

@@ -23,6 +23,7 @@ from shopsight.contracts import (
     TEST_SHARE,
 )
 from shopsight.operators import ranking
+from shopsight.sources.concurrent import run_all
 from shopsight.sources.scratch import materialize
 
 LOGISTIC = "Logistic Regression"
@@ -203,7 +204,10 @@ def train_churn_models(features: DataFrame, columns: list[str] = CHURN_FEATURES,
     train, test = (prepared(part, available) for part in stratified_split(features))
     train, test = train.persist(), test.persist()
     try:
-        models = {LOGISTIC: fit_logistic(train, available), FOREST: fit_forest(train, available, trees)}
+        models = run_all(
+            features.sparkSession,
+            {LOGISTIC: lambda: fit_logistic(train, available), FOREST: lambda: fit_forest(train, available, trees)},
+        )
         metrics = {name: evaluate(model, test) for name, model in models.items()}
     finally:
         train.unpersist()

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import argparse
 import logging
-from dataclasses import dataclass, field
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,6 +17,7 @@ from shopsight.operators.customers import clv_table
 from shopsight.plans import customers
 from shopsight.session import tune
 from shopsight.sources import catalog, outputs, tables
+from shopsight.sources.concurrent import run_all
 from shopsight.sources.scratch import materialize
 
 logger = logging.getLogger(__name__)
@@ -33,56 +34,83 @@ class ValidationFailed(ValueError):
         self.report = report
 
 
-@dataclass
-class PipelineResult:
-    outputs: dict[str, DataFrame]
+class PipelineResult(NamedTuple):
+    """Status rows of the published set, and the fitted churn models."""
+
+    status: DataFrame
     models: churn_model.ChurnModels
-    status: DataFrame | None = field(default=None)
 
 
 def staged(spark: SparkSession, raw_dir: str) -> dict[str, DataFrame]:
     """Raw tables; CSV, which would be parsed anew by every check, is stored as Parquet."""
     raw = tables.load_all_tables(spark, raw_dir)
-    return {t: materialize(df, t) if tables.detect_format(spark, t, raw_dir) == "csv" else df for t, df in raw.items()}
+    stored = run_all(
+        spark,
+        {
+            t: lambda t=t, df=df: materialize(df, t)
+            for t, df in raw.items()
+            if tables.detect_format(spark, t, raw_dir) == "csv"
+        },
+    )
+    return raw | stored
 
 
 def clean_tables(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Cleaned tables; those with several readers are stored as Parquet."""
     clean = clean_all(raw)
-    return {t: materialize(df, t) if t in STORED else df for t, df in clean.items()}
+    spark = next(iter(raw.values())).sparkSession
+    stored = run_all(spark, {t: lambda t=t: materialize(clean[t], t) for t in STORED})
+    return clean | stored
 
 
 def validate(raw: dict[str, DataFrame]) -> DataFrame:
+    """The stored check rows; raises when one of them fails validation."""
     report = materialize(quality.quality_report(raw), "quality")
     if not quality.passed(report):
         raise ValidationFailed(report)
     return report
 
 
-def compute_outputs(clean: dict[str, DataFrame], trees: int = 200) -> PipelineResult:
-    """All outputs as DataFrames; shared intermediate results are stored."""
+def compute_outputs(clean: dict[str, DataFrame], staging: outputs.Staging, trees: int = 200) -> churn_model.ChurnModels:
+    """Stage all outputs; independent ones side by side. Returns the fitted models."""
     users, orders = clean["users"], clean["orders"]
     items, products = clean["order_items"], clean["products"]
+    spark = orders.sparkSession
+
+    def customer_outputs() -> None:
+        activity = customers.stored_activity(orders, items)
+        rfm = staging.write("customer_rfm", customers.segmented(activity))
 
-    activity = customers.stored_activity(orders, items)
-    rfm = materialize(customers.segmented(activity), "rfm")
-    profile = materialize(customers.full_profile(activity, users, rfm), "profile")
+        def profile_outputs() -> None:
+            profile = staging.write("customer_segments", customers.full_profile(activity, users, rfm))
+            staging.write("clv", clv_table(profile))
 
-    features = churn_model.training_table(churn_features.build_churn_features(orders, items, users))
-    trained = churn_model.train_churn_models(features, trees=trees)
+        def recommendations() -> None:
+            staging.write("recommendations", recommend.build_recommendations(items, products, rfm))
 
-    results = {
-        "customer_rfm": rfm,
-        "customer_segments": profile,
-        "churn_predictions": churn_model.generate_churn_predictions(features, trained.best),
-        "churn_feature_importance": churn_model.feature_importance(trained.models[churn_model.FOREST], features),
-        "monthly_kpis": kpis.compute_monthly_kpis(orders, items),
-        "cohort_retention": kpis.compute_cohort_retention(orders),
-        "category_analytics": assortment.compute_category_analytics(items, products),
-        "recommendations": recommend.build_recommendations(items, products, rfm),
-        "clv": clv_table(profile),
-    }
-    return PipelineResult(results, trained)
+        run_all(spark, {"profile": profile_outputs, "recommendations": recommendations})
+
+    def churn_outputs() -> churn_model.ChurnModels:
+        features = churn_model.training_table(churn_features.build_churn_features(orders, items, users))
+        trained = churn_model.train_churn_models(features, trees=trees)
+        importance = churn_model.feature_importance(trained.models[churn_model.FOREST], features)
+        staging.write("churn_predictions", churn_model.generate_churn_predictions(features, trained.best))
+        staging.write("churn_feature_importance", importance)
+        return trained
+
+    done = run_all(
+        spark,
+        {
+            "churn": churn_outputs,
+            "customers": customer_outputs,
+            "kpis": lambda: staging.write("monthly_kpis", kpis.compute_monthly_kpis(orders, items)),
+            "cohorts": lambda: staging.write("cohort_retention", kpis.compute_cohort_retention(orders)),
+            "categories": lambda: staging.write(
+                "category_analytics", assortment.compute_category_analytics(items, products)
+            ),
+        },
+    )
+    return done["churn"]
 
 
 def run(
@@ -96,17 +124,18 @@ def run(
     tune(spark)
     logger.info("Loading and validating %s", raw_dir)
     raw = staged(spark, raw_dir)
-    validate(raw)
-    logger.info("Cleaning")
-    clean = clean_tables(raw)
+    logger.info("Cleaning beside validation")
+    checked = run_all(spark, {"report": lambda: validate(raw), "clean": lambda: clean_tables(raw)})
+    clean = checked["clean"]
     catalog.register(clean)
     logger.info("Computing outputs")
-    result = compute_outputs(clean, trees)
-    result.status = outputs.publish_outputs(result.outputs, output_dir)
-    if model_path is not None:
-        churn_model.save_model(result.models.best, model_path)
-    logger.info("Published %d outputs to %s", len(result.outputs), output_dir)
-    return result
+    with outputs.Staging(spark, output_dir) as staging:
+        models = compute_outputs(clean, staging, trees)
+        if model_path is not None:
+            churn_model.save_model(models.best, model_path)
+        status = staging.publish()
+    logger.info("Published %d outputs to %s", len(staging.contracts), output_dir)
+    return PipelineResult(status, models)
 
 
 def regenerate_sql_outputs(spark: SparkSession, output_dir: str) -> dict[str, Exception]:

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from shopsight.contracts import OUTPUTS, OutputContract
 from shopsight.sources import paths
+from shopsight.sources.concurrent import run_all
 
 STATUS_SCHEMA = "output string, status string, row_count bigint"
 READ_ERRORS = (PySparkException, Py4JJavaError)
@@ -100,25 +101,50 @@ def validate_outputs(
     return spark.createDataFrame(rows, STATUS_SCHEMA)
 
 
-def publish_outputs(
-    outputs: Mapping[str, DataFrame], output_dir: str, contracts: Mapping[str, OutputContract] = OUTPUTS
-) -> DataFrame:
-    """Stage the complete set, check it against its contracts, swap it in.
+class Staging:
+    """A complete output set on its way to `output_dir`.
 
-    Returns the status rows of the published set.
+    Each output is written once, when it is ready, and can be read back by later
+    stages. `publish` checks the whole set against its contracts and swaps it in;
+    until then, and after any failure, readers see the previous set.
     """
-    if set(outputs) != set(contracts):
-        raise ValueError(
-            f"Output set does not match its contract: missing={sorted(set(contracts) - set(outputs))}, "
-            f"unexpected={sorted(set(outputs) - set(contracts))}"
+
+    def __init__(self, spark: SparkSession, output_dir: str, contracts: Mapping[str, OutputContract] = OUTPUTS):
+        self.spark = spark
+        self.output_dir = output_dir
+        self.contracts = contracts
+        self.path = paths.join(output_dir, "_staging", uuid.uuid4().hex)
+        self.written: set[str] = set()
+
+    def __enter__(self) -> Staging:
+        paths.make_dirs(self.spark, self.path)
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        paths.delete(self.spark, self.path)
+
+    def write(self, name: str, df: DataFrame) -> DataFrame:
+        """Stage one output and return the stored table."""
+        if name not in self.contracts:
+            raise ValueError(f"Output set does not match its contract: unexpected={[name]}")
+        path = paths.join(self.path, self.contracts[name].path)
+        df.write.parquet(path)
+        self.written.add(name)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def publish(self) -> DataFrame:
+        """Swap the set in; returns its status rows."""
+        missing = sorted(set(self.contracts) - self.written)
+        if missing:
+            raise ValueError(f"Output set does not match its contract: missing={missing}")
+        checked = run_all(
+            self.spark,
+            {
+                n: lambda n=n, c=c: output_status(self.spark, n, paths.join(self.path, c.path), c)
+                for n, c in self.contracts.items()
+            },
         )
-    spark = next(iter(outputs.values())).sparkSession
-    paths.make_dirs(spark, output_dir)
-    staging = paths.join(output_dir, "_staging", uuid.uuid4().hex)
-    try:
-        for name, contract in contracts.items():
-            outputs[name].write.parquet(paths.join(staging, contract.path))
-        statuses = [output_status(spark, n, paths.join(staging, c.path), c) for n, c in contracts.items()]
+        statuses = list(checked.values())
         empty = [name for name, status, _ in statuses if status == "empty"]
         if empty:
             raise ValueError(f"Refusing to publish empty outputs: {', '.join(empty)}")
@@ -126,12 +152,25 @@ def publish_outputs(
         if invalid:
             raise ValueError(f"Staged outputs failed validation: {', '.join(invalid)}")
         swap(
-            spark,
-            [(paths.join(staging, c.path), paths.join(output_dir, c.path)) for c in contracts.values()],
+            self.spark,
+            [(paths.join(self.path, c.path), paths.join(self.output_dir, c.path)) for c in self.contracts.values()],
         )
-    finally:
-        paths.delete(spark, staging)
-    return spark.createDataFrame(statuses, STATUS_SCHEMA)
+        return self.spark.createDataFrame(statuses, STATUS_SCHEMA)
+
+
+def publish_outputs(
+    outputs: Mapping[str, DataFrame], output_dir: str, contracts: Mapping[str, OutputContract] = OUTPUTS
+) -> DataFrame:
+    """Stage, check and swap in a complete set of DataFrames."""
+    if set(outputs) != set(contracts):
+        raise ValueError(
+            f"Output set does not match its contract: missing={sorted(set(contracts) - set(outputs))}, "
+            f"unexpected={sorted(set(outputs) - set(contracts))}"
+        )
+    spark = next(iter(outputs.values())).sparkSession
+    with Staging(spark, output_dir, contracts) as staging:
+        run_all(spark, {n: lambda n=n, df=df: staging.write(n, df) for n, df in outputs.items()})
+        return staging.publish()
 
 
 def regenerate(
