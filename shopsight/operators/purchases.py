@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from shopsight.contracts import COMPLETED_STATUSES
 from shopsight.functions.money import to_micros
 from shopsight.operators.ranking import first_per_key
+from shopsight.operators.skew import salted_lookup
 
 
 def completed(df: DataFrame) -> DataFrame:
@@ -19,9 +20,13 @@ def completed(df: DataFrame) -> DataFrame:
 
 
 def completed_items(orders: DataFrame, items: DataFrame) -> DataFrame:
-    """Completed items of completed orders, owned by the order's customer."""
+    """Completed items of completed orders, owned by the order's customer.
+
+    Repeated order rows count once here, so that they cannot multiply items.
+    """
     owners = first_per_key(completed(orders).select("order_id", "user_id", "created_at"), "order_id")
-    return completed(items).drop("user_id").join(owners.select("order_id", "user_id"), "order_id")
+    sold = completed(items).drop("user_id")
+    return salted_lookup(sold, owners.select("order_id", "user_id"), "order_id", ["product_id", "sale_price"])
 
 
 def order_totals(items: DataFrame) -> DataFrame:

@@ -1,0 +1,55 @@
+"""Joining facts to a lookup table when single keys hold a large share of rows.
+
+Where both join sides are plain shuffles, adaptive execution splits a skewed
+partition by itself (`session.SETTINGS`). It cannot do so when a side is already
+partitioned by the key, as after deduplication. `salted_lookup` covers that case:
+hot keys are spread over several tasks, and the lookup row is copied to each.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+HOT_ROWS = 1_000_000  # rows of one key that one task may take
+DETECTION_SHARE = 0.001
+MAX_HOT_KEYS = 1000
+
+
+def hot_keys(
+    facts: DataFrame, key: str, hot_rows: int = HOT_ROWS, share: float = DETECTION_SHARE
+) -> DataFrame:
+    """(key, parts): the heaviest keys and how many tasks each needs.
+
+    Counts are estimated from a share of the key column. They decide only where
+    rows are processed: a key that is missed is joined like any other. At most
+    MAX_HOT_KEYS rows, so the result can be broadcast; a key beyond them holds
+    less than 1/MAX_HOT_KEYS of all rows.
+    """
+    seen = facts.select(key) if share >= 1 else facts.select(key).sample(share, seed=0)
+    estimate = F.col("n") / F.lit(share)
+    return (
+        seen.filter(F.col(key).isNotNull())
+        .groupBy(key)
+        .agg(F.count("*").alias("n"))
+        .filter(estimate >= hot_rows)
+        .orderBy(F.desc("n"), key)
+        .limit(MAX_HOT_KEYS)
+        .select(key, F.ceil(estimate / F.lit(float(hot_rows))).cast("int").alias("parts"))
+    )
+
+
+def salted_lookup(
+    facts: DataFrame,
+    lookup: DataFrame,
+    key: str,
+    spread_by: list[str],
+    hot_rows: int = HOT_ROWS,
+    share: float = DETECTION_SHARE,
+) -> DataFrame:
+    """Inner join on `key`, hot keys spread over tasks by the hash of `spread_by`."""
+    hot = F.broadcast(hot_keys(facts, key, hot_rows, share))
+    parts = F.coalesce("parts", F.lit(1))
+    salted = facts.join(hot, key, "left").withColumn("_salt", F.pmod(F.xxhash64(*spread_by), parts).cast("int"))
+    copies = lookup.join(hot, key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), parts - 1)))
+    return salted.drop("parts").join(copies.drop("parts"), [key, "_salt"]).drop("_salt")
