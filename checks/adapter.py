@@ -259,7 +259,9 @@ class Model:
 
     @cached_property
     def rfm_activity(self) -> DataFrame:
-        return customers.stored_activity(self.orders, self.bare_items, variety=False)
+        """The customer table as far as RFM needs it; the full one if it exists already."""
+        full = self.__dict__.get("activity")
+        return full if full is not None else customers.stored_activity(self.orders, self.bare_items, variety=False)
 
     @cached_property
     def rfm(self) -> DataFrame:
@@ -272,4 +274,5 @@ class Model:
 
     @cached_property
     def profile(self) -> DataFrame:
-        return materialize(customers.full_profile(self.activity, self.users), "profile")
+        activity = self.activity
+        return materialize(customers.full_profile(activity, self.users, self.segmented), "profile")

@@ -588,7 +588,8 @@ def _filtered(m: Model) -> DataFrame:
 @query
 def dash_overview(m: Model) -> DataFrame:
     monthly = kpis.compute_monthly_kpis(m.orders, m.bare_items)
-    return reports.overview(m.segmented, m.profile, _stand_in_scores(m), monthly)
+    profile = m.profile
+    return reports.overview(m.segmented, profile, _stand_in_scores(m), monthly)
 
 
 @query
@@ -642,8 +643,9 @@ def dash_detail_table(m: Model) -> DataFrame:
 
 @query
 def customer_360(m: Model) -> DataFrame:
+    profile = m.profile
     recs = recommend.build_recommendations(m.items, m.products, m.segmented)
-    flat = reports.customer_360(m.segmented, m.profile, _stand_in_scores(m), customers.clv_table(m.profile), recs)
+    flat = reports.customer_360(m.segmented, profile, _stand_in_scores(m), customers.clv_table(profile), recs)
     return flat.select(
         "customer_id", "first_name", "last_name", "country", "segment", "rfm_score", "monetary",
         "total_orders", "risk_level", "churn_probability", "estimated_clv",

@@ -176,14 +176,17 @@ def _share(part: float, whole: float) -> float:
 
 def evaluate(model: PipelineModel, test: DataFrame) -> dict[str, float]:
     """Accuracy, precision, recall, F1, ROC-AUC and the confusion counts."""
-    scored = model.transform(test)
-    counts = confusion(scored)
+    scored = model.transform(test).select("churned", "prediction", "rawPrediction").persist()
+    try:
+        counts = confusion(scored)
+        area = BinaryClassificationEvaluator(
+            labelCol="churned", rawPredictionCol="rawPrediction", metricName="areaUnderROC", numBins=0
+        ).evaluate(scored)
+    finally:
+        scored.unpersist()
     hits = counts["true_positive"]
     precision = _share(hits, hits + counts["false_positive"])
     recall = _share(hits, hits + counts["false_negative"])
-    area = BinaryClassificationEvaluator(
-        labelCol="churned", rawPredictionCol="rawPrediction", metricName="areaUnderROC", numBins=0
-    ).evaluate(scored)
     return {
         "accuracy": _share(hits + counts["true_negative"], sum(counts.values())),
         "precision": precision,
@@ -203,15 +206,19 @@ def train_churn_models(features: DataFrame, columns: list[str] = CHURN_FEATURES,
     available = [c for c in columns if c in features.columns]
     train, test = (prepared(part, available) for part in stratified_split(features))
     train, test = train.persist(), test.persist()
+    fits = {LOGISTIC: lambda: fit_logistic(train, available), FOREST: lambda: fit_forest(train, available, trees)}
+
+    def fit_and_evaluate(name: str) -> tuple[PipelineModel, dict[str, float]]:
+        model = fits[name]()
+        return model, evaluate(model, test)
+
     try:
-        models = run_all(
-            features.sparkSession,
-            {LOGISTIC: lambda: fit_logistic(train, available), FOREST: lambda: fit_forest(train, available, trees)},
-        )
-        metrics = {name: evaluate(model, test) for name, model in models.items()}
+        done = run_all(features.sparkSession, {name: lambda n=name: fit_and_evaluate(n) for name in fits})
     finally:
         train.unpersist()
         test.unpersist()
+    models = {name: model for name, (model, _) in done.items()}
+    metrics = {name: measured for name, (_, measured) in done.items()}
     return ChurnModels(models, metrics, available)
 
 
