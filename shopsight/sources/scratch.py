@@ -21,14 +21,14 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 def root(spark: SparkSession) -> str:
     """The shared folder; a private one only on a local session that names none."""
-    configured = spark.conf.get(CHECKPOINT_DIR, None)
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    folder = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
+    if folder:
+        return folder
+    if not context.master.startswith("local"):
         raise ValueError(f"Set {CHECKPOINT_DIR} to a folder that all executors share.")
-    folder = tempfile.mkdtemp(prefix="shopsight-")
-    spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="shopsight-"))
+    return context.getCheckpointDir()
 
 
 def new_path(spark: SparkSession, label: str) -> str:

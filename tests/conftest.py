@@ -9,8 +9,5 @@ from shopsight.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
-    session = local_session("tests", 4)
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("scratch")))
-    return session
+def spark():
+    return local_session("tests", 4)

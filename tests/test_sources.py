@@ -174,3 +174,29 @@ def test_run_all_raises_the_first_failure(spark):
     assert concurrent.run_all(spark, {"a": lambda: 1, "b": lambda: 2}) == {"a": 1, "b": 2}
     with pytest.raises(KeyError):
         concurrent.run_all(spark, {"a": lambda: 1, "b": bad})
+
+
+class Session:
+    """A session whose settings name no shared folder."""
+
+    def __init__(self, master):
+        self.conf = {}
+        self.sparkContext = self
+        self.master = master
+        self.folder = None
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+def test_scratch_folder_is_private_only_on_a_local_session(spark):
+    session = Session("local[2]")
+    assert scratch.root(session) == session.folder == scratch.root(session)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch.root(Session("yarn"))
+    named = Session("yarn")
+    named.conf["spark.checkpoint.dir"] = "hdfs:///shared"
+    assert scratch.root(named) == "hdfs:///shared"
