@@ -13,3 +13,37 @@ SELECT doc_id,
        sha256(body) AS text_sha256
 FROM clean WINDOW w AS (PARTITION BY body)
 """
+
+ORACLES["op2_decontamination"] = r"""
+WITH doc AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents
+), item AS (
+  SELECT item_id::VARCHAR AS item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM benchmark
+), item_window AS (
+  SELECT DISTINCT item_id, least(len(words), 10) AS n,
+         array_to_string(words[i : i + least(len(words), 10) - 1], ' ') AS line
+  FROM (SELECT item_id, words, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS i FROM item WHERE len(words) > 0)
+), doc_window AS (
+  SELECT doc_id, i, n, array_to_string(words[i : i + n - 1], ' ') AS line
+  FROM (SELECT doc_id, words, n, unnest(range(1, len(words) - n + 2)) AS i
+        FROM doc, (SELECT DISTINCT n FROM item_window) WHERE len(words) >= n)
+), hit AS (
+  SELECT doc_id, i, n, item_id FROM doc_window JOIN item_window USING (n, line)
+), word AS (
+  SELECT doc_id, count(DISTINCT w) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + n)) AS w FROM hit) GROUP BY doc_id
+), named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS names
+  FROM (SELECT DISTINCT doc_id, item_id FROM hit) GROUP BY doc_id
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN word USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
