@@ -6,6 +6,7 @@ import string
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -58,6 +59,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def located(df: DataFrame, *columns: str) -> DataFrame:
+    """The columns and each row's place (file_path, row_index); a table that is not file-backed is stored first."""
+    locator = [F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.row_index").alias("row_index")]
+    try:
+        return df.select(*columns, *locator)
+    except AnalysisException:
+        return materialize(df.select(*columns), "located").select(*columns, *locator)
+
+
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
     """Connected components of `edges` (a, b): rows (node, component), component = smallest node.
 

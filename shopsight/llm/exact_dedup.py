@@ -19,10 +19,10 @@ one row of every group stays; an empty table gives no rows. Other columns are ig
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shopsight.llm.common import located
 from shopsight.sources import paths
 from shopsight.sources.scratch import materialize, new_path
 
@@ -37,16 +37,6 @@ def normalised(text: str) -> Column:
     return F.regexp_replace(F.coalesce(F.col(text), F.lit("")), BLANKS, " ")
 
 
-def located(docs: DataFrame) -> DataFrame:
-    """Rows (doc_id, text, file_path, row_index) of a file-backed table; others are stored first."""
-    columns = [F.col("doc_id"), F.col("text")]
-    locator = [F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.row_index").alias("row_index")]
-    try:
-        return docs.select(*columns, *locator)
-    except AnalysisException:
-        return materialize(docs.select(*columns), "exact-texts").select(*columns, *locator)
-
-
 def fingerprints(rows: DataFrame) -> DataFrame:
     clean = normalised("text")
     return rows.select(
@@ -112,7 +102,7 @@ def _told_apart(decided: DataFrame, different: DataFrame) -> DataFrame:
 def find_copies(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256, file_path, row_index."""
     spark = docs.sparkSession
-    rows = located(docs)
+    rows = located(docs, "doc_id", "text")
     arrivals = new_path(spark, "exact-arrivals")
     fingerprints(rows).write.parquet(arrivals)
     seen = advance(spark, arrivals, new_path(spark, "exact-state"))
@@ -153,5 +143,5 @@ class Deduplicator:
 
     def add(self, docs: DataFrame) -> DataFrame:
         """Take in a batch and return the state over everything added so far."""
-        fingerprints(located(docs)).write.mode("append").parquet(self.arrivals)
+        fingerprints(located(docs, "doc_id", "text")).write.mode("append").parquet(self.arrivals)
         return advance(self.spark, self.arrivals, self.state)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shopsight.llm import decontaminate, exact_dedup, oracles
+from shopsight.llm import decontaminate, exact_dedup, hilbert, license_scan, oracles
 from shopsight.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,3 +28,14 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_passages(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return decontaminate.digest(found)
+
+
+@query
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(read_table(spark, sf_dir, "documents")).drop("spans")
+
+
+@query
+def op3_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = hilbert.metadata(read_table(spark, sf_dir, "documents"))
+    return hilbert.digest(hilbert.assign(rows, n_shards=16))
