@@ -56,6 +56,8 @@ def advance(spark: SparkSession, arrivals: str, state: str) -> DataFrame:
     session = spark.newSession()  # its settings end with it
     session.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
     session.conf.set("spark.sql.streaming.stateStore.providerClass", DISK_STATE)
+    # Without this every state partition reserves several MB of disk ahead of need.
+    session.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
     schema = spark.read.parquet(arrivals).schema
     identifier = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "file_path", "row_index")
     stream = session.readStream.schema(schema).parquet(arrivals)
@@ -81,7 +83,7 @@ def _different_bytes(rows: DataFrame, decided: DataFrame) -> DataFrame:
     """Rows of a group whose bytes are not those of the row that the state points to."""
     shared = decided.where("group_size > 1").select(*KEY, "file_path", "row_index", _is_keeper().alias("keeper"))
     texts = rows.select("doc_id", "file_path", "row_index", normalised("text").alias("clean"))
-    hits = texts.join(shared, ["file_path", "row_index"])
+    hits = materialize(texts.join(shared, ["file_path", "row_index"]), "exact-hits")
     kept = hits.where("keeper").select(*KEY, F.col("clean").alias("kept_clean"))
     return hits.where("not keeper").join(kept, KEY).where("clean <> kept_clean").drop("kept_clean", "keeper")
 
