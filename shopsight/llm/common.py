@@ -5,6 +5,7 @@ from __future__ import annotations
 import string
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,8 +19,6 @@ _SEPARATORS = [b for b in range(0x80) if chr(b) not in string.digits + string.as
 WORD_TABLE = bytes.maketrans(
     string.ascii_uppercase.encode() + bytes(_SEPARATORS), string.ascii_lowercase.encode() + b" " * len(_SEPARATORS)
 )
-# Space and \t \n \v \f \r become a space, A-Z becomes a-z.
-SPACE_TABLE = bytes.maketrans(string.ascii_uppercase.encode() + b"\t\n\x0b\x0c\r", string.ascii_lowercase.encode() + b" " * 5)
 
 
 def word_line(text: bytes | None) -> bytes:
@@ -28,11 +27,16 @@ def word_line(text: bytes | None) -> bytes:
 
 
 def token_line(text: bytes | None) -> bytes:
-    """Lower-cased whitespace tokens joined by single spaces; null is empty.
+    """Lower-cased (A-Z) tokens between blanks, joined by single spaces; null is empty."""
+    return b" ".join(text.lower().split()) if text else b""
 
-    Splits on the space alone: `bytes.split()` would split on more bytes.
-    """
-    return b" ".join(w for w in text.translate(SPACE_TABLE).split(b" ") if w) if text else b""
+
+def word_starts(line: bytes) -> np.ndarray:
+    """Start of every word of a single-spaced line, and the end of the line plus one."""
+    if not line:
+        return np.zeros(1, np.int64)
+    at = np.flatnonzero(np.frombuffer(line, np.uint8) == 32) + 1
+    return np.concatenate([[0], at, [len(line) + 1]])
 
 
 def utf8(column: str) -> Column:

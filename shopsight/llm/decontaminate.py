@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopsight.llm.common import map_arrow, utf8, word_line
+from shopsight.llm.common import map_arrow, utf8, word_line, word_starts
 from shopsight.llm.fingerprint import slices
 from shopsight.sources.scratch import materialize
 
@@ -43,14 +43,6 @@ FOUND = (
 )
 
 
-def word_starts(line: bytes) -> np.ndarray:
-    """Start of every word of a single-spaced line, and the end of the line plus one."""
-    if not line:
-        return np.zeros(1, np.int64)
-    at = np.flatnonzero(np.frombuffer(line, np.uint8) == 32) + 1
-    return np.concatenate([[0], at, [len(line) + 1]])
-
-
 def _item_windows(n: int):
     def windows(batch: pa.RecordBatch) -> pa.RecordBatch:
         ids, lines = [], []

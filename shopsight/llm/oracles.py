@@ -47,3 +47,31 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hi
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM doc LEFT JOIN word USING (doc_id) LEFT JOIN named USING (doc_id)
 """
+
+ORACLES["op5_minhash_near_dedup"] = r"""
+WITH RECURSIVE doc AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), shingle AS (
+  SELECT DISTINCT doc_id, array_to_string(words[i : i + 3], ' ') AS s
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 3, 1) + 1)) AS i FROM doc WHERE len(words) > 0)
+), amount AS (
+  SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id
+), common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n_both
+  FROM shingle x JOIN shingle y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL
+), link AS (
+  SELECT a, b FROM common JOIN amount m ON m.doc_id = a JOIN amount n ON n.doc_id = b
+  WHERE 100 * n_both >= 80 * (m.n + n.n - n_both)
+), reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM doc
+  UNION
+  SELECT reach.doc_id, link.b FROM reach JOIN link ON reach.other = link.a
+), smallest AS (
+  SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM doc JOIN smallest USING (doc_id) LEFT JOIN amount USING (doc_id)
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shopsight.llm import decontaminate, exact_dedup, hilbert, license_scan, oracles
+from shopsight.llm import decontaminate, exact_dedup, hilbert, license_scan, minhash, oracles
 from shopsight.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,3 +39,9 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = hilbert.metadata(read_table(spark, sf_dir, "documents"))
     return hilbert.digest(hilbert.assign(rows, n_shards=16))
+
+
+@query
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.find_groups(read_table(spark, sf_dir, "documents"), words=4, percent=80)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
