@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shopsight.llm import decontaminate, exact_dedup, hilbert, license_scan, minhash, oracles
+from shopsight.llm import decontaminate, exact_dedup, hilbert, langid, license_scan, minhash, oracles, quality
 from shopsight.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,3 +46,24 @@ def op3_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash.find_groups(read_table(spark, sf_dir, "documents"), words=4, percent=80)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _remainder(of: int) -> Column:
+    """crc32 of the identifier as text, modulo `of`."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(of))
+
+
+@query
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = langid.train(docs.where(_remainder(4) != 2))
+    return langid.predict(docs, model).select("doc_id", (_remainder(4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = quality.train(docs, read_table(spark, sf_dir, "labels").where(_remainder(3) != 1))
+    return quality.score(docs, model).select(
+        "doc_id", (_remainder(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
