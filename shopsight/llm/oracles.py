@@ -75,3 +75,19 @@ WITH RECURSIVE doc AS (
 SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
 FROM doc JOIN smallest USING (doc_id) LEFT JOIN amount USING (doc_id)
 """
+
+ORACLES["op8_warc"] = r"""
+WITH page AS (
+  SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS h FROM pages
+), ranked AS (
+  SELECT page_id, h, strlen(body) AS payload_bytes, max(page_id) OVER (PARTITION BY body) AS response FROM page
+)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
+       array_to_string(list_transform(range(0, 8), lambda i: list_reduce(list_transform([15, 10, 5, 0],
+         lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           (((('0x' || substr(h, (5 * i + 1)::INT, 5))::BIGINT >> k) & 31) + 1)::INT, 1)),
+         lambda a, b: a || b)), '') AS payload_digest,
+       CASE WHEN page_id = response THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = response THEN NULL ELSE response END AS refers_to
+FROM ranked
+"""
