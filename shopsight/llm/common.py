@@ -63,13 +63,29 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def located(df: DataFrame, *columns: str) -> DataFrame:
-    """The columns and each row's place (file_path, row_index); a table that is not file-backed is stored first."""
-    locator = [F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.row_index").alias("row_index")]
+_PLACE = ("file_path", "row_index")
+
+
+def file_backed(df: DataFrame) -> DataFrame:
+    """`df` if its rows have places in files, else a stored copy."""
     try:
-        return df.select(*columns, *locator)
+        df.select(*[F.col(f"_metadata.{name}") for name in _PLACE])
+        return df
     except AnalysisException:
-        return materialize(df.select(*columns), "located").select(*columns, *locator)
+        return materialize(df, "file-backed")
+
+
+def located(df: DataFrame, *columns: str) -> DataFrame:
+    """The columns and each row's place (file_path, row_index) of a file-backed table."""
+    return df.select(*columns, *[F.col(f"_metadata.{name}").alias(name) for name in _PLACE])
+
+
+def without(df: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of a file-backed table, all columns, but those at the places (file_path, row_index) in `gone`."""
+    gone = materialize(gone.select(F.struct(*_PLACE).alias("_gone_place")), "gone")  # the planner sees its size
+    here = df.select("*", F.struct(*[F.col(f"_metadata.{name}").alias(name) for name in _PLACE]).alias("_own_place"))
+    left = here.join(gone, here["_own_place"] == gone["_gone_place"], "left_anti")
+    return left.select(*[here[f"`{c}`"] for c in df.columns])
 
 
 def components(edges: DataFrame, label: str = "components") -> DataFrame:

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopsight.llm.common import located
+from shopsight.llm.common import file_backed, located, without
 from shopsight.sources import paths
 from shopsight.sources.scratch import materialize, new_path
 
@@ -104,7 +104,7 @@ def _told_apart(decided: DataFrame, different: DataFrame) -> DataFrame:
 def find_copies(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256, file_path, row_index."""
     spark = docs.sparkSession
-    rows = located(docs, "doc_id", "text")
+    rows = located(file_backed(docs), "doc_id", "text")
     arrivals = new_path(spark, "exact-arrivals")
     fingerprints(rows).write.parquet(arrivals)
     seen = advance(spark, arrivals, new_path(spark, "exact-state"))
@@ -125,14 +125,8 @@ def find_copies(docs: DataFrame) -> DataFrame:
 
 def drop_copies(docs: DataFrame) -> DataFrame:
     """The documents that stay, with all their columns."""
-    spark = docs.sparkSession
-    folder = new_path(spark, "exact-input")
-    docs.write.parquet(folder)
-    stored = spark.read.schema(docs.schema).parquet(folder)
-    dropped = find_copies(stored).where("not kept").select("file_path", "row_index")
-    named = stored.select("*", F.struct("_metadata.file_path", "_metadata.row_index").alias("_at"))
-    gone = dropped.select(F.struct("file_path", "row_index").alias("_at"))
-    return named.join(gone, "_at", "left_anti").select(*[named[c] for c in docs.columns])
+    docs = file_backed(docs)
+    return without(docs, find_copies(docs).where("not kept"))
 
 
 class Deduplicator:
@@ -145,5 +139,5 @@ class Deduplicator:
 
     def add(self, docs: DataFrame) -> DataFrame:
         """Take in a batch and return the state over everything added so far."""
-        fingerprints(located(docs, "doc_id", "text")).write.mode("append").parquet(self.arrivals)
+        fingerprints(located(file_backed(docs), "doc_id", "text")).write.mode("append").parquet(self.arrivals)
         return advance(self.spark, self.arrivals, self.state)

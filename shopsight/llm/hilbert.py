@@ -28,7 +28,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopsight.llm.common import located
+from shopsight.llm.common import file_backed, located
 from shopsight.sources import paths
 from shopsight.sources.scratch import materialize
 
@@ -74,7 +74,7 @@ def hilbert_index(coordinates: list[str], bits: int = BITS) -> Column:
 
 def metadata(docs: DataFrame) -> DataFrame:
     """The narrow rows that sharding works on, stored once: identifier, size, checksum, locator, categories."""
-    rows = located(docs, "doc_id", "text", "lang", "source")
+    rows = located(file_backed(docs), "doc_id", "text", "lang", "source")
     body = F.coalesce(F.col("text"), F.lit(""))
     return materialize(
         rows.select(
@@ -137,7 +137,7 @@ def write_shards(docs: DataFrame, folder: str, n_shards: int) -> DataFrame:
     Files are contiguous runs of a shard, so each covers a small box. Returns the manifest.
     """
     spark = docs.sparkSession
-    stored = materialize(docs, "hilbert-input")
+    stored = file_backed(docs)
     placed = assign(metadata(stored), n_shards).select("file_path", "row_index", "shard", "slot", "size")
     whole = stored.select(
         "*", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.row_index").alias("row_index")

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopsight.llm.common import components, located, map_arrow, token_line, utf8, word_starts
+from shopsight.llm.common import components, file_backed, located, map_arrow, token_line, utf8, without, word_starts
 from shopsight.llm.fingerprint import mix, slices
 from shopsight.sources.scratch import materialize
 
@@ -213,7 +213,7 @@ def _cross_pairs(lists: DataFrame, labels: DataFrame, classes: DataFrame, percen
 
 def find_groups(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = SIMILAR_PERCENT) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept, file_path, row_index."""
-    rows = located(docs, "doc_id", "text").select("doc_id", utf8("text"), "file_path", "row_index")
+    rows = located(file_backed(docs), "doc_id", "text").select("doc_id", utf8("text"), "file_path", "row_index")
     schema = "doc_id long, file_path string, row_index long, node long, n_shingles long, sig array<int>"
     rows = rows.withColumn("doc_id", F.col("doc_id").cast("long"))
     signed = materialize(map_arrow(rows, _signed(words), schema), "minhash-signed")
@@ -256,8 +256,5 @@ def find_groups(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = SIMI
 
 def drop_near_copies(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = SIMILAR_PERCENT) -> DataFrame:
     """One document of each group, the one with the smallest identifier, with all its columns."""
-    stored = materialize(docs, "minhash-input")
-    dropped = find_groups(stored, words, percent).where("not kept")
-    gone = dropped.select(F.struct("file_path", "row_index").alias("_at"))
-    named = stored.select("*", F.struct("_metadata.file_path", "_metadata.row_index").alias("_at"))
-    return named.join(gone, "_at", "left_anti").select(*[named[c] for c in docs.columns])
+    docs = file_backed(docs)
+    return without(docs, find_groups(docs, words, percent).where("not kept"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopsight.llm import decontaminate, exact_dedup, hilbert, langid, license_scan, minhash, oracles, quality, warc
+from shopsight.llm import decontaminate, exact_dedup, hilbert, langid, license_scan, minhash, oracles, packing, quality, warc
 from shopsight.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +73,8 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = warc.archive_and_read(read_table(spark, sf_dir, "pages"))
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read_table(spark, sf_dir, "documents")).drop("file_path", "row_index")
