@@ -68,14 +68,20 @@ def signature(shingle_set: np.ndarray) -> np.ndarray:
     """MinHash values, reduced to 32 bits."""
     least = np.full(COORDINATES, np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(shingle_set), _STEP):
-        part = shingle_set[at : at + _STEP] * _FACTORS + _SHIFTS
-        least = np.minimum(least, (part ^ (part >> np.uint64(32))).min(axis=1))
+        least = np.minimum(least, (shingle_set[at : at + _STEP] * _FACTORS + _SHIFTS).min(axis=1))
     return (mix(least) >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
+def bit_planes(values: np.ndarray) -> np.ndarray:
+    """The lowest bytes of 64 values as eight words: word j holds bit j of each."""
+    bits = np.unpackbits(values.astype(np.uint8)[:, None], axis=1)
+    return np.packbits(np.ascontiguousarray(bits.T)).view(np.int64)
+
+
 def _signed(words: int):
     def sign(batch: pa.RecordBatch) -> pa.RecordBatch:
         nodes, sizes, rows, lengths = [], [], [], []
+        low = []
         for text in batch.column(1).to_pylist():
             found = shingles(text, words)
             sizes.append(len(found))
@@ -83,10 +89,12 @@ def _signed(words: int):
                 nodes.append(int.from_bytes(hashlib.blake2b(found.tobytes(), digest_size=8).digest(), "big", signed=True))
                 rows.append(signature(found))
                 lengths.append(COORDINATES)
+                low.append(bit_planes(rows[-1]))
             else:
                 nodes.append(None)
                 lengths.append(0)
         values = np.concatenate(rows) if rows else np.zeros(0, np.int32)
+        packed = np.concatenate(low) if low else np.zeros(0, np.int64)
         offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
         return pa.RecordBatch.from_arrays(
             [
@@ -96,8 +104,9 @@ def _signed(words: int):
                 pa.array(nodes, pa.int64()),
                 pa.array(sizes, pa.int64()),
                 pa.ListArray.from_arrays(offsets, values),
+                pa.ListArray.from_arrays(offsets // 8, packed),
             ],
-            names=["doc_id", "file_path", "row_index", "node", "n_shingles", "sig"],
+            names=["doc_id", "file_path", "row_index", "node", "n_shingles", "sig", "packed"],
         )
 
     return sign
@@ -111,6 +120,14 @@ def _collisions(left: str, right: str) -> Column:
     return total
 
 
+def _equal_bytes(left: str, right: str) -> Column:
+    """Coordinates that agree in their lowest byte, from bit planes: no fewer than the collisions."""
+    differ = F.col(left)[0].bitwiseXOR(F.col(right)[0])
+    for plane in range(1, 8):
+        differ = differ.bitwiseOR(F.col(left)[plane].bitwiseXOR(F.col(right)[plane]))
+    return COORDINATES - F.bit_count(differ)
+
+
 def _sizes_fit(percent: int) -> Column:
     return F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
 
@@ -179,8 +196,11 @@ def _star_pairs(lists: DataFrame) -> DataFrame:
 
 
 def _cross_pairs(lists: DataFrame, labels: DataFrame, classes: DataFrame, percent: int, closest_only: bool) -> DataFrame:
-    """Pairs of one list and of different components, at or above the match threshold."""
-    signed = classes.select("node", "n_shingles", "sig")
+    """Pairs of one list and of different components that may be at or above the match threshold.
+
+    Collisions are bounded from above on packed bytes here; `Links.verify` counts them exactly.
+    """
+    signed = classes.select("node", "n_shingles", "packed")
     labelled = lists.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     counts = labelled.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
     mixed = counts.groupBy("key").agg(F.max(F.struct("n", "component")).alias("main"), F.count(F.lit(1)).alias("several"))
@@ -191,20 +211,20 @@ def _cross_pairs(lists: DataFrame, labels: DataFrame, classes: DataFrame, percen
     active = materialize(active, "minhash-mixed")
     outside = active.where("component <> main").select(
         "key", F.col("node").alias("a"), F.col("component").alias("c_a"), F.col("n_shingles").alias("n_a"),
-        F.col("sig").alias("sig_a"),
+        F.col("packed").alias("low_a"),
     )
     anyone = active.select(
         F.col("key").alias("key_b"), F.col("node").alias("b"), F.col("component").alias("c_b"), "main",
-        F.col("n_shingles").alias("n_b"), F.col("sig").alias("sig_b"),
+        F.col("n_shingles").alias("n_b"), F.col("packed").alias("low_b"),
     )
     meet = (
         (F.col("key") == F.col("key_b"))
         & (F.col("c_a") != F.col("c_b"))
         & ((F.col("c_b") == F.col("main")) | (F.col("a") < F.col("b")))
         & _sizes_fit(percent)
-        & (_collisions("sig_a", "sig_b") >= MATCHES)
+        & (_equal_bytes("low_a", "low_b") >= MATCHES)
     )
-    pairs = outside.join(anyone, meet).select("a", "b", "c_b", _collisions("sig_a", "sig_b").alias("agree"))
+    pairs = outside.join(anyone, meet).select("a", "b", "c_b", _equal_bytes("low_a", "low_b").alias("agree"))
     if closest_only:
         nearest = pairs.groupBy("a", "c_b").agg(F.max(F.struct("agree", "b")).alias("best"))
         return nearest.select("a", F.col("best.b").alias("b"))
@@ -214,14 +234,21 @@ def _cross_pairs(lists: DataFrame, labels: DataFrame, classes: DataFrame, percen
 def find_groups(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = SIMILAR_PERCENT) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept, file_path, row_index."""
     rows = located(file_backed(docs), "doc_id", "text").select("doc_id", utf8("text"), "file_path", "row_index")
-    schema = "doc_id long, file_path string, row_index long, node long, n_shingles long, sig array<int>"
+    schema = (
+        "doc_id long, file_path string, row_index long, node long, n_shingles long, sig array<int>, packed array<long>"
+    )
     rows = rows.withColumn("doc_id", F.col("doc_id").cast("long"))
     signed = materialize(map_arrow(rows, _signed(words), schema), "minhash-signed")
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "file_path", "row_index")
     classes = (
         signed.where("node is not null")
         .groupBy("node")
-        .agg(F.min(place).alias("first"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"))
+        .agg(
+            F.min(place).alias("first"),
+            F.first("n_shingles").alias("n_shingles"),
+            F.first("sig").alias("sig"),
+            F.first("packed").alias("packed"),
+        )
     )
     classes = materialize(classes, "minhash-classes")
     lists = posting_lists(classes)
@@ -243,7 +270,7 @@ def find_groups(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = SIMI
     leaders = groups.groupBy("component").agg(F.min("first").alias("leader"))
     led = groups.join(leaders, "component").select("node", "leader")
     own = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "file_path", "row_index")
-    whole = signed.drop("sig").join(led, "node", "left").withColumn("leader", F.coalesce("leader", own))
+    whole = signed.drop("sig", "packed").join(led, "node", "left").withColumn("leader", F.coalesce("leader", own))
     return whole.select(
         "doc_id",
         "n_shingles",

@@ -91,3 +91,29 @@ SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
        CASE WHEN page_id = response THEN NULL ELSE response END AS refers_to
 FROM ranked
 """
+
+ORACLES["op9_suffix_family"] = r"""
+WITH doc AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents
+), piece AS (
+  SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS w
+  FROM (SELECT doc_id, h, unnest(range(0, n - 49)) AS i FROM doc WHERE n >= 50)
+), hit AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY w) AS m FROM piece) WHERE m < doc_id
+), mark AS (
+  SELECT doc_id, i, coalesce(i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50, true)::INT AS fresh FROM hit
+), run AS (
+  SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS r FROM mark
+), span AS (
+  SELECT doc_id, r, min(i) AS a, max(i) + 50 AS b FROM run GROUP BY doc_id, r
+), before AS (
+  SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS p FROM span
+), cut AS (
+  SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans,
+         string_agg(substr(h, 2 * p + 1, 2 * (a - p)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1) AS kept
+  FROM before JOIN doc USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(kept, h))) AS kept_sha256
+FROM doc LEFT JOIN cut USING (doc_id)
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopsight.llm import decontaminate, exact_dedup, hilbert, langid, license_scan, minhash, oracles, packing, quality, warc
+from shopsight.llm import decontaminate, exact_dedup, hilbert, langid, license_scan, minhash, oracles, packing, quality, suffix_family, warc
 from shopsight.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,9 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents")).drop("file_path", "row_index")
+
+
+@query
+def op9_suffix_family(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_family.remove_repeats(read_table(spark, sf_dir, "documents"), with_text=False)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
