@@ -10,11 +10,13 @@ passed over:
   `MATCHES` shared postings;
 - prefix filter: of its s shared postings a document keeps the s - MATCHES + 1
   rarest; two documents that agree in MATCHES of them share one of those;
-- collisions of the pairs met in a list are counted on whole signatures, and pairs
-  at or above the threshold are verified on their full shingle sets.
+- a pair is made in the first list that both prefixes share; collisions are counted
+  there on whole signatures, kept as bit planes so that 64 coordinates compare in
+  one word, and on 192 coordinates more, which only documents in lists have; pairs at
+  or above the thresholds are verified on their full shingle sets.
 
-Pairs within a list are not all made. First each member meets the smallest member
-of its list. After the links found are merged to components, each member outside
+Pairs within a list are not all made. First each member meets the most central
+member of its list, the one with most company in all its lists. After the links found are merged to components, each member outside
 its list's largest component meets the most similar member of every other
 component there. Last, pairs that are still in different components meet. Pairs
 inside one component are never made, since they cannot change the result, and no
@@ -47,11 +49,14 @@ SHINGLE_WORDS = 5
 SIMILAR_PERCENT = 80
 COORDINATES = 64
 MATCHES = 35
+ALL_COORDINATES = 256
+ALL_MATCHES = 172
+WHOLE_PLANES, LOW_PLANES = 32, 4  # of the posted coordinates, and of each 64 others
 _STEP = 1 << 15  # shingles hashed at a time, so that a long text takes bounded memory
 
 _random = np.random.default_rng(64)
-_FACTORS = _random.integers(1, 2**64, (COORDINATES, 1), dtype=np.uint64) | np.uint64(1)
-_SHIFTS = _random.integers(0, 2**64, (COORDINATES, 1), dtype=np.uint64)
+_FACTORS = _random.integers(1, 2**64, (ALL_COORDINATES, 1), dtype=np.uint64) | np.uint64(1)
+_SHIFTS = _random.integers(0, 2**64, (ALL_COORDINATES, 1), dtype=np.uint64)
 
 
 def shingles(text: bytes | None, words: int) -> np.ndarray:
@@ -64,37 +69,42 @@ def shingles(text: bytes | None, words: int) -> np.ndarray:
     return np.unique(slices(line, starts[:-words], starts[words:] - 1))
 
 
-def signature(shingle_set: np.ndarray) -> np.ndarray:
+def signature(shingle_set: np.ndarray, coordinates: int = COORDINATES) -> np.ndarray:
     """MinHash values, reduced to 32 bits."""
-    least = np.full(COORDINATES, np.iinfo(np.uint64).max, np.uint64)
+    least = np.full(coordinates, np.iinfo(np.uint64).max, np.uint64)
+    factors, shifts = _FACTORS[:coordinates], _SHIFTS[:coordinates]
     for at in range(0, len(shingle_set), _STEP):
-        least = np.minimum(least, (shingle_set[at : at + _STEP] * _FACTORS + _SHIFTS).min(axis=1))
-    return (mix(least) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+        least = np.minimum(least, (shingle_set[at : at + _STEP] * factors + shifts).min(axis=1))
+    return (mix(least) >> np.uint64(32)).astype(np.uint32)
 
 
-def bit_planes(values: np.ndarray) -> np.ndarray:
-    """The lowest bytes of 64 values as eight words: word j holds bit j of each."""
-    bits = np.unpackbits(values.astype(np.uint8)[:, None], axis=1)
-    return np.packbits(np.ascontiguousarray(bits.T)).view(np.int64)
+def bit_planes(values: np.ndarray, n: int) -> np.ndarray:
+    """The lowest n bits of 64 values as n words: word j holds bit j of each."""
+    bits = (values[None, :] >> np.arange(n, dtype=np.uint32)[:, None]) & np.uint32(1)
+    return np.packbits(bits.astype(np.uint8)[:, ::-1], axis=1)[:, ::-1].copy().view(np.int64).ravel()
+
+
+def planes(shingle_set: np.ndarray) -> np.ndarray:
+    values = signature(shingle_set, ALL_COORDINATES)
+    parts = [bit_planes(values[:COORDINATES], WHOLE_PLANES)]
+    parts += [bit_planes(values[i : i + 64], LOW_PLANES) for i in range(COORDINATES, ALL_COORDINATES, 64)]
+    return np.concatenate(parts)
 
 
 def _signed(words: int):
     def sign(batch: pa.RecordBatch) -> pa.RecordBatch:
         nodes, sizes, rows, lengths = [], [], [], []
-        low = []
         for text in batch.column(1).to_pylist():
             found = shingles(text, words)
             sizes.append(len(found))
             if len(found):
                 nodes.append(int.from_bytes(hashlib.blake2b(found.tobytes(), digest_size=8).digest(), "big", signed=True))
-                rows.append(signature(found))
+                rows.append(signature(found).view(np.int32))
                 lengths.append(COORDINATES)
-                low.append(bit_planes(rows[-1]))
             else:
                 nodes.append(None)
                 lengths.append(0)
         values = np.concatenate(rows) if rows else np.zeros(0, np.int32)
-        packed = np.concatenate(low) if low else np.zeros(0, np.int64)
         offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
         return pa.RecordBatch.from_arrays(
             [
@@ -104,44 +114,71 @@ def _signed(words: int):
                 pa.array(nodes, pa.int64()),
                 pa.array(sizes, pa.int64()),
                 pa.ListArray.from_arrays(offsets, values),
-                pa.ListArray.from_arrays(offsets // 8, packed),
             ],
-            names=["doc_id", "file_path", "row_index", "node", "n_shingles", "sig", "packed"],
+            names=["doc_id", "file_path", "row_index", "node", "n_shingles", "sig"],
         )
 
     return sign
 
 
-def _collisions(left: str, right: str) -> Column:
-    equal = [(F.col(left)[i] == F.col(right)[i]).cast("int") for i in range(COORDINATES)]
-    total = equal[0]
-    for one in equal[1:]:
-        total = total + one
-    return total
+def _with_planes(words: int):
+    def add(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows = [planes(shingles(text, words)) for text in batch.column(2).to_pylist()]
+        made = pa.array([r.tolist() for r in rows], pa.list_(pa.int64()))
+        return pa.RecordBatch.from_arrays([*batch.columns, made], names=["node", "n_shingles", "text", "planes"])
+
+    return add
+
+
+N_PLANES = WHOLE_PLANES + LOW_PLANES * (ALL_COORDINATES - COORDINATES) // 64
+
+
+def _sided(side: str) -> list[Column]:
+    """The planes as columns of their own, which compiled joins compare fastest."""
+    return [F.col("planes")[i].alias(f"{side}{i}") for i in range(N_PLANES)]
+
+
+def _differ(first: int, last: int) -> Column:
+    """By bit: does the coordinate differ in one of the planes."""
+    out = F.col(f"a{first}").bitwiseXOR(F.col(f"b{first}"))
+    for i in range(first + 1, last):
+        out = out.bitwiseOR(F.col(f"a{i}").bitwiseXOR(F.col(f"b{i}")))
+    return out
 
 
-def _equal_bytes(left: str, right: str) -> Column:
-    """Coordinates that agree in their lowest byte, from bit planes: no fewer than the collisions."""
-    differ = F.col(left)[0].bitwiseXOR(F.col(right)[0])
-    for plane in range(1, 8):
-        differ = differ.bitwiseOR(F.col(left)[plane].bitwiseXOR(F.col(right)[plane]))
-    return COORDINATES - F.bit_count(differ)
+def _matches() -> Column:
+    return COORDINATES - F.bit_count(_differ(0, WHOLE_PLANES))
+
+
+def _all_matches() -> Column:
+    """Collisions over all coordinates; the others may agree in their low bits by chance, so rather more."""
+    total = _matches()
+    for at in range(WHOLE_PLANES, N_PLANES, LOW_PLANES):
+        total = total + (64 - F.bit_count(_differ(at, at + LOW_PLANES)))
+    return total
 
 
 def _sizes_fit(percent: int) -> Column:
     return F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
 
 
+def _may_link(percent: int) -> Column:
+    return _sizes_fit(percent) & (_matches() >= MATCHES) & (_all_matches() >= ALL_MATCHES)
+
+
 def posting_lists(classes: DataFrame) -> DataFrame:
-    """Prefix postings (key, node) of lists with two members or more."""
+    """Prefix postings of lists with two members or more: key, node, centre (its company in all its lists)."""
     post = classes.select("node", F.posexplode("sig").alias("at", "value")).select(
-        "node", (F.shiftleft(F.col("at").cast("long"), 32) + F.col("value").cast("long")).alias("key")
+        "node",
+        F.shiftleft(F.col("at").cast("long"), 32).bitwiseOR(F.col("value").cast("long").bitwiseAND(0xFFFFFFFF)).alias("key"),
     )
     frequency = post.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = post.join(frequency, "key").groupBy("node").agg(F.collect_list(F.struct("n", "key")).alias("posts"))
+    shared = post.join(frequency, "key").groupBy("node").agg(
+        F.collect_list(F.struct("n", "key")).alias("posts"), F.sum("n").alias("centre")
+    )
     prefix = F.slice(F.array_sort("posts"), F.lit(1), F.size("posts") - MATCHES + 1)
-    kept = shared.where(F.size("posts") >= MATCHES).select("node", F.explode(prefix).alias("p"))
-    lists = materialize(kept.select("p.key", "node"), "minhash-postings")
+    kept = shared.where(F.size("posts") >= MATCHES).select("node", "centre", F.explode(prefix).alias("p"))
+    lists = materialize(kept.select("p.key", "node", "centre"), "minhash-postings")
     several = lists.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
     return materialize(lists.join(several, "key"), "minhash-lists")
 
@@ -149,24 +186,26 @@ def posting_lists(classes: DataFrame) -> DataFrame:
 class Links:
     """Verified links so far, and what has been verified."""
 
-    def __init__(self, classes: DataFrame, texts: DataFrame, words: int, percent: int):
-        self.classes, self.texts, self.words, self.percent = classes, texts, words, percent
+    def __init__(self, members: DataFrame, words: int, percent: int):
+        self.members, self.words, self.percent = members, words, percent
         self.links: DataFrame | None = None
         self.judged: DataFrame | None = None
 
+    def likely(self, pairs: DataFrame) -> DataFrame:
+        """Pairs (a, b) whose signatures allow a link."""
+        first = self.members.select(F.col("node").alias("a"), F.col("n_shingles").alias("n_a"), *_sided("a"))
+        second = self.members.select(F.col("node").alias("b"), F.col("n_shingles").alias("n_b"), *_sided("b"))
+        return pairs.join(first, "a").join(second, "b").where(_may_link(self.percent)).select("a", "b")
+
     def verify(self, pairs: DataFrame) -> None:
         """Compare the full sets of pairs (a, b)."""
         words, percent = self.words, self.percent
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         if self.judged is not None:
             pairs = pairs.join(self.judged.select("a", "b"), ["a", "b"], "left_anti")
-        first = self.classes.select(F.col("node").alias("a"), F.col("n_shingles").alias("n_a"), F.col("sig").alias("sig_a"))
-        second = self.classes.select(F.col("node").alias("b"), F.col("n_shingles").alias("n_b"), F.col("sig").alias("sig_b"))
-        likely = pairs.join(first, "a").join(second, "b")
-        likely = likely.where(_sizes_fit(percent) & (_collisions("sig_a", "sig_b") >= MATCHES)).select("a", "b")
-        likely = materialize(likely, "minhash-likely")
-        text_a = self.texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
-        text_b = self.texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
+        likely = materialize(pairs, "minhash-likely")
+        text_a = self.members.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
+        text_b = self.members.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
         held = likely.join(text_b, "b").join(text_a, "a").select("a", "b", "text_a", "text_b")
 
         def compare(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -191,42 +230,52 @@ class Links:
 
 
 def _star_pairs(lists: DataFrame) -> DataFrame:
-    pivots = lists.groupBy("key").agg(F.min("node").alias("a"))
-    return lists.join(pivots, "key").where("a <> node").select("a", F.col("node").alias("b")).distinct()
-
+    centres = lists.groupBy("key").agg(F.max(F.struct("centre", "node")).alias("top"))
+    centres = centres.select("key", F.col("top.node").alias("a"))
+    return lists.join(centres, "key").where("a <> node").select("a", F.col("node").alias("b")).distinct()
 
-def _cross_pairs(lists: DataFrame, labels: DataFrame, classes: DataFrame, percent: int, closest_only: bool) -> DataFrame:
-    """Pairs of one list and of different components that may be at or above the match threshold.
 
-    Collisions are bounded from above on packed bytes here; `Links.verify` counts them exactly.
-    """
-    signed = classes.select("node", "n_shingles", "packed")
+def _cross_pairs(lists: DataFrame, labels: DataFrame, members: DataFrame, percent: int, closest_only: bool) -> DataFrame:
+    """Pairs that share a list, are of different components, and whose signatures allow a link."""
     labelled = lists.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     counts = labelled.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
     mixed = counts.groupBy("key").agg(F.max(F.struct("n", "component")).alias("main"), F.count(F.lit(1)).alias("several"))
-    active = (
-        labelled.join(mixed.where("several > 1").select("key", F.col("main.component").alias("main")), "key")
-        .join(signed, "node")
-    )
+    mixed = mixed.where("several > 1").select("key", F.col("main.component").alias("main"))
+    # By coordinate: the lists that a node is posted in, and those before the one at hand.
+    at = "cast(shiftrightunsigned(key, 32) as int)"
+    bit = F.expr(f"shiftleft(1L, {at})")
+    lower = F.expr(f"shiftrightunsigned(-1L, 63 - {at}) & ~shiftleft(1L, {at})")
+    posted = lists.groupBy("node").agg(F.bit_or(bit).alias("posted"))
+    active = labelled.join(mixed, "key").join(posted, "node").join(members.select("node", "n_shingles", "planes"), "node")
     active = materialize(active, "minhash-mixed")
     outside = active.where("component <> main").select(
-        "key", F.col("node").alias("a"), F.col("component").alias("c_a"), F.col("n_shingles").alias("n_a"),
-        F.col("packed").alias("low_a"),
+        "key",
+        F.col("node").alias("a"),
+        F.col("component").alias("c_a"),
+        F.col("n_shingles").alias("n_a"),
+        F.col("posted").bitwiseAND(lower).alias("earlier_a"),
+        *_sided("a"),
     )
     anyone = active.select(
-        F.col("key").alias("key_b"), F.col("node").alias("b"), F.col("component").alias("c_b"), "main",
-        F.col("n_shingles").alias("n_b"), F.col("packed").alias("low_b"),
+        F.col("key").alias("key_b"),
+        F.col("node").alias("b"),
+        F.col("component").alias("c_b"),
+        "main",
+        F.col("n_shingles").alias("n_b"),
+        F.col("posted").alias("posted_b"),
+        *_sided("b"),
     )
+    agree = F.bitwise_not(_differ(0, WHOLE_PLANES))
     meet = (
         (F.col("key") == F.col("key_b"))
         & (F.col("c_a") != F.col("c_b"))
         & ((F.col("c_b") == F.col("main")) | (F.col("a") < F.col("b")))
-        & _sizes_fit(percent)
-        & (_equal_bytes("low_a", "low_b") >= MATCHES)
+        & _may_link(percent)
+        & (agree.bitwiseAND(F.col("earlier_a")).bitwiseAND(F.col("posted_b")) == 0)
     )
-    pairs = outside.join(anyone, meet).select("a", "b", "c_b", _equal_bytes("low_a", "low_b").alias("agree"))
+    pairs = outside.join(anyone, meet)
     if closest_only:
-        nearest = pairs.groupBy("a", "c_b").agg(F.max(F.struct("agree", "b")).alias("best"))
+        nearest = pairs.groupBy("a", "c_b").agg(F.max(F.struct(_all_matches().alias("matches"), "b")).alias("best"))
         return nearest.select("a", F.col("best.b").alias("b"))
     return pairs.select("a", "b")
 
@@ -234,9 +283,7 @@ def _cross_pairs(lists: DataFrame, labels: DataFrame, classes: DataFrame, percen
 def find_groups(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = SIMILAR_PERCENT) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept, file_path, row_index."""
     rows = located(file_backed(docs), "doc_id", "text").select("doc_id", utf8("text"), "file_path", "row_index")
-    schema = (
-        "doc_id long, file_path string, row_index long, node long, n_shingles long, sig array<int>, packed array<long>"
-    )
+    schema = "doc_id long, file_path string, row_index long, node long, n_shingles long, sig array<int>"
     rows = rows.withColumn("doc_id", F.col("doc_id").cast("long"))
     signed = materialize(map_arrow(rows, _signed(words), schema), "minhash-signed")
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "file_path", "row_index")
@@ -247,22 +294,22 @@ def find_groups(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = SIMI
             F.min(place).alias("first"),
             F.first("n_shingles").alias("n_shingles"),
             F.first("sig").alias("sig"),
-            F.first("packed").alias("packed"),
         )
     )
     classes = materialize(classes, "minhash-classes")
     lists = posting_lists(classes)
     wanted = lists.select("node").distinct().join(classes, "node")
-    wanted = wanted.select("node", F.col("first.file_path").alias("file_path"), F.col("first.row_index").alias("row_index"))
-    texts = materialize(
-        rows.select("text", "file_path", "row_index").join(wanted, ["file_path", "row_index"]).select("node", "text"),
-        "minhash-texts",
+    wanted = wanted.select(
+        "node", "n_shingles", F.col("first.file_path").alias("file_path"), F.col("first.row_index").alias("row_index")
     )
+    texts = rows.select("text", "file_path", "row_index").join(wanted, ["file_path", "row_index"])
+    member = "node long, n_shingles long, text binary, planes array<long>"
+    members = materialize(map_arrow(texts.select("node", "n_shingles", "text"), _with_planes(words), member), "minhash-members")
 
-    found = Links(classes, texts, words, percent)
-    found.verify(_star_pairs(lists))
+    found = Links(members, words, percent)
+    found.verify(found.likely(_star_pairs(lists)))
     for closest_only in (True, False):
-        found.verify(_cross_pairs(lists, found.labels(), classes, percent, closest_only))
+        found.verify(_cross_pairs(lists, found.labels(), members, percent, closest_only))
     labels = found.labels()
 
     groups = classes.select("node", "first").join(labels, "node", "left")
@@ -270,7 +317,7 @@ def find_groups(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = SIMI
     leaders = groups.groupBy("component").agg(F.min("first").alias("leader"))
     led = groups.join(leaders, "component").select("node", "leader")
     own = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "file_path", "row_index")
-    whole = signed.drop("sig", "packed").join(led, "node", "left").withColumn("leader", F.coalesce("leader", own))
+    whole = signed.drop("sig").join(led, "node", "left").withColumn("leader", F.coalesce("leader", own))
     return whole.select(
         "doc_id",
         "n_shingles",
