@@ -75,6 +75,20 @@ class Model:
             (1 + F.col("o_orderkey") % 7).alias("num_of_item"),
         )
 
+    @cached_property
+    def same_owner_orders(self) -> DataFrame:
+        """The orders, every third one twice."""
+        return self.orders.unionByName(self.orders.filter(F.col("order_id") % 3 == 0))
+
+    @cached_property
+    def repeated_orders(self) -> DataFrame:
+        """The orders, every third one twice and every fifth one again later under another customer."""
+        again = self.orders.filter(F.col("order_id") % 3 == 0)
+        later = self.orders.filter(F.col("order_id") % 5 == 0).withColumns(
+            {"user_id": F.col("user_id") + 1, "created_at": F.col("created_at") + F.expr("INTERVAL 1 DAY")}
+        )
+        return self.orders.unionByName(again).unionByName(later)
+
     @cached_property
     def bare_items(self) -> DataFrame:
         """Items without customer and date, for operators that take both from the order."""

@@ -9,7 +9,19 @@ from __future__ import annotations
 
 import re
 
-from shopsight.contracts import OUTPUTS, RAW_COLUMNS
+# Spelled out here, not taken from the package under test.
+RAW_COLUMNS = {
+    "users": ["id", "first_name", "last_name", "email", "age", "gender", "country", "state", "city", "created_at"],
+    "orders": ["order_id", "user_id", "status", "created_at", "num_of_item"],
+    "order_items": ["id", "order_id", "user_id", "product_id", "status", "created_at", "sale_price"],
+    "products": ["id", "name", "category", "brand", "department", "cost", "retail_price"],
+    "events": ["id", "user_id", "event_type", "created_at"],
+    "inventory_items": ["id", "product_id", "created_at", "sold_at", "cost"],
+    "distribution_centers": ["id", "name", "latitude", "longitude"],
+}
+OUTPUTS = ["customer_rfm", "customer_segments", "churn_predictions", "churn_feature_importance", "monthly_kpis", "cohort_retention", "category_analytics", "recommendations", "clv"]
+CHURN_FEATURES = ["recency", "frequency", "monetary", "avg_order_value", "n_unique_products", "tenure_days", "is_male", "age"]
+CLUSTER_LABELS = ["High Value", "Loyal Active", "Moderate Buyers", "Occasional Buyers", "Low Engagement", "Inactive"]
 
 DONE = "('complete', 'shipped', 'processing')"
 DAY = 86_400_000_000
@@ -560,11 +572,11 @@ ORACLES: dict[str, str] = {
     "dq_required_columns": """SELECT 'users' AS table_name, 'email' AS column_name, count(*) AS row_count FROM {d_users}
         UNION ALL SELECT 'products', unnest(['brand', 'cost']), row_count FROM (SELECT count(*) AS row_count FROM {d_products})""",
     "dq_row_counts": _counts(DIRTY, ", count(*) = 0 AS is_empty"),
-    "dq_duplicate_keys": _union(_duplicates(ALL[:4])),
-    "dq_conflicting_keys": _union(_conflicts(ALL[:4])),
-    "dq_null_rates": _union(_nulls(ALL[:5])),
-    "dq_bad_dates": _union(_bad_dates(["users", "orders", "events", "inventory_items"])),
-    "dq_negative_values": _union(_negatives(["orders", "order_items", "products", "inventory_items"])),
+    "dq_duplicate_keys": _union(_duplicates(ALL)),
+    "dq_conflicting_keys": _union(_conflicts(ALL)),
+    "dq_null_rates": _union(_nulls(ALL)),
+    "dq_bad_dates": _union(_bad_dates(ALL)),
+    "dq_negative_values": _union(_negatives(ALL)),
     "dq_orphan_keys": _union(_orphans()),
     "dq_owner_mismatch": _mismatch(),
     "dq_summary": _summary(),
@@ -639,16 +651,18 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT NULL, product_id, purchase_count FROM {all_pool}""",
     "rec_primary": "SELECT customer_id, product_id, purchase_count, rank FROM {primary_std}",
     "rec_backfill": "SELECT customer_id, product_id, purchase_count, rank FROM {backfill_short}",
-    "rec_explanations": "SELECT explanation, count(*) AS recommendations FROM {recs_short} GROUP BY explanation",
+    "rec_explanations": """
+        SELECT 'default' AS pool, customer_id, product_id, rank, explanation FROM {recs_std}
+        UNION ALL SELECT 'small', customer_id, product_id, rank, explanation FROM {recs_short}""",
     "recommendations": "SELECT * FROM {recs_std}",
     "rec_for_customer": "SELECT * FROM {recs_std} WHERE customer_id = 42 ORDER BY rank LIMIT 3",
     "kpi_monthly": "SELECT * FROM {kpis}",
     "sql_monthly_kpis": "SELECT * FROM {kpis}",
     "cohort_long": "SELECT * FROM {cohorts}",
     "sql_cohort": "SELECT * FROM {cohorts}",
-    "cohort_wide": "SELECT cohort_month, "
-    + ", ".join(f'max(CASE WHEN months_since = {k} THEN retention_rate END) AS "{k}"' for k in range(12))
-    + " FROM {cohorts} GROUP BY cohort_month",
+    "cohort_wide": """
+        SELECT * FROM (PIVOT (SELECT cohort_month, months_since, retention_rate FROM {cohorts})
+                       ON months_since USING first(retention_rate) GROUP BY cohort_month)""",
     "category_analytics": "SELECT * FROM {categories}",
     "sql_category_analytics": "SELECT * FROM {categories}",
     "product_top_n": """
@@ -747,6 +761,52 @@ ORACLES: dict[str, str] = {
              (SELECT count(*) AS all_n, {SEGMENT_TOTALS} AS all_c FROM {{segmented}})""",
 }
 
+# Facts that hold for any fitted model.
+_test_rows = "SELECT CAST(sum(test) AS BIGINT) FROM (SELECT CAST(floor(count(*) * 0.2::DOUBLE + 0.5::DOUBLE) AS BIGINT) AS test FROM {churn} GROUP BY churned)"
+for _name in ("churn_train_lr", "churn_train_rf", "churn_predictions", "churn_model_roundtrip"):
+    ORACLES[f"{_name}_facts"] = """
+        SELECT user_id AS customer_id, true AS probability_in_range, true AS prediction_fits, true AS level_fits FROM {churn}"""
+ORACLES["churn_reload_differences"] = "SELECT CAST(0 AS BIGINT) AS different, count(*) AS customers FROM {churn}"
+ORACLES["churn_metrics_facts"] = _union(
+    [
+        f"""SELECT '{m}' AS model, ({_test_rows}) AS test_rows,
+            (SELECT CAST(sum(CASE WHEN churned = 1 THEN t ELSE 0 END) AS BIGINT) FROM (
+                SELECT churned, CAST(floor(count(*) * 0.2::DOUBLE + 0.5::DOUBLE) AS BIGINT) AS t FROM {{churn}} GROUP BY churned))
+                AS churned_rows, true AS rates_fit, true AS area_in_range, true AS one_best"""
+        for m in ("Logistic Regression", "Random Forest")
+    ]
+)
+_features = ", ".join(f"('{f}')" for f in CHURN_FEATURES)
+ORACLES["churn_feature_importance_facts"] = f"""
+    SELECT feature, true AS in_range, true AS adds_up FROM (VALUES {_features}) AS f(feature)"""
+ORACLES["dash_top_features_facts"] = """
+    SELECT CAST(least(%d, 10) AS BIGINT) AS features, true AS known, true AS in_order""" % len(CHURN_FEATURES)
+ORACLES["customer_kmeans_facts"] = """
+    SELECT customer_id, true AS label_known, true AS one_label_per_cluster FROM {segmented}"""
+ORACLES["sink_publish"] = _union(
+    [
+        f"SELECT '{name}' AS output, 'ready' AS status, CAST(({rows}) AS BIGINT) AS row_count"
+        for name, rows in {
+            "customer_rfm": "SELECT count(*) FROM {rfm}",
+            "customer_segments": "SELECT count(*) FROM {rfm}",
+            "churn_predictions": "SELECT count(*) FROM {churn}",
+            "churn_feature_importance": str(len(CHURN_FEATURES)),
+            "monthly_kpis": "SELECT count(*) FROM {kpis}",
+            "cohort_retention": "SELECT count(DISTINCT cohort_month) FROM {cohorts}",
+            "clv": "SELECT count(*) FROM {clv}",
+            "category_analytics": "SELECT count(*) FROM {categories}",
+            "recommendations": "SELECT count(*) FROM {recs_std}",
+        }.items()
+    ]
+)
+
+# Repeated order rows change nothing.
+for _name in (
+    "feat_completed_items", "rfm_features", "customer_aggregates", "churn_features", "kpi_monthly", "sql_rfm",
+    "sql_monthly_kpis",
+):
+    ORACLES[f"{_name}_repeated"] = ORACLES[_name]
+
 _REFERENCE = re.compile(r"\{(\w+)\}")
 
 

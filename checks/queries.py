@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.adapter import Model
-from shopsight.contracts import OUTPUTS
+from shopsight.contracts import CLUSTER_LABELS, OUTPUTS
 from shopsight.operators import (
     assortment,
     churn_features,
@@ -32,9 +32,10 @@ from shopsight.sources.scratch import new_path
 Query = Callable[[Model], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+# Five products per segment leave customers short of recommendations, so that the
+# backfill from the overall pool is reached; the default pools are large enough.
 SMALL_SEGMENT_POOL = 5
 OVERALL_POOL = 50
-COHORT_MONTHS = 12
 SAMPLE_FILTER = dict(
     segments=["Champions", "Loyal Customers", "At Risk", "Hibernating"],
     genders=["M"],
@@ -44,8 +45,8 @@ SAMPLE_FILTER = dict(
 )
 
 
-def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
+def query(function: Query, name: str | None = None) -> Query:
+    QUERIES[name or function.__name__] = function
     return function
 
 
@@ -186,41 +187,33 @@ def dq_row_counts(m: Model) -> DataFrame:
     return quality.row_counts(m.dirty)
 
 
-def _some(m: Model, *names: str) -> dict[str, DataFrame]:
-    return {t: m.dirty[t] for t in names}
-
-
-def _key_report(m: Model, check: str) -> DataFrame:
-    return quality.only(quality.key_checks(_some(m, "users", "orders", "order_items", "products")), check)
-
-
 @query
 def dq_duplicate_keys(m: Model) -> DataFrame:
-    return _key_report(m, "duplicate_key")
+    return quality.only(quality.key_checks(m.dirty), "duplicate_key")
 
 
 @query
 def dq_conflicting_keys(m: Model) -> DataFrame:
-    return _key_report(m, "conflicting_key")
+    return quality.only(quality.key_checks(m.dirty), "conflicting_key")
 
 
-def _column_report(m: Model, check: str, names: tuple[str, ...]) -> DataFrame:
-    return quality.only(quality.column_checks(_some(m, *names)), check)
+def _column_report(m: Model, check: str) -> DataFrame:
+    return quality.only(quality.column_checks(m.dirty), check)
 
 
 @query
 def dq_null_rates(m: Model) -> DataFrame:
-    return _column_report(m, "null_key", ("users", "orders", "order_items", "products", "events"))
+    return _column_report(m, "null_key")
 
 
 @query
 def dq_bad_dates(m: Model) -> DataFrame:
-    return _column_report(m, "bad_date", ("users", "orders", "events", "inventory_items"))
+    return _column_report(m, "bad_date")
 
 
 @query
 def dq_negative_values(m: Model) -> DataFrame:
-    return _column_report(m, "negative_value", ("orders", "order_items", "products", "inventory_items"))
+    return _column_report(m, "negative_value")
 
 
 @query
@@ -376,12 +369,7 @@ def _stored_features(m: Model) -> DataFrame:
     return churn_model.training_table(_features(m))
 
 
-@query
-def churn_features_table(m: Model) -> DataFrame:
-    return _features(m)
-
-
-QUERIES["churn_features"] = QUERIES.pop("churn_features_table")
+query(_features, "churn_features")
 
 
 @query
@@ -440,6 +428,107 @@ def churn_predictions(m: Model) -> DataFrame:
     return churn_model.generate_churn_predictions(features, churn_model.train_churn_models(features).best)
 
 
+# Facts that hold for any fitted model, so that SQL can state them.
+
+
+def _prediction_facts(predictions: DataFrame) -> DataFrame:
+    """Per customer; probabilities are rounded to four digits, so a limit may be met from either side."""
+    p = F.col("churn_probability")
+
+    def fits(limit: float, above: Column) -> Column:
+        return (F.abs(p - limit) < 0.0001) | ((p > limit) == above)
+
+    level = F.col("risk_level")
+    return predictions.select(
+        "customer_id",
+        p.between(0, 1).alias("probability_in_range"),
+        fits(0.5, F.col("churn_prediction") == 1).alias("prediction_fits"),
+        (fits(0.3, level != "Low Risk") & fits(0.6, level == "High Risk")).alias("level_fits"),
+    )
+
+
+@query
+def churn_train_lr_facts(m: Model) -> DataFrame:
+    return _prediction_facts(churn_train_lr(m))
+
+
+@query
+def churn_train_rf_facts(m: Model) -> DataFrame:
+    return _prediction_facts(churn_train_rf(m))
+
+
+@query
+def churn_predictions_facts(m: Model) -> DataFrame:
+    return _prediction_facts(churn_predictions(m))
+
+
+@query
+def churn_model_roundtrip_facts(m: Model) -> DataFrame:
+    return _prediction_facts(churn_model_roundtrip(m))
+
+
+@query
+def churn_reload_differences(m: Model) -> DataFrame:
+    """Customers whose prediction changes when the model is saved and loaded."""
+    features, train = _train_part(m)
+    path = new_path(m.spark, "model")
+    model = churn_model.fit_logistic(train, churn_model.CHURN_FEATURES)
+    churn_model.save_model(model, path)
+    before = churn_model.generate_churn_predictions(features, model)
+    after = churn_model.generate_churn_predictions(features, churn_model.load_model(path))
+    rows = before.withColumn("side", F.lit(1)).unionByName(after.withColumn("side", F.lit(2)))
+    per_customer = rows.groupBy("customer_id").agg(
+        F.count_distinct("churn_probability", "churn_prediction", "risk_level").alias("versions")
+    )
+    return per_customer.agg(F.count_if(F.col("versions") > 1).alias("different"), F.count("*").alias("customers"))
+
+
+@query
+def churn_metrics_facts(m: Model) -> DataFrame:
+    hit, false = F.col("true_positive"), F.col("false_positive")
+    missed, passed = F.col("false_negative"), F.col("true_negative")
+
+    def near(left: Column, right: Column) -> Column:
+        return F.abs(left - F.coalesce(right, F.lit(0.0))) < 1e-9
+
+    f1 = F.try_divide(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall"))
+    table = churn_metrics(m)
+    best = table.agg(F.count_if("best").alias("n_best"), F.max("roc_auc").alias("top")).first()
+    return table.select(
+        "model",
+        (hit + false + missed + passed).alias("test_rows"),
+        (hit + missed).alias("churned_rows"),
+        (
+            near(F.col("accuracy"), F.try_divide(hit + passed, hit + false + missed + passed))
+            & near(F.col("precision"), F.try_divide(hit, hit + false))
+            & near(F.col("recall"), F.try_divide(hit, hit + missed))
+            & near(F.col("f1"), f1)
+        ).alias("rates_fit"),
+        F.col("roc_auc").between(0, 1).alias("area_in_range"),
+        (F.lit(best["n_best"] == 1) & (~F.col("best") | (F.col("roc_auc") == best["top"]))).alias("one_best"),
+    )
+
+
+@query
+def churn_feature_importance_facts(m: Model) -> DataFrame:
+    found = churn_feature_importance(m)
+    total = found.agg(F.sum("importance")).first()[0]
+    return found.select(
+        "feature", F.col("importance").between(0, 1).alias("in_range"), F.lit(abs(total - 1) < 1e-9).alias("adds_up")
+    )
+
+
+@query
+def customer_kmeans_facts(m: Model) -> DataFrame:
+    found = customer_kmeans(m)
+    labels = found.groupBy("cluster").agg(F.count_distinct("cluster_label").alias("labels"))
+    return found.join(F.broadcast(labels), "cluster").select(
+        "customer_id",
+        F.col("cluster_label").isin(*CLUSTER_LABELS).alias("label_known"),
+        (F.col("labels") == 1).alias("one_label_per_cluster"),
+    )
+
+
 def _stand_in_scores(m: Model) -> DataFrame:
     """Scores that SQL can reproduce, in the shape of the churn predictions."""
     probability = F.col("recency") / (F.col("recency") + 90.0)
@@ -511,10 +600,13 @@ def rec_backfill(m: Model) -> DataFrame:
 
 @query
 def rec_explanations(m: Model) -> DataFrame:
-    recs = recommend.build_recommendations(
+    """Every recommendation with its text, from the default pools and from the small one."""
+    default = recommend.build_recommendations(m.items, m.products, m.segmented)
+    small = recommend.build_recommendations(
         m.items, m.products, m.segmented, segment_pool=SMALL_SEGMENT_POOL, overall_pool=OVERALL_POOL
     )
-    return recs.groupBy("explanation").agg(F.count("*").alias("recommendations"))
+    parts = default.withColumn("pool", F.lit("default")).unionByName(small.withColumn("pool", F.lit("small")))
+    return parts.select("pool", "customer_id", "product_id", "rank", "explanation")
 
 
 @query
@@ -528,6 +620,47 @@ def rec_for_customer(m: Model) -> DataFrame:
     return recommend.customer_recommendations(recs, 42, 3)
 
 
+# --- repeated order rows ------------------------------------------------------
+
+
+@query
+def feat_completed_items_repeated(m: Model) -> DataFrame:
+    found = purchases.completed_items(m.repeated_orders, m.bare_items)
+    return found.select("order_id", "user_id", "product_id", "sale_price")
+
+
+@query
+def rfm_features_repeated(m: Model) -> DataFrame:
+    return rfm.build_rfm_features(m.same_owner_orders, m.bare_items)
+
+
+@query
+def customer_aggregates_repeated(m: Model) -> DataFrame:
+    return customers.build_customer_aggregates(m.same_owner_orders, m.bare_items, m.users)
+
+
+@query
+def churn_features_repeated(m: Model) -> DataFrame:
+    return churn_features.build_churn_features(m.same_owner_orders, m.bare_items, m.users)
+
+
+@query
+def kpi_monthly_repeated(m: Model) -> DataFrame:
+    return kpis.compute_monthly_kpis(m.repeated_orders, m.bare_items)
+
+
+@query
+def sql_rfm_repeated(m: Model) -> DataFrame:
+    catalog.register({"orders": m.same_owner_orders, "order_items": m.bare_items})
+    return catalog.run_sql_file(m.spark, "rfm")
+
+
+@query
+def sql_monthly_kpis_repeated(m: Model) -> DataFrame:
+    catalog.register({"orders": m.repeated_orders, "order_items": m.bare_items})
+    return catalog.run_sql_file(m.spark, "monthly_kpis")
+
+
 # --- KPIs, cohorts, categories ----------------------------------------------
 
 
@@ -555,7 +688,7 @@ def sql_cohort(m: Model) -> DataFrame:
 
 @query
 def cohort_wide(m: Model) -> DataFrame:
-    return kpis.compute_cohort_retention(m.orders, COHORT_MONTHS)
+    return kpis.compute_cohort_retention(m.orders)
 
 
 @query
@@ -666,10 +799,19 @@ def dash_high_risk_top(m: Model) -> DataFrame:
 @query
 def dash_top_features(m: Model) -> DataFrame:
     features, train = _train_part(m)
-    forest = churn_model.fit_forest(train, churn_model.CHURN_FEATURES, trees=20, depth=6)
+    forest = churn_model.fit_forest(train, churn_model.CHURN_FEATURES)
     return reports.top_features(churn_model.feature_importance(forest, features))
 
 
+@query
+def dash_top_features_facts(m: Model) -> DataFrame:
+    rows = dash_top_features(m).collect()  # ten at most
+    known = {r["feature"] for r in rows} <= set(churn_model.CHURN_FEATURES)
+    values = [r["importance"] for r in rows]
+    facts = (len(rows), known, values == sorted(values, reverse=True))
+    return m.spark.createDataFrame([facts], "features bigint, known boolean, in_order boolean")
+
+
 @query
 def dash_rec_categories(m: Model) -> DataFrame:
     return reports.recommendation_categories(recommend.build_recommendations(m.items, m.products, m.segmented))

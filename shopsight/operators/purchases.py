@@ -1,7 +1,7 @@
 """Completed purchases: what counts, and who owns it.
 
-Inputs are cleaned tables: `order_id` is unique in `orders`, prices are present
-and non-negative.
+Prices are present and non-negative, as in cleaned tables. Order rows may repeat:
+an order counts once, with the customer and date of its earliest completed row.
 """
 
 from __future__ import annotations
@@ -12,21 +12,30 @@ from pyspark.sql import functions as F
 from shopsight.contracts import COMPLETED_STATUSES
 from shopsight.functions.money import to_micros
 from shopsight.operators.ranking import first_per_key
-from shopsight.operators.skew import salted_lookup
+from shopsight.sources.scratch import materialize
 
 
 def completed(df: DataFrame) -> DataFrame:
     return df.filter(F.col("status").isin(*COMPLETED_STATUSES))
 
 
-def completed_items(orders: DataFrame, items: DataFrame) -> DataFrame:
-    """Completed items of completed orders, owned by the order's customer.
+def order_heads(orders: DataFrame) -> DataFrame:
+    """One (order_id, user_id, created_at) per completed order.
 
-    Repeated order rows count once here, so that they cannot multiply items.
+    The exchange on order_id that this needs also serves the join that follows.
     """
-    owners = first_per_key(completed(orders).select("order_id", "user_id", "created_at"), "order_id")
-    sold = completed(items).drop("user_id")
-    return salted_lookup(sold, owners.select("order_id", "user_id"), "order_id", ["product_id", "sale_price"])
+    return first_per_key(completed(orders).select("order_id", "user_id", "created_at"), "order_id")
+
+
+def _stored_owners(orders: DataFrame) -> DataFrame:
+    """(order_id, user_id), stored: joined from there, a hot order's items can be split over tasks."""
+    return materialize(order_heads(orders).select("order_id", "user_id"), "order-owners")
+
+
+def completed_items(orders: DataFrame, items: DataFrame) -> DataFrame:
+    """Completed items of completed orders, owned by the order's customer."""
+    owners = _stored_owners(orders)
+    return completed(items).drop("user_id").join(owners, "order_id")
 
 
 def order_totals(items: DataFrame) -> DataFrame:
@@ -40,8 +49,7 @@ def order_totals(items: DataFrame) -> DataFrame:
 
 def order_facts(orders: DataFrame, items: DataFrame) -> DataFrame:
     """Completed orders with their revenue, NULL for an order without items."""
-    heads = completed(orders).select("order_id", "user_id", "created_at")
-    return heads.join(order_totals(items), "order_id", "left")
+    return order_heads(orders).join(order_totals(items), "order_id", "left")
 
 
 def customer_activity(orders: DataFrame, items: DataFrame) -> DataFrame:
@@ -61,7 +69,7 @@ def customer_activity(orders: DataFrame, items: DataFrame) -> DataFrame:
 
 def product_variety(orders: DataFrame, items: DataFrame) -> DataFrame:
     """Distinct completed products per customer."""
-    owners = completed(orders).select("order_id", "user_id")
+    owners = _stored_owners(orders)
     return (
         completed(items)
         .select("order_id", "product_id")

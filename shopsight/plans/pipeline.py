@@ -7,8 +7,10 @@ from __future__ import annotations
 
 import argparse
 import logging
+import uuid
 from typing import NamedTuple
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 from shopsight.operators import assortment, churn_features, churn_model, kpis, quality, recommend
@@ -16,7 +18,7 @@ from shopsight.operators.cleaning import clean_all
 from shopsight.operators.customers import clv_table
 from shopsight.plans import customers
 from shopsight.session import tune
-from shopsight.sources import catalog, outputs, tables
+from shopsight.sources import catalog, outputs, paths, tables
 from shopsight.sources.concurrent import run_all
 from shopsight.sources.scratch import materialize
 
@@ -131,13 +133,33 @@ def run(
     logger.info("Computing outputs")
     with outputs.Staging(spark, output_dir) as staging:
         models = compute_outputs(clean, staging, trees)
-        if model_path is not None:
-            churn_model.save_model(models.best, model_path)
-        status = staging.publish()
+        if model_path is None:
+            status = staging.publish()
+        else:
+            status = _publish_with_model(spark, staging, models.best, model_path)
     logger.info("Published %d outputs to %s", len(staging.contracts), output_dir)
     return PipelineResult(status, models)
 
 
+def _publish_with_model(spark: SparkSession, staging: outputs.Staging, model: PipelineModel, path: str) -> DataFrame:
+    """Publish the outputs, then let the new model, written beforehand, take the old one's place.
+
+    A failure before or during publishing leaves the old model as it was.
+    """
+    written, old = f"{path}-{uuid.uuid4().hex}", f"{path}-{uuid.uuid4().hex}"
+    churn_model.save_model(model, written)
+    try:
+        status = staging.publish()
+    except BaseException:
+        paths.delete(spark, written)
+        raise
+    if paths.exists(spark, path):
+        paths.rename(spark, path, old)
+    paths.rename(spark, written, path)
+    paths.delete(spark, old)
+    return status
+
+
 def regenerate_sql_outputs(spark: SparkSession, output_dir: str) -> dict[str, Exception]:
     """Rebuild the outputs that are plain SQL over the registered tables."""
     return outputs.regenerate(

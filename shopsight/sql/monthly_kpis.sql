@@ -5,14 +5,21 @@ WITH revenue AS (
     WHERE status IN ('complete', 'shipped', 'processing')
     GROUP BY order_id
 ),
+heads AS (
+    SELECT order_id, user_id, created_at
+    FROM (SELECT order_id, user_id, created_at,
+                 ROW_NUMBER() OVER (PARTITION BY order_id ORDER BY created_at NULLS LAST, user_id NULLS LAST) AS n
+          FROM orders
+          WHERE status IN ('complete', 'shipped', 'processing'))
+    WHERE n = 1
+),
 active_months AS (
     SELECT o.user_id,
            TRUNC(o.created_at, 'MM') AS month,
            COUNT(*) AS orders,
            COALESCE(SUM(r.micros), 0) AS micros
-    FROM orders o
+    FROM heads o
     LEFT JOIN revenue r ON r.order_id = o.order_id
-    WHERE o.status IN ('complete', 'shipped', 'processing')
     GROUP BY o.user_id, TRUNC(o.created_at, 'MM')
 ),
 dated AS (

@@ -1,16 +1,24 @@
 -- RFM per customer. Recency counts calendar-day boundaries to the latest
--- completed order. Revenue is summed per order before it meets the orders.
+-- completed order. Revenue is summed per order before it meets the orders; of
+-- repeated order rows the earliest counts.
 WITH revenue AS (
     SELECT order_id, SUM(CAST(FLOOR(sale_price * 1000000D + 0.5D) AS BIGINT)) AS micros
     FROM order_items
     WHERE status IN ('complete', 'shipped', 'processing')
     GROUP BY order_id
 ),
+heads AS (
+    SELECT order_id, user_id, created_at
+    FROM (SELECT order_id, user_id, created_at,
+                 ROW_NUMBER() OVER (PARTITION BY order_id ORDER BY created_at NULLS LAST, user_id NULLS LAST) AS n
+          FROM orders
+          WHERE status IN ('complete', 'shipped', 'processing'))
+    WHERE n = 1
+),
 purchases AS (
     SELECT o.user_id, o.created_at, r.micros
-    FROM orders o
+    FROM heads o
     LEFT JOIN revenue r ON r.order_id = o.order_id
-    WHERE o.status IN ('complete', 'shipped', 'processing')
 ),
 customers AS (
     SELECT user_id AS customer_id,

@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from shopsight.operators import assortment, churn_features, kpis, purchases, quality, recommend, rfm, skew
+from shopsight.operators import assortment, churn_features, kpis, purchases, quality, recommend, rfm
 from shopsight.sources.scratch import materialize
 from tests import tables
 
@@ -98,17 +98,12 @@ def test_adaptive_execution_splits_hot_customers(spark, skewed, forced_skew):
     assert rows == dict(Counter(("AB"[u % 2] if u < 40 else None, p) for _, u, p, _ in item_rows))
 
 
-def test_salted_lookup_equals_plain_join(spark, skewed):
-    order_rows, _, orders, items, _ = skewed
-    owners = orders.select("order_id", "user_id")
-    facts = items.select("order_id", "product_id", "sale_price")
-    hot = skew.hot_keys(facts, "order_id", hot_rows=500, share=1.0).collect()
-    assert [(r.order_id, r.parts) for r in hot] == [(7, 7)]
-    salted = skew.salted_lookup(facts, owners, "order_id", ["product_id", "sale_price"], hot_rows=500, share=1.0)
-    plain = facts.join(owners, "order_id")
-    assert salted.columns == plain.columns
-    assert salted.count() == plain.count() == len(skewed[1])
-    assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
+def test_hot_order_is_split_among_completed_items(spark, skewed, forced_skew):
+    _, item_rows, orders, items, _ = skewed
+    found = purchases.completed_items(orders, items)
+    assert found.select("order_id", "user_id", "product_id", "sale_price").collect()
+    assert found.count() == len(item_rows)
+    assert found.agg(F.sum("sale_price")).first()[0] == pytest.approx(sum(price for *_, price in item_rows))
 
 
 def test_repeated_order_rows_do_not_multiply_items(spark, skewed):
