@@ -8,8 +8,8 @@ array lists its suffixes, each cut to `LENGTH` bytes and ordered by the 64-bit
 fingerprint of that prefix: only equality of whole prefixes matters here, so
 fingerprint order serves as well as letter order and takes 8 bytes a suffix. The
 suffix space is divided into buckets, each a task of its own. In a bucket, every
-batch's array joins a family of levels; levels of equal size are merged, keeping
-the smallest identifier of each suffix, so there are logarithmically many; each
+batch's array joins a family of levels; levels of about equal size are merged,
+keeping the smallest identifier of each suffix, so there are logarithmically many; each
 batch is then merge-scanned against the levels.
 
 Suffixes that cannot repeat never reach the arrays. Three narrowing steps:
@@ -132,8 +132,8 @@ class Family:
         self.levels: list[tuple[np.ndarray, np.ndarray]] = []
 
     def add(self, keys: np.ndarray, ids: np.ndarray) -> None:
-        """Take in a batch's array (distinct ascending keys); merge while the level before is no larger."""
-        while self.levels and len(self.levels[-1][0]) <= len(keys):
+        """Take in a batch's array (distinct ascending keys); every level stays over twice as large as the next."""
+        while self.levels and len(self.levels[-1][0]) <= 2 * len(keys):
             other_keys, other_ids = self.levels.pop()
             both, _, order, first = grouped(np.concatenate([other_keys, keys]))
             keys, ids = both, least(np.concatenate([other_ids, ids]), order, first)
