@@ -132,26 +132,29 @@ def assign(rows: DataFrame, n_shards: int, dimensions: Mapping[str, Column] | No
 
 
 def write_shards(docs: DataFrame, folder: str, n_shards: int) -> DataFrame:
-    """Write all columns of `docs` in curve order, one folder per shard, and a manifest of per-file ranges.
+    """Write all columns of `docs` in curve order, one folder `curve_shard=` per shard, and a manifest of ranges.
 
-    Files are contiguous runs of a shard, so each covers a small box. Returns the manifest.
+    Files are contiguous runs of a shard, so each covers a small box. Returns the
+    manifest: curve_shard, file, n_rows, and the least and largest value of each dimension.
     """
     spark = docs.sparkSession
     stored = file_backed(docs)
-    placed = assign(metadata(stored), n_shards).select("file_path", "row_index", "shard", "slot", "size")
-    whole = stored.select(
-        "*", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.row_index").alias("row_index")
+    place = F.struct(F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.row_index").alias("row_index"))
+    whole = stored.select("*", place.alias("_own_place"))
+    assigned = assign(metadata(stored), n_shards)
+    placed = assigned.select(
+        F.struct("file_path", "row_index").alias("_place"), F.col("shard").alias("curve_shard"), F.col("slot").alias("_slot")
     )
-    ordered = whole.join(placed, ["file_path", "row_index"]).drop("file_path", "row_index")
+    joined = whole.join(placed, whole["_own_place"] == placed["_place"])
+    columns = [whole[f"`{c}`"] for c in docs.columns]
+    ordered = joined.select(*columns, "curve_shard", "_slot").repartitionByRange("curve_shard", "_slot")
     data = paths.join(folder, "data")
-    ordered.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(data)
-    written = spark.read.parquet(data).withColumn("file", F.col("_metadata.file_path"))
-    ranges = [
-        f(c).alias(f"{name}_{c}")
-        for c in ("size", "lang", "source", "doc_id")
-        for name, f in (("min", F.min), ("max", F.max))
-    ]
-    manifest = written.groupBy("shard", "file").agg(F.count(F.lit(1)).alias("n_rows"), *ranges)
+    ordered.sortWithinPartitions("curve_shard", "_slot").drop("_slot").write.partitionBy("curve_shard").parquet(data)
+    written = spark.read.parquet(data)
+    dimensions = {"size": F.octet_length(F.coalesce("text", F.lit(""))) + 1} | {c: written[c] for c in ("lang", "source", "doc_id")}
+    narrow = written.select("curve_shard", F.col("_metadata.file_path").alias("file"), *[v.alias(k) for k, v in dimensions.items()])
+    ranges = [f(c).alias(f"{name}_{c}") for c in dimensions for name, f in (("min", F.min), ("max", F.max))]
+    manifest = narrow.groupBy("curve_shard", "file").agg(F.count(F.lit(1)).alias("n_rows"), *ranges)
     manifest.write.parquet(paths.join(folder, "manifest"))
     return spark.read.parquet(paths.join(folder, "manifest"))
 
@@ -160,7 +163,7 @@ def prune(manifest: DataFrame, wanted: Mapping[str, tuple]) -> DataFrame:
     """Files that may hold rows with every column of `wanted` within its (low, high), both included."""
     for column, (low, high) in wanted.items():
         manifest = manifest.where((F.col(f"min_{column}") <= high) & (F.col(f"max_{column}") >= low))
-    return manifest.select("shard", "file")
+    return manifest.select("curve_shard", "file")
 
 
 def digest(assigned: DataFrame) -> DataFrame:

@@ -15,12 +15,13 @@ passed over:
   one word, and on 192 coordinates more, which only documents in lists have; pairs at
   or above the thresholds are verified on their full shingle sets.
 
-Pairs within a list are not all made. First each member meets the most central
-member of its list, the one with most company in all its lists. After the links found are merged to components, each member outside
-its list's largest component meets the most similar member of every other
-component there. Last, pairs that are still in different components meet. Pairs
-inside one component are never made, since they cannot change the result, and no
-pair across components is left out, so the components are those of all links.
+Pairs within a list are not all made. First each member meets a few pivots of its
+list: the member with most company in all its lists, and some drawn by hash. The
+links found are merged to components; each member outside its list's largest
+component then meets pivots drawn from that component. Last, all pairs that are
+still in different components meet. Pairs inside one component are never made,
+since they cannot change the result, and no pair across components is left out, so
+the components are those of all links; the pivots only decide how few are left.
 
 Skew: exact copies collapse in a pre-aggregated group; hot lists are joined by
 sort-merge joins that adaptive execution splits. All intermediate results are
@@ -51,6 +52,7 @@ COORDINATES = 64
 MATCHES = 35
 ALL_COORDINATES = 256
 ALL_MATCHES = 172
+PIVOTS = 4
 WHOLE_PLANES, LOW_PLANES = 32, 4  # of the posted coordinates, and of each 64 others
 _STEP = 1 << 15  # shingles hashed at a time, so that a long text takes bounded memory
 
@@ -134,8 +136,8 @@ N_PLANES = WHOLE_PLANES + LOW_PLANES * (ALL_COORDINATES - COORDINATES) // 64
 
 
 def _sided(side: str) -> list[Column]:
-    """The planes as columns of their own, which compiled joins compare fastest."""
-    return [F.col("planes")[i].alias(f"{side}{i}") for i in range(N_PLANES)]
+    """The planes as columns of their own, never null: joins then compile to code short enough for the JIT."""
+    return [F.coalesce(F.col("planes")[i], F.lit(0).cast("long")).alias(f"{side}{i}") for i in range(N_PLANES)]
 
 
 def _differ(first: int, last: int) -> Column:
@@ -163,7 +165,7 @@ def _sizes_fit(percent: int) -> Column:
 
 
 def _may_link(percent: int) -> Column:
-    return _sizes_fit(percent) & (_matches() >= MATCHES) & (_all_matches() >= ALL_MATCHES)
+    return _sizes_fit(percent) & (_all_matches() >= ALL_MATCHES)
 
 
 def posting_lists(classes: DataFrame) -> DataFrame:
@@ -229,18 +231,47 @@ class Links:
         return components(self.links, "minhash-components")
 
 
+def _drawn(first: int, n: int) -> list[Column]:
+    """Aggregates: n members of a list, drawn by hash."""
+    return [F.min(F.struct(F.xxhash64("node", F.lit(first + i)).alias("h"), "node"))["node"] for i in range(n)]
+
+
 def _star_pairs(lists: DataFrame) -> DataFrame:
-    centres = lists.groupBy("key").agg(F.max(F.struct("centre", "node")).alias("top"))
-    centres = centres.select("key", F.col("top.node").alias("a"))
-    return lists.join(centres, "key").where("a <> node").select("a", F.col("node").alias("b")).distinct()
+    """Each member of a list with the list's pivots."""
+    central = F.max(F.struct("centre", "node"))["node"]
+    pivots = lists.groupBy("key").agg(F.array_distinct(F.array(central, *_drawn(0, PIVOTS - 1))).alias("pivots"))
+    return _with_pivots(lists, pivots)
 
 
-def _cross_pairs(lists: DataFrame, labels: DataFrame, members: DataFrame, percent: int, closest_only: bool) -> DataFrame:
-    """Pairs that share a list, are of different components, and whose signatures allow a link."""
-    labelled = lists.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+def _with_pivots(rows: DataFrame, pivots: DataFrame) -> DataFrame:
+    pairs = rows.join(pivots, "key").select("node", F.explode("pivots").alias("a")).where("a <> node")
+    return pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
+
+
+def _main_components(labelled: DataFrame) -> DataFrame:
+    """(key, main) of the lists with several components: the largest of each."""
     counts = labelled.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
     mixed = counts.groupBy("key").agg(F.max(F.struct("n", "component")).alias("main"), F.count(F.lit(1)).alias("several"))
-    mixed = mixed.where("several > 1").select("key", F.col("main.component").alias("main"))
+    return mixed.where("several > 1").select("key", F.col("main.component").alias("main"))
+
+
+def _labelled(lists: DataFrame, labels: DataFrame) -> DataFrame:
+    return lists.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+
+def _main_pairs(lists: DataFrame, labels: DataFrame) -> DataFrame:
+    """Each member outside its list's largest component with pivots drawn from that component."""
+    labelled = _labelled(lists, labels)
+    mixed = materialize(labelled.join(_main_components(labelled), "key"), "minhash-mixed")
+    inside = mixed.where("component = main").groupBy("key")
+    pivots = inside.agg(F.array_distinct(F.array(*_drawn(PIVOTS, 2 * PIVOTS))).alias("pivots"))
+    return _with_pivots(mixed.where("component <> main").select("key", "node"), pivots)
+
+
+def _cross_pairs(lists: DataFrame, labels: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """Pairs that share a list, are of different components, and whose signatures allow a link."""
+    labelled = _labelled(lists, labels)
+    mixed = _main_components(labelled)
     # By coordinate: the lists that a node is posted in, and those before the one at hand.
     at = "cast(shiftrightunsigned(key, 32) as int)"
     bit = F.expr(f"shiftleft(1L, {at})")
@@ -273,11 +304,7 @@ def _cross_pairs(lists: DataFrame, labels: DataFrame, members: DataFrame, percen
         & _may_link(percent)
         & (agree.bitwiseAND(F.col("earlier_a")).bitwiseAND(F.col("posted_b")) == 0)
     )
-    pairs = outside.join(anyone, meet)
-    if closest_only:
-        nearest = pairs.groupBy("a", "c_b").agg(F.max(F.struct(_all_matches().alias("matches"), "b")).alias("best"))
-        return nearest.select("a", F.col("best.b").alias("b"))
-    return pairs.select("a", "b")
+    return outside.join(anyone, meet).select("a", "b")
 
 
 def find_groups(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = SIMILAR_PERCENT) -> DataFrame:
@@ -308,8 +335,8 @@ def find_groups(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = SIMI
 
     found = Links(members, words, percent)
     found.verify(found.likely(_star_pairs(lists)))
-    for closest_only in (True, False):
-        found.verify(_cross_pairs(lists, found.labels(), members, percent, closest_only))
+    found.verify(found.likely(_main_pairs(lists, found.labels())))
+    found.verify(_cross_pairs(lists, found.labels(), members, percent))
     labels = found.labels()
 
     groups = classes.select("node", "first").join(labels, "node", "left")
