@@ -10,16 +10,17 @@ passed over:
   `MATCHES` shared postings;
 - prefix filter: of its s shared postings a document keeps the s - MATCHES + 1
   rarest; two documents that agree in MATCHES of them share one of those;
-- a pair is made in the first list that both prefixes share; collisions are counted
-  there on whole signatures, kept as bit planes so that 64 coordinates compare in
-  one word, and on 192 coordinates more, which only documents in lists have; pairs at
-  or above the thresholds are verified on their full shingle sets.
+- collisions of pairs met in lists are counted on 256 coordinates, of which four bits
+  each are kept in bit planes, so that 64 coordinates compare in a few words; pairs at
+  or above the threshold are verified on their full shingle sets.
 
 Pairs within a list are not all made. First each member meets a few pivots of its
 list: the member with most company in all its lists, and some drawn by hash. The
 links found are merged to components; each member outside its list's largest
 component then meets pivots drawn from that component. Last, all pairs that are
-still in different components meet. Pairs inside one component are never made,
+still in different components meet: in the postings of the first nine coordinates,
+of which a pair of similarity 0.8 shares one but for a probability of 5e-7, in the
+first that it shares, and with a comparison of shingle sets within the join. Pairs inside one component are never made,
 since they cannot change the result, and no pair across components is left out, so
 the components are those of all links; the pivots only decide how few are left.
 
@@ -51,9 +52,10 @@ SIMILAR_PERCENT = 80
 COORDINATES = 64
 MATCHES = 35
 ALL_COORDINATES = 256
-ALL_MATCHES = 172
+ALL_MATCHES = 176  # four bits of coordinates that differ agree one time in sixteen
+PLANES = 4
+LAST_POSTED = 9
 PIVOTS = 4
-WHOLE_PLANES, LOW_PLANES = 32, 4  # of the posted coordinates, and of each 64 others
 _STEP = 1 << 15  # shingles hashed at a time, so that a long text takes bounded memory
 
 _random = np.random.default_rng(64)
@@ -86,11 +88,8 @@ def bit_planes(values: np.ndarray, n: int) -> np.ndarray:
     return np.packbits(bits.astype(np.uint8)[:, ::-1], axis=1)[:, ::-1].copy().view(np.int64).ravel()
 
 
-def planes(shingle_set: np.ndarray) -> np.ndarray:
-    values = signature(shingle_set, ALL_COORDINATES)
-    parts = [bit_planes(values[:COORDINATES], WHOLE_PLANES)]
-    parts += [bit_planes(values[i : i + 64], LOW_PLANES) for i in range(COORDINATES, ALL_COORDINATES, 64)]
-    return np.concatenate(parts)
+def planes(values: np.ndarray) -> np.ndarray:
+    return np.concatenate([bit_planes(values[i : i + 64], PLANES) for i in range(0, ALL_COORDINATES, 64)])
 
 
 def _signed(words: int):
@@ -123,16 +122,27 @@ def _signed(words: int):
     return sign
 
 
-def _with_planes(words: int):
+MEMBER = "node long, n_shingles long, text binary, planes array<long>, marks array<int>, short array<int>"
+
+
+def _members(words: int):
+    """Adds bit planes, the first coordinates, and the shingles cut to 32 bits."""
+
     def add(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows = [planes(shingles(text, words)) for text in batch.column(2).to_pylist()]
-        made = pa.array([r.tolist() for r in rows], pa.list_(pa.int64()))
-        return pa.RecordBatch.from_arrays([*batch.columns, made], names=["node", "n_shingles", "text", "planes"])
+        sets = [shingles(text, words) for text in batch.column(2).to_pylist()]
+        signatures = [signature(s, ALL_COORDINATES) for s in sets]
+        made = [
+            pa.array([planes(v).tolist() for v in signatures], pa.list_(pa.int64())),
+            pa.array([v[:LAST_POSTED].view(np.int32).tolist() for v in signatures], pa.list_(pa.int32())),
+            pa.array([np.unique(s.astype(np.uint32)).view(np.int32) for s in sets], pa.list_(pa.int32())),
+        ]
+        names = "node n_shingles text planes marks short".split()
+        return pa.RecordBatch.from_arrays([*batch.columns, *made], names=names)
 
     return add
 
 
-N_PLANES = WHOLE_PLANES + LOW_PLANES * (ALL_COORDINATES - COORDINATES) // 64
+N_PLANES = PLANES * ALL_COORDINATES // 64
 
 
 def _sided(side: str) -> list[Column]:
@@ -140,23 +150,14 @@ def _sided(side: str) -> list[Column]:
     return [F.coalesce(F.col("planes")[i], F.lit(0).cast("long")).alias(f"{side}{i}") for i in range(N_PLANES)]
 
 
-def _differ(first: int, last: int) -> Column:
-    """By bit: does the coordinate differ in one of the planes."""
-    out = F.col(f"a{first}").bitwiseXOR(F.col(f"b{first}"))
-    for i in range(first + 1, last):
-        out = out.bitwiseOR(F.col(f"a{i}").bitwiseXOR(F.col(f"b{i}")))
-    return out
-
-
-def _matches() -> Column:
-    return COORDINATES - F.bit_count(_differ(0, WHOLE_PLANES))
-
-
 def _all_matches() -> Column:
-    """Collisions over all coordinates; the others may agree in their low bits by chance, so rather more."""
-    total = _matches()
-    for at in range(WHOLE_PLANES, N_PLANES, LOW_PLANES):
-        total = total + (64 - F.bit_count(_differ(at, at + LOW_PLANES)))
+    """Coordinates whose kept bits agree."""
+    total = F.lit(ALL_COORDINATES)
+    for at in range(0, N_PLANES, PLANES):
+        differ = F.col(f"a{at}").bitwiseXOR(F.col(f"b{at}"))
+        for i in range(at + 1, at + PLANES):
+            differ = differ.bitwiseOR(F.col(f"a{i}").bitwiseXOR(F.col(f"b{i}")))
+        total = total - F.bit_count(differ)
     return total
 
 
@@ -268,41 +269,35 @@ def _main_pairs(lists: DataFrame, labels: DataFrame) -> DataFrame:
     return _with_pivots(mixed.where("component <> main").select("key", "node"), pivots)
 
 
-def _cross_pairs(lists: DataFrame, labels: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """Pairs that share a list, are of different components, and whose signatures allow a link."""
+def _cross_pairs(labels: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """All pairs of different components that share a posting and that, by their cut shingles, are linked."""
+    posted = members.select("node", F.posexplode("marks").alias("at", "value"))
+    lists = posted.select("node", "at", F.struct("at", "value").alias("key"))
     labelled = _labelled(lists, labels)
-    mixed = _main_components(labelled)
-    # By coordinate: the lists that a node is posted in, and those before the one at hand.
-    at = "cast(shiftrightunsigned(key, 32) as int)"
-    bit = F.expr(f"shiftleft(1L, {at})")
-    lower = F.expr(f"shiftrightunsigned(-1L, 63 - {at}) & ~shiftleft(1L, {at})")
-    posted = lists.groupBy("node").agg(F.bit_or(bit).alias("posted"))
-    active = labelled.join(mixed, "key").join(posted, "node").join(members.select("node", "n_shingles", "planes"), "node")
-    active = materialize(active, "minhash-mixed")
-    outside = active.where("component <> main").select(
-        "key",
-        F.col("node").alias("a"),
-        F.col("component").alias("c_a"),
-        F.col("n_shingles").alias("n_a"),
-        F.col("posted").bitwiseAND(lower).alias("earlier_a"),
-        *_sided("a"),
-    )
-    anyone = active.select(
-        F.col("key").alias("key_b"),
-        F.col("node").alias("b"),
-        F.col("component").alias("c_b"),
-        "main",
-        F.col("n_shingles").alias("n_b"),
-        F.col("posted").alias("posted_b"),
-        *_sided("b"),
-    )
-    agree = F.bitwise_not(_differ(0, WHOLE_PLANES))
+    active = materialize(labelled.join(_main_components(labelled), "key"), "minhash-mixed")
+    full = members.drop("text")
+    outside = active.where("component <> main").join(full, "node")
+    outside = outside.select(
+        F.col("key").alias("key_a"), "at", F.col("node").alias("a"), F.col("component").alias("c_a"),
+        F.col("n_shingles").alias("n_a"), F.col("marks").alias("marks_a"), F.col("short").alias("short_a"), *_sided("a"),
+    )
+    anyone = active.drop("at").join(full, "node").select(
+        F.col("key").alias("key_b"), F.col("node").alias("b"), F.col("component").alias("c_b"), "main",
+        F.col("n_shingles").alias("n_b"), F.col("marks").alias("marks_b"), F.col("short").alias("short_b"), *_sided("b"),
+    )
+    earlier = F.lit(0)
+    for i in range(LAST_POSTED):
+        same = (F.lit(i) < F.col("at")) & (F.col("marks_a")[i] == F.col("marks_b")[i])
+        earlier = earlier + same.cast("int")
+    # Cut shingles can agree by chance and merge: one of slack; `Links.verify` decides.
+    common = F.size(F.array_intersect("short_a", "short_b")) + 1
     meet = (
-        (F.col("key") == F.col("key_b"))
+        (F.col("key_a") == F.col("key_b"))
         & (F.col("c_a") != F.col("c_b"))
         & ((F.col("c_b") == F.col("main")) | (F.col("a") < F.col("b")))
         & _may_link(percent)
-        & (agree.bitwiseAND(F.col("earlier_a")).bitwiseAND(F.col("posted_b")) == 0)
+        & (earlier == 0)
+        & (common * 100 >= percent * (F.col("n_a") + F.col("n_b") - common))
     )
     return outside.join(anyone, meet).select("a", "b")
 
@@ -330,13 +325,12 @@ def find_groups(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = SIMI
         "node", "n_shingles", F.col("first.file_path").alias("file_path"), F.col("first.row_index").alias("row_index")
     )
     texts = rows.select("text", "file_path", "row_index").join(wanted, ["file_path", "row_index"])
-    member = "node long, n_shingles long, text binary, planes array<long>"
-    members = materialize(map_arrow(texts.select("node", "n_shingles", "text"), _with_planes(words), member), "minhash-members")
+    members = materialize(map_arrow(texts.select("node", "n_shingles", "text"), _members(words), MEMBER), "minhash-members")
 
     found = Links(members, words, percent)
     found.verify(found.likely(_star_pairs(lists)))
     found.verify(found.likely(_main_pairs(lists, found.labels())))
-    found.verify(_cross_pairs(lists, found.labels(), members, percent))
+    found.verify(_cross_pairs(found.labels(), members, percent))
     labels = found.labels()
 
     groups = classes.select("node", "first").join(labels, "node", "left")

@@ -116,8 +116,13 @@ def test_repeated_rows_leave_one(spark):
 def test_miss_probability():
     from math import comb
 
-    for n, t in ((minhash.COORDINATES, minhash.MATCHES), (minhash.ALL_COORDINATES, minhash.ALL_MATCHES)):
-        assert sum(comb(n, i) * 0.8**i * 0.2 ** (n - i) for i in range(t)) < 2e-6
+    chance = 1 / 2**minhash.PLANES
+    for n, t, p in (
+        (minhash.COORDINATES, minhash.MATCHES, 0.8),
+        (minhash.ALL_COORDINATES, minhash.ALL_MATCHES, 0.8 + 0.2 * chance),
+        (minhash.LAST_POSTED, 1, 0.8),
+    ):
+        assert sum(comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(t)) < 1.5e-6
 
 
 def test_bit_planes():
