@@ -52,7 +52,7 @@ from shopsight.sources.scratch import materialize, new_path
 LENGTH = 50
 GRAM = 24
 REACH = LENGTH - GRAM
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 BLOCK = 1 << 19
 BUCKET_KEYS = 1 << 18
 LAST = np.iinfo(np.int64).max
@@ -299,12 +299,12 @@ def _send_anchors(log: int):
 
 
 def _repeated(table: pa.Table) -> pa.Table:
-    """Of a bucket's anchors, those that several chunks sent."""
+    """Of a bucket's anchors, those that were sent more than once."""
     sent = [np.frombuffer(k, np.uint32) for k in table.column("keys").to_pylist()]
-    distinct, _, _, first = grouped(np.concatenate([np.unique(k) for k in sent]))
-    total = sum(len(np.unique(k)) for k in sent)
-    repeated = distinct[np.diff(np.append(first, total)) > 1]
-    return _answers(table, [(np.isin(k, repeated), None) for k in sent])
+    _, number, _, first = grouped(np.concatenate(sent))
+    repeated = (np.diff(np.append(first, len(number))) > 1)[number]
+    ends = np.cumsum([len(k) for k in sent])
+    return _answers(table, [(bits, None) for bits in np.split(repeated, ends[:-1])])
 
 
 def _answers(table: pa.Table, found: list[tuple[np.ndarray, np.ndarray | None]]) -> pa.Table:
