@@ -134,7 +134,8 @@ FRAGMENTS: dict[str, str] = {
             SELECT *, row_number() OVER (PARTITION BY order_id
                       ORDER BY created_at NULLS LAST, user_id, status, num_of_item NULLS LAST) AS n FROM (
                 SELECT TRY_CAST(order_id AS BIGINT) AS order_id, TRY_CAST(user_id AS BIGINT) AS user_id,
-                       lower(trim(status)) AS status, TRY_CAST(created_at AS TIMESTAMP) AS created_at, num_of_item
+                       lower(trim(status)) AS status, TRY_CAST(created_at AS TIMESTAMP) AS created_at,
+                       TRY_CAST(num_of_item AS BIGINT) AS num_of_item
                 FROM {d_orders}) WHERE order_id IS NOT NULL AND user_id IS NOT NULL)
         WHERE n = 1 AND created_at IS NOT NULL""",
     # --- purchases ----------------------------------------------------------
@@ -605,6 +606,7 @@ ORACLES: dict[str, str] = {
                TRY_CAST(created_at AS TIMESTAMP) AS created_at, TRY_CAST(sold_at AS TIMESTAMP) AS sold_at,
                TRY_CAST(cost AS DOUBLE) AS cost
         FROM {d_inventory}""",
+    "clean_centers": "SELECT TRY_CAST(id AS BIGINT) AS id, name, latitude, longitude FROM {d_centers}",
     "clean_dedupe_first": """
         SELECT order_id, id, product_id, sale_price FROM (
             SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY sale_price, product_id, id) AS n FROM {items})

@@ -264,6 +264,11 @@ def clean_inventory(m: Model) -> DataFrame:
     return cleaning.clean_inventory_items(m.dirty["inventory_items"])
 
 
+@query
+def clean_centers(m: Model) -> DataFrame:
+    return cleaning.clean_centers(m.dirty["distribution_centers"])
+
+
 @query
 def clean_dedupe_first(m: Model) -> DataFrame:
     items = m.items.select("order_id", "id", "product_id", "sale_price")

@@ -202,3 +202,14 @@ OUTPUTS: dict[str, OutputContract] = {
         ["estimated_clv", "annual_frequency"],
     ),
 }
+
+# What CSV files write for a missing value, and the forms of dates
+# besides ISO that are read, in the order in which they are tried.
+NULL_WORDS = [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+    "NULL", "NaN", "None", "n/a", "nan", "null",
+]
+DATE_FORMATS = [
+    "yyyy/MM/dd HH:mm:ss", "yyyy/MM/dd HH:mm", "yyyy/MM/dd",
+    "MM/dd/yyyy HH:mm:ss", "MM/dd/yyyy HH:mm", "MM/dd/yyyy",
+]

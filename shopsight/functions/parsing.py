@@ -6,10 +6,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shopsight.contracts import DATE_FORMATS
+
 
 def timestamp(col: str, dtype: T.DataType) -> Column:
+    """ISO forms first, then DATE_FORMATS."""
     if isinstance(dtype, T.StringType):
-        return F.try_to_timestamp(F.col(col))
+        others = [F.try_to_timestamp(F.col(col), F.lit(form)) for form in DATE_FORMATS]
+        return F.coalesce(F.try_to_timestamp(F.col(col)), *others)
     return F.col(col).cast("timestamp")
 
 

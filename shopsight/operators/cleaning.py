@@ -56,6 +56,8 @@ def clean_users(df: DataFrame) -> DataFrame:
 
 def clean_orders(df: DataFrame) -> DataFrame:
     typed = _typed(df, dates=ORDER_DATES, lowered=["status"])
+    if dict(typed.dtypes).get("num_of_item") == "string":
+        typed = typed.withColumn("num_of_item", F.col("num_of_item").try_cast("bigint"))
     unique = first_per_key(drop_missing_key(typed, "order_id", "user_id"), "order_id")
     return unique.filter(F.col("created_at").isNotNull())
 
@@ -79,6 +81,10 @@ def clean_inventory_items(df: DataFrame) -> DataFrame:
     return _typed(df, dates=["created_at", "sold_at"], numbers=["cost"])
 
 
+def clean_centers(df: DataFrame) -> DataFrame:
+    return _typed(df, numbers=["latitude", "longitude"])
+
+
 CLEANERS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "users": clean_users,
     "orders": clean_orders,
@@ -86,6 +92,7 @@ CLEANERS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "products": clean_products,
     "events": clean_events,
     "inventory_items": clean_inventory_items,
+    "distribution_centers": clean_centers,
 }
 
 

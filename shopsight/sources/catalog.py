@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 from pathlib import Path
 
@@ -15,18 +16,35 @@ def register(tables: dict[str, DataFrame], persistent: bool = False) -> list[str
     """Register every table under its name, replacing old ones.
 
     All plans are resolved before the first name changes, so a bad table leaves
-    the catalog as it was.
+    the catalog as it was. Persistent tables are all written under other names
+    first; later sessions of the same catalog can read them.
     """
     for df in tables.values():
         df.schema  # noqa: B018 - resolves the plan
-    for name, df in tables.items():
-        if persistent:
-            df.write.mode("overwrite").saveAsTable(quoted(name))
-        else:
+    if persistent:
+        _register_persistent(tables)
+    else:
+        for name, df in tables.items():
             df.createOrReplaceTempView(quoted(name))
     return list(tables)
 
 
+def _register_persistent(tables: dict[str, DataFrame]) -> None:
+    written: dict[str, str] = {}
+    try:
+        for name, df in tables.items():
+            written[name] = f"{name}_{uuid.uuid4().hex}"
+            df.write.saveAsTable(quoted(written[name]))
+    except BaseException:
+        for name, new in written.items():
+            tables[name].sparkSession.sql(f"DROP TABLE IF EXISTS {quoted(new)}")
+        raise
+    for name, new in written.items():
+        spark = tables[name].sparkSession
+        spark.sql(f"DROP TABLE IF EXISTS {quoted(name)}")
+        spark.sql(f"ALTER TABLE {quoted(new)} RENAME TO {quoted(name)}")
+
+
 def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 

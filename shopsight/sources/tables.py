@@ -7,8 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopsight.contracts import RAW_TABLES
-from shopsight.sources import paths
+from shopsight.contracts import NULL_WORDS, RAW_TABLES
+from shopsight.sources import catalog, paths
 
 FORMATS = ("parquet", "csv")
 
@@ -24,31 +24,36 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Every column as text: no inference pass, the cleaners parse."""
-    return spark.read.option("header", True).option("inferSchema", False).option("escape", '"').csv(path)
+def read_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Every column as text: no inference pass, the cleaners parse. NULL_WORDS become NULL.
 
+    `multi_line` reads quoted line breaks; files can then not be split over tasks.
+    """
+    reader = spark.read.option("header", True).option("inferSchema", False).option("escape", '"')
+    text = reader.option("multiLine", multi_line).csv(path)
+    return text.select(
+        *[F.when(~F.col(c).isin(*NULL_WORDS), F.col(c)).alias(c) for c in (catalog.quoted(n) for n in text.columns)]
+    ).toDF(*text.columns)
 
-READERS = {"parquet": read_parquet, "csv": read_csv}
 
-
-def load_table(spark: SparkSession, table: str, raw_dir: str) -> DataFrame:
+def load_table(spark: SparkSession, table: str, raw_dir: str, multi_line: bool = False) -> DataFrame:
     fmt = detect_format(spark, table, raw_dir)
     if fmt is None:
         raise FileNotFoundError(f"Table '{table}' not found in {raw_dir} as Parquet or CSV.")
-    return READERS[fmt](spark, paths.join(raw_dir, f"{table}.{fmt}"))
+    path = paths.join(raw_dir, f"{table}.{fmt}")
+    return read_parquet(spark, path) if fmt == "parquet" else read_csv(spark, path, multi_line)
 
 
 def load_all_tables(
-    spark: SparkSession, raw_dir: str, required: list[str] = RAW_TABLES
+    spark: SparkSession, raw_dir: str, required: list[str] = RAW_TABLES, multi_line: bool = False
 ) -> dict[str, DataFrame]:
-    """All required tables; one error names every missing one."""
+    """All required tables; one error names every missing one. `multi_line` as in `read_csv`."""
     if not paths.exists(spark, raw_dir):
         raise FileNotFoundError(f"Raw data directory does not exist: {raw_dir}")
     missing = [t for t in required if detect_format(spark, t, raw_dir) is None]
     if missing:
         raise FileNotFoundError(f"Required tables missing in {raw_dir}: {', '.join(missing)}")
-    return {t: load_table(spark, t, raw_dir) for t in required}
+    return {t: load_table(spark, t, raw_dir, multi_line) for t in required}
 
 
 def has_complete_inputs(spark: SparkSession, raw_dir: str, required: list[str] = RAW_TABLES) -> bool:

@@ -69,3 +69,20 @@ def test_optional_dates(spark, column):
     raw = tables.raw_tables(spark)["orders"]
     raw = raw.withColumn(column, F.lit("2021-01-01"))
     assert dict(cleaning.clean_orders(raw).dtypes)[column] == "timestamp"
+
+
+@pytest.mark.parametrize(
+    "text,day",
+    [("2022/05/01", "2022-05-01"), ("05/01/2022 10:00", "2022-05-01"), ("12/31/2022", "2022-12-31"), ("31/31/2022", None)],
+)
+def test_dates_written_otherwise(spark, text, day):
+    raw = spark.createDataFrame([("1", "1", "complete", text, None)], TEXT_ORDERS)
+    rows = cleaning.clean_orders(raw).select(F.date_format("created_at", "yyyy-MM-dd").alias("d")).collect()
+    assert [r.d for r in rows] == ([day] if day else [])
+
+
+def test_numbers_and_centers_are_typed(spark):
+    orders = tables.raw_tables(spark)["orders"].withColumn("num_of_item", F.lit("3"))
+    assert dict(cleaning.clean_orders(orders).dtypes)["num_of_item"] == "bigint"
+    text = tables.raw_tables(spark)["distribution_centers"].select(*[F.col(c).cast("string").alias(c) for c in ("id", "name", "latitude", "longitude")])
+    assert dict(cleaning.clean_centers(text).dtypes) == {"id": "bigint", "name": "string", "latitude": "double", "longitude": "double"}

@@ -200,3 +200,25 @@ def test_scratch_folder_is_private_only_on_a_local_session(spark):
     named = Session("yarn")
     named.conf["spark.checkpoint.dir"] = "hdfs:///shared"
     assert scratch.root(named) == "hdfs:///shared"
+
+
+def test_csv_null_words_and_line_breaks(spark, tmp_path):
+    (tmp_path / "t.csv").write_text('id,name\n1,NA\n2,"two\nlines"\n3,nan\n4,Nan\n')
+    rows = {r.id: r.name for r in tables.read_csv(spark, str(tmp_path / "t.csv"), multi_line=True).collect()}
+    assert rows == {"1": None, "2": "two\nlines", "3": None, "4": "Nan"}
+
+
+def test_persistent_registration_is_all_or_nothing(spark):
+    name = "persistent_test_table"
+    catalog.register({name: frame(spark, value=1)}, persistent=True)
+    try:
+        broken = spark.sql("SELECT raise_error('no') AS x")
+        with pytest.raises(Exception):
+            catalog.register({name: frame(spark, value=2), "persistent_test_broken": broken}, persistent=True)
+        assert spark.newSession().table(name).first().x == 1
+        catalog.register({name: frame(spark, value=3)}, persistent=True)
+        assert spark.newSession().table(name).first().x == 3
+        left = [t.name for t in spark.catalog.listTables() if t.name.startswith("persistent_test")]
+        assert left == [name]
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
