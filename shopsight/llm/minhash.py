@@ -55,7 +55,7 @@ ALL_COORDINATES = 256
 ALL_MATCHES = 176  # four bits of coordinates that differ agree one time in sixteen
 PLANES = 4
 LAST_POSTED = 9
-PIVOTS = 4
+PIVOTS = 3
 _STEP = 1 << 15  # shingles hashed at a time, so that a long text takes bounded memory
 
 _random = np.random.default_rng(64)
