@@ -35,19 +35,24 @@ def new_path(spark: SparkSession, label: str) -> str:
     return paths.join(root(spark), f"{label}-{uuid.uuid4().hex}")
 
 
+ROWS_PER_PART = 100_000
+
+
 def materialize(df: DataFrame, label: str, spread_by: str | None = None) -> DataFrame:
     """Write `df` once and return the stored table.
 
-    `spread_by` spreads the rows over all cores, in key order, for readers that
-    compute much per row (model training and scoring): a small table would
-    otherwise end up in one file and one task.
+    `spread_by` spreads the rows in key order over tasks of at most about
+    ROWS_PER_PART rows, and over all cores at least, for readers that compute much
+    per row (model training and scoring): a small table would otherwise end up in
+    one file and one task.
     """
     spark = df.sparkSession
-    if spread_by is not None:
-        cores = spark.sparkContext.defaultParallelism
-        # Hashing the key keeps the exchange where the plan is already partitioned
-        # by the key itself and would be coalesced again.
-        df = df.repartition(cores, F.xxhash64(spread_by)).sortWithinPartitions(spread_by)
     path = new_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    if spread_by is None:
+        return stored
+    parts = max(spark.sparkContext.defaultParallelism, -(-stored.count() // ROWS_PER_PART))
+    # Hashing the key keeps the exchange where the plan is already partitioned by it.
+    spread = stored.repartition(parts, F.xxhash64(spread_by)).sortWithinPartitions(spread_by)
+    return materialize(spread, label)

@@ -222,3 +222,9 @@ def test_persistent_registration_is_all_or_nothing(spark):
         assert left == [name]
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_spread_tables_grow_with_their_rows(spark, monkeypatch):
+    monkeypatch.setattr(scratch, "ROWS_PER_PART", 10)
+    stored = scratch.materialize(spark.range(200).withColumnRenamed("id", "key"), "spread", spread_by="key")
+    assert stored.count() == 200 and 15 <= len(stored.inputFiles()) <= 20
