@@ -6,10 +6,12 @@ a small network turns it into a hidden vector, gated attention (tanh and sigmoid
 branches) weighs the passages of a bag, and the weighted vector is scored. Only
 document labels are given; the attention weights are learned from them.
 
-Training takes a sample of labelled documents bounded by `MAX_BAGS`, each of at most
-`MAX_BAG_PASSAGES` passages (larger bags are not drawn for training), so what the
-driver holds is bounded. Encoding and scoring run on Spark over all passages of
-every whole text, without a shuffle.
+Training takes a sample of about `max_bags` labelled documents, drawn by a hash of the
+identifier alone: long documents are as likely as short ones, and every passage of a
+drawn document counts. The encoded sample is stored. Up to `driver_passages` passages
+it is fitted on the driver; a larger one stays where it is, and every epoch sums the
+gradients on Spark, so what the driver holds is bounded. Encoding and scoring run on
+Spark over all passages of every whole text, without a shuffle.
 
 Defined cases: a null, empty or blank text is a bag of one zero row and gets a
 score like any other; without labels, or with one class only, every score is the
@@ -20,6 +22,7 @@ get equal scores; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -29,10 +32,12 @@ from pyspark.sql import functions as F
 
 from shopsight.llm.common import map_arrow, utf8, word_starts
 from shopsight.llm.fingerprint import slices
+from shopsight.sources.scratch import materialize
 
 PASSAGE_WORDS = 64
 MAX_BAGS = 2048
-MAX_BAG_PASSAGES = 512
+DRIVER_PASSAGES = 1 << 17
+_CHUNK = 1 << 14  # passages per step of a distributed sum; a longer bag is a step of its own
 HIDDEN, ATTENTION, EPOCHS, RATE, DECAY = 24, 12, 120, 0.03, 1e-4
 
 _CLASSES = [
@@ -133,30 +138,88 @@ def _gradients(w, x, sizes, f, error) -> dict[str, np.ndarray]:
     }
 
 
-def fit(bags: list[np.ndarray], labels: np.ndarray) -> Model:
-    """Full-batch Adam on the log loss."""
-    prior = (labels.sum() + 0.5) / (len(labels) + 1)
-    if len(np.unique(labels)) < 2:
-        return Model(np.zeros(N_FEATURES), np.ones(N_FEATURES), {}, float(prior))
-    x = np.concatenate(bags).astype(np.float64)
-    mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-6
-    x = (x - mean) / scale
-    sizes = np.array([len(b) for b in bags])
-    first = np.append(0, np.cumsum(sizes)[:-1])
+def _slope(w: dict[str, np.ndarray], x: np.ndarray, sizes: np.ndarray, labels: np.ndarray, total: int) -> dict[str, np.ndarray]:
+    """What these bags add to the gradient of the mean log loss of `total` bags."""
+    f = _forward(w, x, np.append(0, np.cumsum(sizes)[:-1]), sizes)
+    return _gradients(w, x, sizes, f, (_sigmoid(f["logit"]) - labels) / total)
+
+
+def _descend(prior: float, slope: Callable[[dict[str, np.ndarray]], dict[str, np.ndarray]]) -> dict[str, np.ndarray]:
+    """Full-batch Adam along the gradients that `slope` returns."""
     random = np.random.default_rng(6)
     shapes = {"W": (N_FEATURES, HIDDEN), "b": HIDDEN, "V": (HIDDEN, ATTENTION), "U": (HIDDEN, ATTENTION), "a": ATTENTION, "c": HIDDEN}
     w = {k: random.normal(0, 0.3, shape) for k, shape in shapes.items()}
     w["b"], w["d"] = np.zeros(HIDDEN), np.array(np.log(prior / (1 - prior)))
     one, two = ({k: np.zeros_like(v) for k, v in w.items()} for _ in range(2))
     for epoch in range(1, EPOCHS + 1):
-        f = _forward(w, x, first, sizes)
-        error = (_sigmoid(f["logit"]) - labels) / len(labels)
-        for k, g in _gradients(w, x, sizes, f, error).items():
+        for k, g in slope(w).items():
             g = g + DECAY * w[k]
             one[k] = 0.9 * one[k] + 0.1 * g
             two[k] = 0.999 * two[k] + 0.001 * g**2
             w[k] = w[k] - RATE * (one[k] / (1 - 0.9**epoch)) / (np.sqrt(two[k] / (1 - 0.999**epoch)) + 1e-8)
-    return Model(mean, scale, w, float(prior))
+    return w
+
+
+def _constant(prior: float) -> Model:
+    return Model(np.zeros(N_FEATURES), np.ones(N_FEATURES), {}, prior)
+
+
+def fit(bags: list[np.ndarray], labels: np.ndarray) -> Model:
+    """Full-batch Adam on the log loss."""
+    prior = float((labels.sum() + 0.5) / (len(labels) + 1))
+    if len(np.unique(labels)) < 2:
+        return _constant(prior)
+    x = np.concatenate(bags).astype(np.float64)
+    mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-6
+    x = (x - mean) / scale
+    sizes = np.array([len(b) for b in bags])
+    return Model(mean, scale, _descend(prior, lambda w: _slope(w, x, sizes, labels, len(labels))), prior)
+
+
+def _bag(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, np.float32).reshape(-1, N_FEATURES)
+
+
+def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(rows, sizes, labels) of whole bags, about _CHUNK rows at a time; the batch has (label, bag)."""
+    bags, labels, rows = [], [], 0
+    for i in range(batch.num_rows):
+        labels.append(batch.column(0)[i].as_py())
+        bags.append(_bag(batch.column(1)[i].as_py()))
+        rows += len(bags[-1])
+        if rows >= _CHUNK or i + 1 == batch.num_rows:
+            yield np.concatenate(bags).astype(np.float64), np.array([len(b) for b in bags]), np.array(labels)
+            bags, labels, rows = [], [], 0
+
+
+def _summed(sample: DataFrame, of: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
+    """The sum of a vector over all chunks of the stored sample, added up per batch on Spark."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([sum(of(*c) for c in _chunks(batch)).tobytes()], pa.binary())], ["part"])
+
+    parts = map_arrow(sample.select("label", "bag"), run, "part binary").collect()
+    return np.sum([np.frombuffer(p.part) for p in parts], axis=0)
+
+
+def fit_stored(sample: DataFrame) -> Model:
+    """`fit` with the bags (label, bag, passages) left on Spark: one job per epoch."""
+    total, positive, rows = sample.agg(F.count(F.lit(1)), F.sum("label"), F.sum("passages")).first()
+    prior = ((positive or 0.0) + 0.5) / (total + 1)
+    if not total or positive in (0, total):
+        return _constant(prior)
+    mean = _summed(sample, lambda x, sizes, labels: x.sum(axis=0)) / rows
+    scale = np.sqrt(_summed(sample, lambda x, sizes, labels: ((x - mean) ** 2).sum(axis=0)) / rows) + 1e-6
+
+    def slope(w: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        def flat(x: np.ndarray, sizes: np.ndarray, labels: np.ndarray) -> np.ndarray:
+            g = _slope(w, (x - mean) / scale, sizes, labels, total)
+            return np.concatenate([np.ravel(g[k]) for k in w])
+
+        cut = np.split(_summed(sample, flat), np.cumsum([v.size for v in w.values()])[:-1])
+        return {k: part.reshape(v.shape) for (k, v), part in zip(w.items(), cut)}
+
+    return Model(mean, scale, _descend(prior, slope), prior)
 
 
 def predict(model: Model, bags: list[np.ndarray]) -> np.ndarray:
@@ -167,8 +230,17 @@ def predict(model: Model, bags: list[np.ndarray]) -> np.ndarray:
     return _sigmoid(_forward(model.weights, x, np.append(0, np.cumsum(sizes)[:-1]), sizes)["logit"])
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "quality", max_bags: int = MAX_BAGS) -> Model:
-    """Fit on at most about `max_bags` labelled documents, drawn by a hash of their identifiers."""
+def train(
+    docs: DataFrame,
+    labels: DataFrame,
+    label: str = "quality",
+    max_bags: int = MAX_BAGS,
+    driver_passages: int = DRIVER_PASSAGES,
+) -> Model:
+    """Fit on about `max_bags` labelled documents at most, drawn by a hash of their identifiers, whatever their length.
+
+    A sample of more than `driver_passages` passages is fitted on Spark, by `fit_stored`.
+    """
     marked = (
         labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
@@ -182,15 +254,17 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", max_bags:
 
     def encoded(batch: pa.RecordBatch) -> pa.RecordBatch:
         bags = [encode(text) for text in batch.column(1).to_pylist()]
-        fits = [len(bag) <= MAX_BAG_PASSAGES for bag in bags]
-        kept = [bag.tobytes() if fit else None for bag, fit in zip(bags, fits)]
-        made = [batch.column(0), batch.column(2), pa.array(kept, pa.binary())]
-        return pa.RecordBatch.from_arrays(made, names=["doc_id", "label", "bag"]).filter(pa.array(fits))
-
-    found = map_arrow(sample, encoded, "doc_id long, label double, bag binary").collect()
+        sizes, kept = pa.array([len(b) for b in bags], pa.int64()), pa.array([b.tobytes() for b in bags], pa.binary())
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(2), sizes, kept], names=["doc_id", "label", "passages", "bag"]
+        )
+
+    stored = materialize(map_arrow(sample, encoded, "doc_id long, label double, passages long, bag binary"), "quality-bags")
+    if (stored.agg(F.sum("passages")).first()[0] or 0) > driver_passages:
+        return fit_stored(stored)
+    found = stored.select("doc_id", "label", "bag").collect()
     found.sort(key=lambda r: (r.doc_id, r.label, bytes(r.bag)))
-    bags = [np.frombuffer(r.bag, np.float32).reshape(-1, N_FEATURES) for r in found]
-    return fit(bags, np.array([r.label for r in found]))
+    return fit([_bag(r.bag) for r in found], np.array([r.label for r in found]))
 
 
 def _scores(model: Model, texts: pa.Array) -> np.ndarray:

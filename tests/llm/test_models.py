@@ -119,3 +119,26 @@ def test_quality_of_odd_texts_and_labels(spark):
     assert kept.columns == docs.columns
     assert {r.doc_id for r in kept.collect()} == {r["doc_id"] for r in found if r["score"] >= 0.5}
     assert quality.score(docs.where("doc_id < 0"), model).count() == 0
+
+
+def test_long_documents_are_trained_on(spark):
+    good, bad = "a plain word of some text ", "$$$ %%% !!! "
+    texts = [(bad if i % 2 else good) * (64 * 520 // 3) for i in range(12)]
+    assert min(len(quality.encode(t.encode())) for t in texts) > 512
+    docs = tables.documents(spark, texts)
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(12)], "doc_id bigint, quality int")
+    found = tables.by_id(quality.score(docs, quality.train(docs, labels)))
+    assert all((found[i]["score"] >= 0.5) == (i % 2 == 0) for i in range(12))
+
+
+def test_training_on_spark_equals_training_on_the_driver(spark, monkeypatch):
+    monkeypatch.setattr(quality, "EPOCHS", 4)
+    random_ = random.Random(4)
+    texts = [tables.sentence(random_, 64 * (1 + i % 7)) + " !!! $$$" * (40 * (i % 2)) for i in range(30)]
+    docs = tables.documents(spark, texts)
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(30)], "doc_id bigint, quality int")
+    one, two = quality.train(docs, labels), quality.train(docs, labels, driver_passages=10)
+    assert one.prior == two.prior and np.allclose(one.mean, two.mean) and np.allclose(one.scale, two.scale)
+    assert all(np.allclose(one.weights[k], two.weights[k], atol=1e-6) for k in one.weights)
+    same = spark.createDataFrame([(i, 1) for i in range(30)], "doc_id bigint, quality int")
+    assert quality.train(docs, same, driver_passages=10).prior == quality.train(docs, same).prior
