@@ -28,6 +28,9 @@ from shopsight.sources.scratch import materialize
 
 LOGISTIC = "Logistic Regression"
 FOREST = "Random Forest"
+# The deepest trees that Spark ML grows, and its usual number of bins.
+FOREST_DEPTH = 30
+FOREST_BINS = 32
 METRIC_NAMES = ["accuracy", "precision", "recall", "f1", "roc_auc"]
 
 
@@ -142,7 +145,10 @@ def fit_logistic(train: DataFrame, columns: list[str]) -> PipelineModel:
     ).fit(weighted)
 
 
-def fit_forest(train: DataFrame, columns: list[str], trees: int = 200, depth: int = 12) -> PipelineModel:
+def fit_forest(
+    train: DataFrame, columns: list[str], trees: int = 200, depth: int = FOREST_DEPTH, max_bins: int = FOREST_BINS
+) -> PipelineModel:
+    """Random forest of balanced classes; `depth` at most 30, `max_bins` split candidates per feature."""
     weighted = train.withColumn("weight", balanced_weight(train))
     return _pipeline(
         columns,
@@ -151,6 +157,7 @@ def fit_forest(train: DataFrame, columns: list[str], trees: int = 200, depth: in
             weightCol="weight",
             numTrees=trees,
             maxDepth=depth,
+            maxBins=max_bins,
             featureSubsetStrategy="sqrt",
             maxMemoryInMB=1024,
             cacheNodeIds=True,
@@ -197,16 +204,25 @@ def evaluate(model: PipelineModel, test: DataFrame) -> dict[str, float]:
     }
 
 
-def train_churn_models(features: DataFrame, columns: list[str] = CHURN_FEATURES, trees: int = 200) -> ChurnModels:
+def train_churn_models(
+    features: DataFrame,
+    columns: list[str] = CHURN_FEATURES,
+    trees: int = 200,
+    depth: int = FOREST_DEPTH,
+    max_bins: int = FOREST_BINS,
+) -> ChurnModels:
     """Fit both models on the training part and evaluate on the rest.
 
-    `features` is read by every stage: pass a `training_table`.
+    `trees`, `depth` and `max_bins` are those of the forest. `features` is read by every stage: pass a `training_table`.
     """
     check_training_data(features)
     available = [c for c in columns if c in features.columns]
     train, test = (prepared(part, available) for part in stratified_split(features))
     train, test = train.persist(), test.persist()
-    fits = {LOGISTIC: lambda: fit_logistic(train, available), FOREST: lambda: fit_forest(train, available, trees)}
+    fits = {
+        LOGISTIC: lambda: fit_logistic(train, available),
+        FOREST: lambda: fit_forest(train, available, trees, depth, max_bins),
+    }
 
     def fit_and_evaluate(name: str) -> tuple[PipelineModel, dict[str, float]]:
         model = fits[name]()

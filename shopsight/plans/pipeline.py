@@ -73,7 +73,13 @@ def validate(raw: dict[str, DataFrame]) -> DataFrame:
     return report
 
 
-def compute_outputs(clean: dict[str, DataFrame], staging: outputs.Staging, trees: int = 200) -> churn_model.ChurnModels:
+def compute_outputs(
+    clean: dict[str, DataFrame],
+    staging: outputs.Staging,
+    trees: int = 200,
+    depth: int = churn_model.FOREST_DEPTH,
+    max_bins: int = churn_model.FOREST_BINS,
+) -> churn_model.ChurnModels:
     """Stage all outputs; independent ones side by side. Returns the fitted models."""
     users, orders = clean["users"], clean["orders"]
     items, products = clean["order_items"], clean["products"]
@@ -94,7 +100,7 @@ def compute_outputs(clean: dict[str, DataFrame], staging: outputs.Staging, trees
 
     def churn_outputs() -> churn_model.ChurnModels:
         features = churn_model.training_table(churn_features.build_churn_features(orders, items, users))
-        trained = churn_model.train_churn_models(features, trees=trees)
+        trained = churn_model.train_churn_models(features, trees=trees, depth=depth, max_bins=max_bins)
         importance = churn_model.feature_importance(trained.models[churn_model.FOREST], features)
         staging.write("churn_predictions", churn_model.generate_churn_predictions(features, trained.best))
         staging.write("churn_feature_importance", importance)
@@ -121,8 +127,13 @@ def run(
     output_dir: str,
     model_path: str | None = None,
     trees: int = 200,
+    depth: int = churn_model.FOREST_DEPTH,
+    max_bins: int = churn_model.FOREST_BINS,
 ) -> PipelineResult:
-    """Load, validate, clean, compute, publish. Nothing is written on failure."""
+    """Load, validate, clean, compute, publish. Nothing is written on failure.
+
+    `trees`, `depth` (30 at most) and `max_bins` are those of the churn forest.
+    """
     tune(spark)
     logger.info("Loading and validating %s", raw_dir)
     raw = staged(spark, raw_dir)
@@ -132,7 +143,7 @@ def run(
     catalog.register(clean)
     logger.info("Computing outputs")
     with outputs.Staging(spark, output_dir) as staging:
-        models = compute_outputs(clean, staging, trees)
+        models = compute_outputs(clean, staging, trees, depth, max_bins)
         if model_path is None:
             status = staging.publish()
         else:

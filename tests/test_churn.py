@@ -92,6 +92,14 @@ def test_metrics(trained, features):
     assert [r.model for r in table.filter("best").collect()] == [trained.best_name]
 
 
+def test_forest_limits_are_parameters(trained, features):
+    forest = trained.models[churn_model.FOREST].stages[-1]
+    assert forest.getMaxDepth() == 30
+    small = churn_model.train_churn_models(features, trees=2, depth=3, max_bins=16).models[churn_model.FOREST].stages[-1]
+    assert (small.getMaxDepth(), small.getMaxBins()) == (3, 16)
+    assert max(tree.depth for tree in small.trees) <= 3
+
+
 def test_tie_goes_to_logistic_regression():
     same = {"roc_auc": 0.5}
     assert churn_model.ChurnModels({}, {churn_model.LOGISTIC: same, churn_model.FOREST: same}, []).best_name == churn_model.LOGISTIC
