@@ -289,8 +289,10 @@ def _cross_pairs(labels: DataFrame, members: DataFrame, percent: int) -> DataFra
     for i in range(LAST_POSTED):
         same = (F.lit(i) < F.col("at")) & (F.col("marks_a")[i] == F.col("marks_b")[i])
         earlier = earlier + same.cast("int")
-    # Cut shingles can agree by chance and merge: one of slack; `Links.verify` decides.
-    common = F.size(F.array_intersect("short_a", "short_b")) + 1
+    # Common shingles that merge when cut merge on both sides, so no more are lost than the smaller
+    # number of merged values; `Links.verify` decides.
+    merged = F.least(F.col("n_a") - F.size("short_a"), F.col("n_b") - F.size("short_b"))
+    common = F.size(F.array_intersect("short_a", "short_b")) + merged
     meet = (
         (F.col("key_a") == F.col("key_b"))
         & (F.col("c_a") != F.col("c_b"))

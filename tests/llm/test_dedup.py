@@ -107,6 +107,17 @@ def test_near_copies_equal_brute_force(spark, words, extra):
     assert {r.doc_id for r in left.collect()} == set(roots)
 
 
+def test_last_round_keeps_pairs_whose_cut_shingles_merge(spark):
+    # Nine of ten shingles are common; two of them merge when cut, which leaves seven cut values.
+    planes, marks = [0] * minhash.N_PLANES, [5] * minhash.LAST_POSTED
+    members = [(1, 10, b"", planes, marks, [*range(7), 100]), (2, 10, b"", planes, marks, [*range(7), 200])]
+    members += [(3, 10, b"", planes, marks, [*range(6), *range(300, 304)])]  # nothing merges: six common of fourteen
+    members = spark.createDataFrame(members, minhash.MEMBER)
+    labels = spark.createDataFrame([], "node bigint, component bigint")
+    found = minhash._cross_pairs(labels, members, 80).collect()
+    assert {tuple(sorted((r.a, r.b))) for r in found} == {(1, 2)}
+
+
 def test_repeated_rows_leave_one(spark):
     docs = tables.documents(spark, ["one two three four five six", "other words than those before them"], repeat=True)
     assert minhash.drop_near_copies(docs).count() == 2
