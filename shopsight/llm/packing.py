@@ -7,6 +7,9 @@ clusters they hold; the search starts at the tightest bin that is large enough a
 goes on to its successors until one without a conflict is found; without one, a bin
 is opened. Longer documents are cut into full pieces and a rest; all are placed.
 
+The cluster of a document is that of its text up to blanks, or the one given for its
+place in `clusters`, for example its component of near duplicates.
+
 Documents are dealt into groups of about `GROUP_PIECES` pieces by a hash, packed
 independently: memory and time per task are bounded whatever the table's size, a
 hot source or cluster is spread over all groups, and only narrow rows (no text) are
@@ -75,7 +78,9 @@ def pack(lengths: list[int], sources: list, clusters: list, capacity: int) -> li
     return placed
 
 
-def pieces(docs: DataFrame, capacity: int = CAPACITY, length: Column | None = None) -> DataFrame:
+def pieces(
+    docs: DataFrame, capacity: int = CAPACITY, length: Column | None = None, clusters: DataFrame | None = None
+) -> DataFrame:
     """One narrow row per piece of every document, stored."""
     rows = located(file_backed(docs), "doc_id", "text", "source")
     narrow = rows.select(
@@ -86,6 +91,10 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, length: Column | None = No
         "file_path",
         "row_index",
     )
+    if clusters is not None:
+        given = clusters.select("file_path", "row_index", F.xxhash64(F.lit("given"), "cluster").alias("given"))
+        narrow = narrow.join(given, ["file_path", "row_index"], "left")
+        narrow = narrow.withColumn("cluster", F.coalesce("given", "cluster")).drop("given")
     last = F.expr(f"greatest(cast((total - 1) div {capacity} as bigint), 0L)")
     cut = narrow.withColumn("n_pieces", last + 1).withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), last)))
     size = F.least(F.lit(capacity).cast("long"), F.col("total") - F.col("piece") * capacity)
@@ -113,10 +122,18 @@ def _packer(capacity: int):
 
 
 def pack_documents(
-    docs: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_PIECES, length: Column | None = None
+    docs: DataFrame,
+    capacity: int = CAPACITY,
+    group_pieces: int = GROUP_PIECES,
+    length: Column | None = None,
+    clusters: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per piece: its document, its tokens, its bin and its place there; see PACKED."""
-    cut = pieces(docs, capacity, length)
+    """One row per piece: its document, its tokens, its bin and its place there; see PACKED.
+
+    `clusters` (file_path, row_index, cluster) names the clusters of rows of `docs`, which must be file-backed
+    then, at most one row a place; a document without one is in the cluster of its exact copies.
+    """
+    cut = pieces(docs, capacity, length, clusters)
     groups = max(1, -(-cut.count() // group_pieces))
     dealt = cut.withColumn("group", F.pmod(F.xxhash64("doc_id", "file_path", "row_index", "piece"), F.lit(groups)))
     return dealt.groupBy("group").applyInArrow(_packer(capacity), PACKED)
