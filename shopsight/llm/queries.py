@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from public_tokenizers import path as tokenizer_path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopsight.llm import decontaminate, exact_dedup, hilbert, langid, license_scan, minhash, oracles, packing, quality, suffix_family, warc
+from shopsight.llm import decontaminate, exact_dedup, hilbert, langid, license_scan, minhash, oracles, packing, piece_codec, quality, suffix_family, warc
 from shopsight.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +88,15 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_suffix_family(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_family.remove_repeats(read_table(spark, sf_dir, "documents"), with_text=False)
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query
+def op12_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = piece_codec.Model(tokenizer_path("piece_bpe_32k.model"))
+    decoded = piece_codec.decode(piece_codec.encode(read_table(spark, sf_dir, "documents"), model), model)
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
