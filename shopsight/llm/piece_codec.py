@@ -40,7 +40,7 @@ from shopsight.llm.common import file_backed, located, utf8
 from shopsight.sources.scratch import materialize
 
 MARKER = "▁"
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 16 << 20
 BUCKET_BYTES = 16 << 20
 LONG_WORD = 256
 OUT_ROWS = 2000
@@ -92,6 +92,17 @@ def _unpacked(data: bytes, kind: type) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(kind).reshape(-1)
 
 
+def _packed_ids(values: np.ndarray | list) -> bytes:
+    """Ids below 2^16, which is nearly all models, in two bytes each."""
+    plain = np.asarray(values, np.int32)
+    short = bool(len(plain) == 0 or plain.max() < 1 << 16)
+    return bytes([short]) + zstandard.compress((plain.astype(np.uint16) if short else plain).tobytes(), 3)
+
+
+def _unpacked_ids(data: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(data[1:]), np.uint16 if data[0] else np.int32).astype(np.int32)
+
+
 class _Block:
     """Consecutive documents of a task, as numbers of distinct words."""
 
@@ -130,11 +141,11 @@ class _Block:
             "docs": self.docs,
             "codes": _packed(np.concatenate(self.codes), np.uint32),
             "buckets": _packed(buckets, np.int32),
-            "ids": _packed([i for one in ids for i in one], np.int32),
+            "ids": _packed_ids([i for one in ids for i in one]),
             "sizes": _packed([len(one) for one in ids], np.int32),
         }
         for bucket, words in by_bucket.items():
-            yield {"block": block, "bucket": bucket, "words": b"\xff".join(words)}  # no byte of UTF-8
+            yield {"block": block, "bucket": bucket, "words": zstandard.compress(b"\xff".join(words), 3)}  # no byte of UTF-8
 
 
 def _cutter(model: Model, n_buckets: int, block_bytes: int, schema: pa.Schema):
@@ -159,12 +170,12 @@ def _segmenter(model: Model) -> Callable[[pa.Table], pa.Table]:
         numbers: dict[bytes, int] = {}
         asked = []
         for packed in table.column("words"):
-            words = packed.as_py().split(b"\xff")
+            words = zstandard.decompress(packed.as_py()).split(b"\xff")
             asked.append(np.array([numbers.setdefault(word, len(numbers)) for word in words], np.int64))
         found = model.word_ids([word.decode() for word in numbers])
         sizes = np.array([len(ids) for ids in found], np.int32)
         flat = np.array([i for ids in found for i in ids], np.int32)
-        ids = [_packed(_gather(flat, sizes, picked), np.int32) for picked in asked]
+        ids = [_packed_ids(_gather(flat, sizes, picked)) for picked in asked]
         return pa.table(
             {
                 "block": table.column("block").cast(pa.string()),
@@ -195,7 +206,7 @@ def _placer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, buckets = _unpacked(row["codes"], np.uint32), _unpacked(row["buckets"], np.int32)
         parts = sorted(row["parts"] or [], key=lambda p: p["bucket"]) + [{"ids": row["ids"], "sizes": row["sizes"]}]
         sizes = np.concatenate([_unpacked(p["sizes"], np.int32) for p in parts])
-        flat = np.concatenate([_unpacked(p["ids"], np.int32) for p in parts])
+        flat = np.concatenate([_unpacked_ids(p["ids"]) for p in parts])
         place = np.empty(len(buckets), np.int64)  # of a word in the order of buckets
         place[np.argsort(buckets, kind="stable")] = np.arange(len(buckets))
         words = place[codes]
