@@ -117,3 +117,48 @@ SELECT doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed
        sha256(unhex(coalesce(kept, h))) AS kept_sha256
 FROM doc LEFT JOIN cut USING (doc_id)
 """
+
+# crc32 of a decimal number, byte by byte and bit by bit; 3988292384 is the standard's reversed polynomial.
+_CRC = """xor(4294967295, list_reduce(
+    list_concat([4294967295::BIGINT], list_transform(string_split({text}, ''), lambda s: ascii(s)::BIGINT)),
+    lambda c, b: list_reduce(list_concat([xor(c, b)], [0, 0, 0, 0, 0, 0, 0, 0]),
+      lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)))"""
+
+ORACLES["op11_prefix_trie"] = f"""
+WITH own AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), every AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS base, {_CRC.format(text="conv_id::VARCHAR")} % 6 AS h FROM own GROUP BY conv_id
+), taken AS (
+  SELECT e.conv_id, 0 AS half, o.pos, o.role, o.text FROM every e JOIN own o ON o.conv_id = e.base AND o.pos < e.h
+  UNION ALL
+  SELECT e.conv_id, 1, o.pos, o.role, o.text FROM every e JOIN own o ON o.conv_id = e.conv_id AND o.pos >= e.h
+), placed AS (
+  SELECT conv_id, row_number() OVER w AS depth, count(*) OVER (PARTITION BY conv_id) AS n, length(text) AS chars,
+         sha256(string_agg(length(role) || ':' || length(text) || ':' || role || text, '')
+           OVER (PARTITION BY conv_id ORDER BY half, pos ROWS UNBOUNDED PRECEDING)) AS node
+  FROM taken WINDOW w AS (PARTITION BY conv_id ORDER BY half, pos)
+), member AS (
+  SELECT conv_id, depth, n, chars, node FROM placed
+  UNION ALL
+  SELECT e.conv_id, 0, coalesce(max(p.n), 0), 0, '' FROM every e LEFT JOIN placed p USING (conv_id) GROUP BY e.conv_id
+), node AS (
+  SELECT node, min(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, min(chars) AS chars,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (depth = n), '')) AS ends_sha256
+  FROM member GROUP BY node
+), linked AS (
+  SELECT n.*, p.node AS parent, up.conv_id AS parent_conv_id
+  FROM node n LEFT JOIN member p ON p.conv_id = n.conv_id AND p.depth = n.depth - 1 LEFT JOIN node up ON up.node = p.node
+), child AS (
+  SELECT parent AS node, count(*) AS n_children FROM linked WHERE parent IS NOT NULL GROUP BY parent
+), total AS (
+  SELECT above.node, sum((c.n_children IS NULL)::BIGINT) AS n_leaves, sum((n.n_convs - 1) * n.chars) AS saved_tokens
+  FROM node n LEFT JOIN child c USING (node) JOIN member above ON above.conv_id = n.conv_id AND above.depth <= n.depth
+  GROUP BY above.node
+)
+SELECT l.conv_id, l.depth::BIGINT AS depth, l.parent_conv_id, l.n_convs, coalesce(c.n_children, 0) AS n_children,
+       t.n_leaves::BIGINT AS n_leaves, t.saved_tokens::BIGINT AS saved_tokens, l.ends_sha256
+FROM linked l JOIN total t ON t.node = l.node LEFT JOIN child c ON c.node = l.node
+"""

@@ -8,7 +8,7 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopsight.llm import decontaminate, dialogue_repair, exact_dedup, hilbert, langid, license_scan, minhash, oracles, packing, piece_codec, quality, suffix_family, warc
+from shopsight.llm import decontaminate, dialogue_repair, exact_dedup, hilbert, langid, license_scan, minhash, oracles, packing, piece_codec, prefix_trie, quality, suffix_family, warc
 from shopsight.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,3 +115,8 @@ def op13_dialogue_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce("audit", F.lit("")).alias("audit"),
         F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
     )
+
+
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.build_trie(read_table(spark, sf_dir, "conversations")).drop("node", "parent")
