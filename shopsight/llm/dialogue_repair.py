@@ -382,23 +382,21 @@ _PIECE_SCHEMA = pa.schema(
 )
 
 
+def _stay(row: dict) -> Iterator[tuple[str, str, str]]:
+    return apply_edits([(t["role"], t["text"]) for t in row["turns"] or []], row["edits"], row["state"])
+
+
 def _applied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
         for row in batch.to_pylist():
-            turns = [(t["role"], t["text"]) for t in row["turns"] or []]
-            stay = apply_edits(turns, row["edits"], row["state"])
-            row["turns"] = [{"edit": e, "role": r, "text": t} for e, r, t in stay]
+            row["turns"] = [{"edit": e, "role": r, "text": t} for e, r, t in _stay(row)]
             out.append({name: row[name] for name in _PIECE_SCHEMA.names})
         yield from _batches(out, _PIECE_SCHEMA)
 
 
-def repair(conversations: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """The repaired conversations in pieces, ordered by (part, seq) within each.
-
-    Rows: conv_id, name, edits (initials), turns (edit, role, text; deleted ones left out), and on the row that
-    `closes` a conversation its faults and cost.
-    """
+def _decided(conversations: DataFrame, block_rows: int) -> DataFrame:
+    """Blocks with their edits, the state before them and, on a conversation's last row, its totals."""
     cut = blocks(conversations, block_rows)
     one = cut.where("whole").select(
         "conv_id", "name", "part", "seq", F.col("paths")[0]["edits"].alias("edits"), "turns", F.lit(EMPTY).alias("state"),
@@ -414,8 +412,16 @@ def repair(conversations: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
         F.expr("cast(nullif(name, ' ') as bigint)").alias("conv_id"),
         "name", "part", "seq", "edits", "turns", "state", F.expr(f"part = {_LAST}").alias("closes"), *_COUNTS, "gaps", "cost",
     )
-    done = placed.mapInArrow(_applied, PIECES).repartition("name").sortWithinPartitions("name", "part", "seq")
-    return one.mapInArrow(_applied, PIECES).unionByName(done)
+    return one.unionByName(placed.repartition("name").sortWithinPartitions("name", "part", "seq"))
+
+
+def repair(conversations: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """The repaired conversations in pieces, ordered by (part, seq) within each.
+
+    Rows: conv_id, name, edits (initials), turns (edit, role, text; deleted ones left out), and on the row that
+    `closes` a conversation its faults and cost.
+    """
+    return _decided(conversations, block_rows).mapInArrow(_applied, PIECES)
 
 
 AUDITED = "conv_id long, " + "".join(f"{c} long, " for c in ("gaps", *_COUNTS, "cost")) + "audit string, repaired_sha256 string"
@@ -425,24 +431,24 @@ def _audited(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema(
         [(c, pa.int64()) for c in ("conv_id", "gaps", *_COUNTS, "cost")] + [("audit", pa.string()), ("repaired_sha256", pa.string())]
     )
-    hashed, audit, begun = hashlib.sha256(), [], False
+    hashed, audit, separator = hashlib.sha256(), [], ""
     for batch in batches:
         out = []
         for row in batch.to_pylist():
-            for turn in row["turns"]:
-                hashed.update(("\n" if begun else "").encode() + f"{turn['role']}:{turn['text']}".encode())
-                begun = True
+            for _, role, text in _stay(row):
+                hashed.update(f"{separator}{role}:{text}".encode())
+                separator = "\n"
             audit.append(row["edits"])
             if row["closes"]:
                 out.append({n: row.get(n) for n in schema.names[:-2]})
                 out[-1] |= {"audit": "".join(audit), "repaired_sha256": hashed.hexdigest()}
-                hashed, audit, begun = hashlib.sha256(), [], False
+                hashed, audit, separator = hashlib.sha256(), [], ""
         yield from _batches(out, schema)
 
 
-def audit(pieces: DataFrame) -> DataFrame:
-    """One row per conversation of `repair`: its faults, cost, edits and a digest of the repaired turns."""
-    return pieces.mapInArrow(_audited, AUDITED)
+def audit(conversations: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """One row per conversation: its faults, cost, edits and a digest of its repaired turns."""
+    return _decided(conversations, block_rows).mapInArrow(_audited, AUDITED)
 
 
 def damaged(conversations: DataFrame) -> DataFrame:

@@ -94,14 +94,21 @@ def compare(spark, rows, block_rows, extra=False):
     df = spark.createDataFrame(rows, TURN)
     if extra:
         df = df.selectExpr("*", "'x' as name", "1 as part", "2 as seq", "'y' as fault", "0 as later", "3 as first")
-    pieces = materialize(repair.repair(materialize(df, "test-turns"), block_rows), "test-pieces")
-    found = {r["conv_id"]: r for r in tables.rows(repair.audit(pieces))}
+    stored = materialize(df, "test-turns")
+    found = {r["conv_id"]: r for r in tables.rows(repair.audit(stored, block_rows))}
     by_conv = {}
     for conv, *turn in rows:
         by_conv.setdefault(conv, []).append(tuple(turn))
     assert set(found) == set(by_conv)
     for conv, turns in by_conv.items():
         assert found[conv] == {"conv_id": conv, **brute(turns)}, turns
+    pieces = {}
+    for r in sorted(tables.rows(repair.repair(stored, block_rows)), key=lambda r: (r["part"], r["seq"])):
+        pieces.setdefault(r["conv_id"], []).append(r)
+    for conv, parts in pieces.items():
+        assert "".join(p["edits"] for p in parts) == found[conv]["audit"] and [p["closes"] for p in parts].index(True) == len(parts) - 1
+        text = "\n".join(f"{t['role']}:{t['text']}" for p in parts for t in p["turns"])
+        assert hashlib.sha256(text.encode()).hexdigest() == found[conv]["repaired_sha256"]
     return pieces
 
 
@@ -116,13 +123,13 @@ def test_one_conversation_over_many_tasks(spark):
     random_ = random.Random(4)
     hot = [(7, i, random_.choice(["user", "assistant"]), random_.choice([f"t{i}.", "again.", f"cut {i}", ""])) for i in range(900)]
     pieces = compare(spark, hot + conversations(5, 100, 6), 50)
-    assert pieces.where("conv_id = 7 and not closes").select("part").distinct().count() > 1
+    assert len({p["part"] for p in pieces[7]}) > 2
 
 
 def test_equal_turns_and_empty_table(spark):
     compare(spark, [(1, 0, "user", "Hi.")] * 5 + [(2, None, None, None)] * 3 + [(3, 5, "system", "S.")], 2)
     empty = spark.createDataFrame([], TURN)
-    assert repair.audit(repair.repair(empty)).count() == 0
+    assert repair.audit(empty).count() == 0 and repair.repair(empty).count() == 0
 
 
 def test_survivors_emit_early_and_hold_little():
