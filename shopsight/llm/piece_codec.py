@@ -43,7 +43,7 @@ MARKER = "▁"
 BLOCK_BYTES = 16 << 20
 BUCKET_BYTES = 16 << 20
 LONG_WORD = 256
-OUT_ROWS = 2000
+OUT_ROWS, OUT_IDS = 2000, 200_000
 _WORD = re.compile(" +[^ ]*")
 
 _DOC = "struct<doc_id: bigint, file_path: string, row_index: bigint, n: bigint>"
@@ -175,7 +175,8 @@ def _segmenter(model: Model) -> Callable[[pa.Table], pa.Table]:
         found = model.word_ids([word.decode() for word in numbers])
         sizes = np.array([len(ids) for ids in found], np.int32)
         flat = np.array([i for ids in found for i in ids], np.int32)
-        ids = [_packed_ids(_gather(flat, sizes, picked)) for picked in asked]
+        starts = np.cumsum(sizes, dtype=np.int64) - sizes
+        ids = [_packed_ids(_gather(flat, starts, sizes, picked)) for picked in asked]
         return pa.table(
             {
                 "block": table.column("block").cast(pa.string()),
@@ -188,41 +189,62 @@ def _segmenter(model: Model) -> Callable[[pa.Table], pa.Table]:
     return run
 
 
-def _gather(flat: np.ndarray, sizes: np.ndarray, picked: np.ndarray) -> np.ndarray:
-    """The runs numbered `picked`, one after the other; run i has sizes[i] values of `flat`."""
-    starts = np.cumsum(sizes, dtype=np.int64) - sizes
+def _gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, picked: np.ndarray) -> np.ndarray:
+    """The runs numbered `picked`, one after the other; run i has sizes[i] values of `flat` from starts[i] on."""
     taken = sizes[picked].astype(np.int64)
     before = np.cumsum(taken) - taken
     return flat[np.repeat(starts[picked] - before, taken) + np.arange(taken.sum())]
 
 
+def _runs(items: list, weights: list[int]) -> Iterator[list]:
+    """The items in consecutive runs of about OUT_IDS, one item at least."""
+    held, weight = [], 0
+    for item, more in zip(items, weights):
+        if held and (weight + more > OUT_IDS or len(held) >= OUT_ROWS):
+            yield held
+            held, weight = [], 0
+        held.append(item)
+        weight += more
+    if held:
+        yield held
+
+
 def _lists(values: np.ndarray, ends: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()))
 
 
-def _placer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Ids of each document of a block, from its word numbers and the ids of its words."""
     for row in (row for batch in batches for i in range(batch.num_rows) for row in batch.slice(i, 1).to_pylist()):
         codes, buckets = _unpacked(row["codes"], np.uint32), _unpacked(row["buckets"], np.int32)
         parts = sorted(row["parts"] or [], key=lambda p: p["bucket"]) + [{"ids": row["ids"], "sizes": row["sizes"]}]
         sizes = np.concatenate([_unpacked(p["sizes"], np.int32) for p in parts])
         flat = np.concatenate([_unpacked_ids(p["ids"]) for p in parts])
+        starts = np.cumsum(sizes, dtype=np.int64) - sizes
         place = np.empty(len(buckets), np.int64)  # of a word in the order of buckets
         place[np.argsort(buckets, kind="stable")] = np.arange(len(buckets))
-        words = place[codes]
-        ids = _gather(flat, sizes, words)
-        after = np.concatenate([[0], np.cumsum(sizes[words], dtype=np.int64)])  # ids before each word
-        ends = after[np.cumsum([0, *(doc["n"] for doc in row["docs"])])]
-        for j in range(0, len(row["docs"]), OUT_ROWS):
-            docs, cuts = row["docs"][j : j + OUT_ROWS], ends[j : j + OUT_ROWS + 1]
+        at = 0
+        for docs in _runs(row["docs"], [doc["n"] for doc in row["docs"]]):
+            counts = np.array([doc["n"] for doc in docs], np.int64)
+            words = place[codes[at : at + counts.sum()]]
+            at += counts.sum()
+            after = np.concatenate([[0], np.cumsum(sizes[words], dtype=np.int64)])  # ids before each word
+            ends = after[np.concatenate([[0], np.cumsum(counts)])]
             named = {name: [doc[name] for doc in docs] for name in ("doc_id", "file_path", "row_index")}
             arrays = [pa.array(named["doc_id"], pa.int64()), pa.array(named["file_path"]), pa.array(named["row_index"])]
-            arrays.append(_lists(ids[cuts[0] : cuts[-1]], cuts - cuts[0]))
+            arrays.append(_lists(_gather(flat, starts, sizes, words), ends))
             yield pa.RecordBatch.from_arrays(arrays, names=[*named, "ids"])
 
 
-def encode(docs: DataFrame, model: Model, block_bytes: int = BLOCK_BYTES, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """One row per document: doc_id, ids (array<int>), file_path, row_index."""
+def encode(
+    docs: DataFrame,
+    model: Model,
+    block_bytes: int = BLOCK_BYTES,
+    bucket_bytes: int = BUCKET_BYTES,
+    decoded: str | None = None,
+) -> DataFrame:
+    """One row per document: doc_id, ids (array<int>), file_path, row_index; as column `decoded`, if named, the
+    text of its ids, found by the same tasks."""
     docs = file_backed(docs)
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_buckets = 1 + total // bucket_bytes
@@ -241,18 +263,21 @@ def encode(docs: DataFrame, model: Model, block_bytes: int = BLOCK_BYTES, bucket
     parts = parts.agg(F.collect_list(F.struct("bucket", "ids", "sizes")).alias("parts"))
     blocks = cut.where("bucket is null").drop("bucket", "words").repartition(n_blocks, "block")
     blocks = blocks.join(parts, "block", "left")
-    return blocks.mapInArrow(_placer, ENCODED)
+    if decoded is None:
+        return blocks.mapInArrow(_placed, ENCODED)
+    return blocks.mapInArrow(lambda batches: _with_texts(_placed(batches), model, decoded), f"{ENCODED}, {decoded} string")
 
 
-def decode(encoded: DataFrame, model: Model, column: str = "decoded") -> DataFrame:
-    """The rows of `encode` and the text that their ids stand for."""
+def _with_texts(batches: Iterator[pa.RecordBatch], model: Model, column: str) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        ends, flat = batch.column("ids").offsets.to_pylist(), batch.column("ids").values.to_numpy()
+        for rows in _runs(list(range(batch.num_rows)), [j - i for i, j in zip(ends, ends[1:])]):
+            ids = [flat[ends[i] : ends[i + 1]].tolist() for i in rows]
+            texts = pa.array(model.processor().decode(ids, num_threads=1), pa.string())
+            yield batch.slice(rows[0], len(rows)).append_column(column, texts)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                lists = batch.column("ids")
-                flat, ends = lists.values.to_numpy().tolist(), lists.offsets.to_pylist()
-                ids = [flat[i:j] for i, j in zip(ends, ends[1:])]
-                yield batch.append_column(column, pa.array(model.processor().decode(ids, num_threads=1), pa.string()))
 
-    return encoded.mapInArrow(run, StructType([*encoded.schema.fields, StructField(column, StringType())]))
+def decode(encoded: DataFrame, model: Model, column: str = "decoded") -> DataFrame:
+    """Rows with a column `ids` (array<int>, not null), and the texts that their ids stand for."""
+    schema = StructType([*encoded.schema.fields, StructField(column, StringType())])
+    return encoded.mapInArrow(lambda batches: _with_texts(batches, model, column), schema)

@@ -93,8 +93,7 @@ def op9_suffix_family(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op12_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = piece_codec.Model(tokenizer_path("piece_bpe_32k.model"))
-    decoded = piece_codec.decode(piece_codec.encode(read_table(spark, sf_dir, "documents"), model), model)
-    return decoded.select(
+    return piece_codec.encode(read_table(spark, sf_dir, "documents"), model, decoded="decoded").select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
@@ -105,7 +104,7 @@ def op12_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op13_dialogue_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = read_table(spark, sf_dir, "conversations")
-    found = dialogue_repair.audit(dialogue_repair.repair(dialogue_repair.damaged(turns)))
+    found = dialogue_repair.audit(dialogue_repair.damaged(turns))
     every = turns.select("conv_id").distinct()
     joined = every.join(found.withColumnRenamed("conv_id", "own"), F.col("conv_id").eqNullSafe(F.col("own")), "left")
     counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
