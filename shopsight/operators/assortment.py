@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopsight.functions.money import dollars, mean_dollars, to_micros, wide_sum
+from shopsight.operators import reach
 from shopsight.operators.purchases import completed
 
 
@@ -13,8 +14,8 @@ def compute_category_analytics(items: DataFrame, products: DataFrame) -> DataFra
     """Revenue, orders, customers, mean price and products per category.
 
     Revenue, item and product counts are summed per product before the product
-    table is touched. Only the two counts that need single orders and customers
-    are taken at item grain.
+    table is touched. Orders and customers need the items themselves: one shuffle
+    of them by category and order, see `reach.orders_and_customers`.
     """
     sold = completed(items).select(
         "product_id", "order_id", "user_id", to_micros(F.col("sale_price")).alias("micros")
@@ -33,16 +34,9 @@ def compute_category_analytics(items: DataFrame, products: DataFrame) -> DataFra
             F.count("*").alias("product_count"),
         )
     )
-    reach = (
-        sold.join(categories, "product_id")
-        .groupBy("category")
-        .agg(
-            F.count_distinct("order_id").alias("order_count"),
-            F.count_distinct("user_id").alias("unique_customers"),
-        )
-    )
+    found = sold.select("product_id", "order_id", "user_id").join(categories, "product_id")
     return (
-        sales.join(reach, "category")
+        sales.join(reach.orders_and_customers(reach.numbered(found, "user_id"), "category"), "category")
         .select(
             "category",
             dollars(F.col("micros")).alias("total_revenue"),
@@ -72,19 +66,15 @@ def compute_product_analytics(items: DataFrame, products: DataFrame, top_n: int
         dollars(F.col("micros")).alias("total_revenue"),
         mean_dollars(F.col("micros"), F.col("priced_items")).alias("avg_selling_price"),
     ).orderBy(F.desc("total_revenue"), "product_id").limit(top_n)
-    reach = (
-        sold.join(F.broadcast(best.select("product_id")), "product_id", "left_semi")
-        .groupBy("product_id")
-        .agg(
-            F.count_distinct("order_id").alias("order_count"),
-            F.count_distinct("user_id").alias("unique_customers"),
-        )
+    winners = sold.select("product_id", "order_id", "user_id").join(
+        F.broadcast(best.select("product_id")), "product_id", "left_semi"
     )
+    counts = reach.orders_and_customers(reach.numbered(winners, "user_id"), "product_id")
     described = products.select(F.col("id").alias("product_id"), "name", "category", "brand").join(
         F.broadcast(best.select("product_id")), "product_id", "left_semi"
     )
     return (
-        best.join(reach, "product_id")
+        best.join(counts, "product_id")
         .join(F.broadcast(described), "product_id", "left")
         .select(
             "product_id", "name", "category", "brand",
