@@ -7,7 +7,6 @@ from __future__ import annotations
 
 import argparse
 import logging
-import uuid
 from typing import NamedTuple
 
 from pyspark.ml import PipelineModel
@@ -26,6 +25,7 @@ logger = logging.getLogger(__name__)
 
 # Cleaned tables that several stages read.
 STORED = ["users", "orders", "order_items", "products"]
+MODEL = "churn_model"
 
 
 class ValidationFailed(ValueError):
@@ -132,6 +132,7 @@ def run(
 ) -> PipelineResult:
     """Load, validate, clean, compute, publish. Nothing is written on failure.
 
+    The model is part of the published set, by default as `churn_model` beside the outputs.
     `trees`, `depth` (30 at most) and `max_bins` are those of the churn forest.
     """
     tune(spark)
@@ -144,31 +145,16 @@ def run(
     logger.info("Computing outputs")
     with outputs.Staging(spark, output_dir) as staging:
         models = compute_outputs(clean, staging, trees, depth, max_bins)
-        if model_path is None:
-            status = staging.publish()
-        else:
-            status = _publish_with_model(spark, staging, models.best, model_path)
+        churn_model.save_model(models.best, staging.attach(model_path or paths.join(output_dir, MODEL)))
+        status = staging.publish()
     logger.info("Published %d outputs to %s", len(staging.contracts), output_dir)
     return PipelineResult(status, models)
 
 
-def _publish_with_model(spark: SparkSession, staging: outputs.Staging, model: PipelineModel, path: str) -> DataFrame:
-    """Publish the outputs, then let the new model, written beforehand, take the old one's place.
-
-    A failure before or during publishing leaves the old model as it was.
-    """
-    written, old = f"{path}-{uuid.uuid4().hex}", f"{path}-{uuid.uuid4().hex}"
-    churn_model.save_model(model, written)
-    try:
-        status = staging.publish()
-    except BaseException:
-        paths.delete(spark, written)
-        raise
-    if paths.exists(spark, path):
-        paths.rename(spark, path, old)
-    paths.rename(spark, written, path)
-    paths.delete(spark, old)
-    return status
+def load_published_model(spark: SparkSession, output_dir: str, model_path: str | None = None) -> PipelineModel:
+    """The model that belongs to the published outputs."""
+    target = model_path or paths.join(output_dir, MODEL)
+    return churn_model.load_model(outputs.located(spark, target, output_dir))
 
 
 def regenerate_sql_outputs(spark: SparkSession, output_dir: str) -> dict[str, Exception]:

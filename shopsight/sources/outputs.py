@@ -1,9 +1,22 @@
-"""Writing results so that readers see either the old set or the new one."""
+"""Writing results so that readers see either the old set or the new one.
+
+A set (outputs, and what belongs to them, such as a model) is written and checked in
+a staging folder. The small file `COMMIT`, which appears in one step, then names every
+staged path and its target: from that moment the new set holds. Moving the paths into
+place is only housekeeping. Until it is done, readers find a path where the commit
+says that it is (`located`), and whoever opens the folder next finishes a move that a
+lost process has left (`finish`). A failed move takes everything back, the commit
+last. Readers of this module see the old set or the new one at any time; programs that
+read the paths on their own can meet both while a publisher is moving them.
+"""
 
 from __future__ import annotations
 
+import json
+import time
 import uuid
 from collections.abc import Callable, Mapping
+from typing import NamedTuple
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -16,6 +29,9 @@ from shopsight.sources.concurrent import run_all
 
 STATUS_SCHEMA = "output string, status string, row_count bigint"
 READ_ERRORS = (PySparkException, Py4JJavaError)
+COMMIT = "_commit.json"
+STAGING = "_staging"
+STALE_DAYS = 7  # staging folders this old belong to nobody
 
 
 def save_parquet(df: DataFrame, path: str) -> None:
@@ -23,10 +39,11 @@ def save_parquet(df: DataFrame, path: str) -> None:
     spark = df.sparkSession
     staged = f"{path}.staged-{uuid.uuid4().hex}"
     df.write.parquet(staged)
-    swap(spark, [(staged, path)])
+    swap(spark, staged, path)
 
 
 def load_parquet(spark: SparkSession, path: str) -> DataFrame:
+    path = located(spark, path)
     if not paths.exists(spark, path):
         raise FileNotFoundError(f"Parquet data not found: {path}")
     return spark.read.parquet(path)
@@ -41,26 +58,77 @@ def load_output(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
-def swap(spark: SparkSession, moves: list[tuple[str, str]]) -> None:
-    """Put each staged path in place; on any failure restore every target."""
-    token = uuid.uuid4().hex
-    undo: list[Callable[[], None]] = []
-    backups: list[str] = []
+def swap(spark: SparkSession, staged: str, target: str) -> None:
+    """Put a staged path in place of its target; a failure leaves the target as it was."""
+    backup = f"{target}.backup-{uuid.uuid4().hex}"
+    held = paths.exists(spark, target)
+    if held:
+        paths.rename(spark, target, backup)
     try:
-        for staged, target in moves:
-            if paths.exists(spark, target):
-                backup = f"{target}.backup-{token}"
-                paths.rename(spark, target, backup)
-                undo.append(lambda b=backup, t=target: paths.rename(spark, b, t))
-                backups.append(backup)
-            paths.rename(spark, staged, target)
-            undo.append(lambda t=target: paths.delete(spark, t))
+        paths.rename(spark, staged, target)
     except Exception:
-        for step in reversed(undo):
-            step()
+        if held:
+            paths.rename(spark, backup, target)
         raise
-    for backup in backups:
-        paths.delete(spark, backup)
+    paths.delete(spark, backup)
+
+
+class Move(NamedTuple):
+    """A path of a committed set: where it was staged, where it goes, where the old one waits."""
+
+    staged: str
+    target: str
+    backup: str
+
+
+def pending(spark: SparkSession, folder: str) -> list[Move]:
+    """The moves of a commit that is not finished."""
+    text = paths.read_text(spark, paths.join(folder, COMMIT))
+    return [Move(*move) for move in json.loads(text)] if text else []
+
+
+def located(spark: SparkSession, path: str, folder: str | None = None) -> str:
+    """Where the current content of `path` is; `folder` holds the commit, by default the path's own folder."""
+    for move in pending(spark, folder or paths.parent(path)):
+        if move.target == path and paths.exists(spark, move.staged):
+            return move.staged
+    return path
+
+
+def commit(spark: SparkSession, folder: str, moves: list[Move]) -> None:
+    """Make the staged paths the current ones; on a failure the old ones are current again."""
+    finish(spark, folder)
+    paths.write_new(spark, paths.join(folder, COMMIT), json.dumps(moves))
+    try:
+        finish(spark, folder)
+    except Exception:
+        _take_back(spark, folder, moves)
+        raise
+
+
+def finish(spark: SparkSession, folder: str) -> None:
+    """Carry out what is left of a commit; every step can be repeated."""
+    moves = pending(spark, folder)
+    if not moves:
+        return
+    for move in moves:
+        if paths.exists(spark, move.staged):
+            if paths.exists(spark, move.target):
+                paths.rename(spark, move.target, move.backup)
+            paths.rename(spark, move.staged, move.target)
+    paths.delete(spark, paths.join(folder, COMMIT))
+    for move in moves:
+        paths.delete(spark, move.backup)
+
+
+def _take_back(spark: SparkSession, folder: str, moves: list[Move]) -> None:
+    """The new set stays current, wherever its paths are, until the old one is whole again and the commit goes."""
+    for move in reversed(moves):
+        if not paths.exists(spark, move.staged):
+            paths.rename(spark, move.target, move.staged)
+        if paths.exists(spark, move.backup):
+            paths.rename(spark, move.backup, move.target)
+    paths.delete(spark, paths.join(folder, COMMIT))
 
 
 def schema_problems(name: str, schema: T.StructType, contract: OutputContract) -> list[str]:
@@ -81,6 +149,7 @@ def schema_problems(name: str, schema: T.StructType, contract: OutputContract) -
 def output_status(
     spark: SparkSession, name: str, path: str, contract: OutputContract
 ) -> tuple[str, str, int | None]:
+    path = located(spark, path)
     if not paths.exists(spark, path):
         return name, "missing", None
     try:
@@ -105,23 +174,37 @@ class Staging:
     """A complete output set on its way to `output_dir`.
 
     Each output is written once, when it is ready, and can be read back by later
-    stages. `publish` checks the whole set against its contracts and swaps it in;
-    until then, and after any failure, readers see the previous set.
+    stages. `publish` checks the whole set against its contracts and commits it;
+    until then, and after any failure, readers see the previous set. `attach` adds
+    paths outside the set, written beside their targets, to the same commit.
     """
 
     def __init__(self, spark: SparkSession, output_dir: str, contracts: Mapping[str, OutputContract] = OUTPUTS):
         self.spark = spark
         self.output_dir = output_dir
         self.contracts = contracts
-        self.path = paths.join(output_dir, "_staging", uuid.uuid4().hex)
+        self.path = paths.join(output_dir, STAGING, uuid.uuid4().hex)
         self.written: set[str] = set()
+        self.attached: dict[str, str] = {}
 
     def __enter__(self) -> Staging:
+        finish(self.spark, self.output_dir)
         paths.make_dirs(self.spark, self.path)
+        oldest = (time.time() - STALE_DAYS * 86400) * 1000
+        for name, changed in paths.children(self.spark, paths.parent(self.path)):
+            if changed < oldest:
+                paths.delete(self.spark, paths.join(paths.parent(self.path), name))
         return self
 
     def __exit__(self, *_: object) -> None:
-        paths.delete(self.spark, self.path)
+        """Leaves nothing behind, unless it is committed and not yet moved."""
+        if not any(move.staged.startswith(self.path) for move in pending(self.spark, self.output_dir)):
+            for path in [self.path, *self.attached.values()]:
+                paths.delete(self.spark, path)
+
+    def attach(self, target: str) -> str:
+        """A path beside `target`, to be written before `publish`, which puts it in the target's place."""
+        return self.attached.setdefault(target, f"{target}.staged-{uuid.uuid4().hex}")
 
     def write(self, name: str, df: DataFrame) -> DataFrame:
         """Stage one output and return the stored table."""
@@ -133,7 +216,7 @@ class Staging:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def publish(self) -> DataFrame:
-        """Swap the set in; returns its status rows."""
+        """Check and commit the set; returns its status rows."""
         missing = sorted(set(self.contracts) - self.written)
         if missing:
             raise ValueError(f"Output set does not match its contract: missing={missing}")
@@ -151,17 +234,17 @@ class Staging:
         invalid = [f"{name} ({status})" for name, status, _ in statuses if status != "ready"]
         if invalid:
             raise ValueError(f"Staged outputs failed validation: {', '.join(invalid)}")
-        swap(
-            self.spark,
-            [(paths.join(self.path, c.path), paths.join(self.output_dir, c.path)) for c in self.contracts.values()],
-        )
+        places = {paths.join(self.output_dir, c.path): paths.join(self.path, c.path) for c in self.contracts.values()}
+        token = uuid.uuid4().hex
+        moves = [Move(staged, target, f"{target}.backup-{token}") for target, staged in (places | self.attached).items()]
+        commit(self.spark, self.output_dir, moves)
         return self.spark.createDataFrame(statuses, STATUS_SCHEMA)
 
 
 def publish_outputs(
     outputs: Mapping[str, DataFrame], output_dir: str, contracts: Mapping[str, OutputContract] = OUTPUTS
 ) -> DataFrame:
-    """Stage, check and swap in a complete set of DataFrames."""
+    """Stage, check and commit a complete set of DataFrames."""
     if set(outputs) != set(contracts):
         raise ValueError(
             f"Output set does not match its contract: missing={sorted(set(contracts) - set(outputs))}, "
@@ -182,7 +265,9 @@ def regenerate(
     failures: dict[str, Exception] = {}
     for name, build in builders.items():
         try:
-            save_parquet(build(), paths.join(output_dir, contracts[name].path))
+            built = build()
+            finish(built.sparkSession, output_dir)
+            save_parquet(built, paths.join(output_dir, contracts[name].path))
         except Exception as error:
             failures[name] = error
     return failures

@@ -228,3 +228,80 @@ def test_spread_tables_grow_with_their_rows(spark, monkeypatch):
     monkeypatch.setattr(scratch, "ROWS_PER_PART", 10)
     stored = scratch.materialize(spark.range(200).withColumnRenamed("id", "key"), "spread", spread_by="key")
     assert stored.count() == 200 and 15 <= len(stored.inputFiles()) <= 20
+
+
+class Lost(BaseException):
+    """The process ends here: nothing after it runs, no handler for errors either."""
+
+
+def crash_at(monkeypatch, step):
+    """Ends the process at the given call of a function that changes files."""
+    calls = 0
+
+    def counted(real):
+        def run(*args):
+            nonlocal calls
+            calls += 1
+            if calls == step:
+                raise Lost
+            return real(*args)
+
+        return run
+
+    for name in ("rename", "delete", "write_new"):
+        monkeypatch.setattr(paths, name, counted(getattr(paths, name)))
+
+
+def publish_with_model(spark, folder, value):
+    with outputs.Staging(spark, folder, CONTRACTS) as staging:
+        staging.write("a", frame(spark, "x", value))
+        staging.write("b", frame(spark, "y", value))
+        frame(spark, "z", value).write.parquet(staging.attach(f"{folder}-model"))
+        staging.publish()
+
+
+def test_a_lost_process_leaves_one_set(spark, folder):
+    """After a loss at any step, outputs and model are all old or all new, and the next publisher goes on."""
+    seen, value = set(), 1
+    publish_with_model(spark, folder, value)
+    for step in range(1, 40):
+        with pytest.MonkeyPatch.context() as patch:
+            crash_at(patch, step)
+            try:
+                publish_with_model(spark, folder, value + 1)
+                lost = False
+            except Lost:
+                lost = True
+        held = [outputs.load_output(spark, f"{folder}/{n}.parquet").first()[0] for n in ("a", "b")]
+        held.append(spark.read.parquet(outputs.located(spark, f"{folder}-model", folder)).first()[0])
+        assert len(set(held)) == 1 and held[0] in (value, value + 1)
+        status = {r.output: r.status for r in outputs.validate_outputs(spark, folder, CONTRACTS).collect()}
+        assert set(status.values()) == {"ready"}
+        seen.add(held[0] - value)
+        outputs.finish(spark, folder)
+        assert read_both(spark, folder) == held[:2]
+        value = held[0]
+        if not lost:
+            break
+    assert not lost and seen == {0, 1}
+    publish_with_model(spark, folder, value + 1)
+    assert read_both(spark, folder) == [value + 1, value + 1]
+
+
+def test_failed_way_back_leaves_the_new_set(spark, folder, monkeypatch):
+    """When not even the old set can be restored, readers go on with the committed one."""
+    publish_with_model(spark, folder, 1)
+    real = paths.rename
+
+    def failing(session, source, target):
+        if target.endswith(("/b.parquet", "/a.parquet")) and ("_staging" in source or ".backup-" in source) and "b.parquet" in target:
+            raise OSError("gone")
+        real(session, source, target)
+
+    monkeypatch.setattr(paths, "rename", failing)
+    with pytest.raises(OSError):
+        publish_with_model(spark, folder, 2)
+    assert [outputs.load_output(spark, f"{folder}/{n}.parquet").first()[0] for n in ("a", "b")] == [2, 2]
+    monkeypatch.setattr(paths, "rename", real)
+    outputs.finish(spark, folder)
+    assert read_both(spark, folder) == [2, 2]
