@@ -660,6 +660,7 @@ ORACLES: dict[str, str] = {
     "rec_for_customer": "SELECT * FROM {recs_std} WHERE customer_id = 42 ORDER BY rank LIMIT 3",
     "kpi_monthly": "SELECT * FROM {kpis}",
     "sql_monthly_kpis": "SELECT * FROM {kpis}",
+    "sink_rebuild_later": "SELECT * FROM {kpis}",
     "cohort_long": "SELECT * FROM {cohorts}",
     "sql_cohort": "SELECT * FROM {cohorts}",
     "cohort_wide": """

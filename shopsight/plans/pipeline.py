@@ -1,12 +1,14 @@
 """The full run: raw tables in, nine contract-checked outputs out.
 
     python -m shopsight.plans.pipeline RAW_DIR OUTPUT_DIR [MODEL_PATH]
+    python -m shopsight.plans.pipeline --rebuild OUTPUT_DIR
 """
 
 from __future__ import annotations
 
 import argparse
 import logging
+import uuid
 from typing import NamedTuple
 
 from pyspark.ml import PipelineModel
@@ -26,6 +28,7 @@ logger = logging.getLogger(__name__)
 # Cleaned tables that several stages read.
 STORED = ["users", "orders", "order_items", "products"]
 MODEL = "churn_model"
+TABLES = "tables"
 
 
 class ValidationFailed(ValueError):
@@ -57,12 +60,17 @@ def staged(spark: SparkSession, raw_dir: str) -> dict[str, DataFrame]:
     return raw | stored
 
 
-def clean_tables(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Cleaned tables; those with several readers are stored as Parquet."""
+def clean_tables(raw: dict[str, DataFrame], folder: str) -> dict[str, DataFrame]:
+    """Cleaned tables; those with several readers are stored as Parquet in `folder`."""
     clean = clean_all(raw)
     spark = next(iter(raw.values())).sparkSession
-    stored = run_all(spark, {t: lambda t=t: materialize(clean[t], t) for t in STORED})
-    return clean | stored
+
+    def stored(table: str) -> DataFrame:
+        path = paths.join(folder, f"{table}.parquet")
+        clean[table].write.parquet(path)
+        return spark.read.schema(clean[table].schema).parquet(path)
+
+    return clean | run_all(spark, {t: lambda t=t: stored(t) for t in STORED})
 
 
 def validate(raw: dict[str, DataFrame]) -> DataFrame:
@@ -130,27 +138,40 @@ def run(
     depth: int = churn_model.FOREST_DEPTH,
     max_bins: int = churn_model.FOREST_BINS,
 ) -> PipelineResult:
-    """Load, validate, clean, compute, publish. Nothing is written on failure.
+    """Load, validate, clean, compute, publish. Nothing is left on failure.
 
-    The model is part of the published set, by default as `churn_model` beside the outputs.
+    The cleaned tables that others need are part of the published set (`tables`), so that later sessions can open
+    them. The model is part of the published set, by default as `churn_model` beside the outputs.
     `trees`, `depth` (30 at most) and `max_bins` are those of the churn forest.
     """
     tune(spark)
     logger.info("Loading and validating %s", raw_dir)
     raw = staged(spark, raw_dir)
     logger.info("Cleaning beside validation")
-    checked = run_all(spark, {"report": lambda: validate(raw), "clean": lambda: clean_tables(raw)})
+    folder = f"{output_dir.rstrip('/')}.tables-{uuid.uuid4().hex}"
+    try:
+        checked = run_all(spark, {"report": lambda: validate(raw), "clean": lambda: clean_tables(raw, folder)})
+    except BaseException:
+        paths.delete(spark, folder)
+        raise
     clean = checked["clean"]
-    catalog.register(clean)
     logger.info("Computing outputs")
     with outputs.Staging(spark, output_dir) as staging:
+        staging.attach(paths.join(output_dir, TABLES), folder)
         models = compute_outputs(clean, staging, trees, depth, max_bins)
         churn_model.save_model(models.best, staging.attach(model_path or paths.join(output_dir, MODEL)))
         status = staging.publish()
+    catalog.register({t: df for t, df in clean.items() if t not in STORED})
+    open_tables(spark, output_dir)
     logger.info("Published %d outputs to %s", len(staging.contracts), output_dir)
     return PipelineResult(status, models)
 
 
+def open_tables(spark: SparkSession, output_dir: str) -> list[str]:
+    """Register the cleaned tables that belong to the published outputs, in any later session."""
+    return catalog.open_tables(spark, outputs.located(spark, paths.join(output_dir, TABLES), output_dir))
+
+
 def load_published_model(spark: SparkSession, output_dir: str, model_path: str | None = None) -> PipelineModel:
     """The model that belongs to the published outputs."""
     target = model_path or paths.join(output_dir, MODEL)
@@ -168,14 +189,30 @@ def regenerate_sql_outputs(spark: SparkSession, output_dir: str) -> dict[str, Ex
     )
 
 
+def rebuild(spark: SparkSession, output_dir: str) -> dict[str, Exception]:
+    """In a session of its own: open the published tables and rebuild the SQL outputs from them."""
+    session = tune(spark.newSession())
+    outputs.finish(session, output_dir)
+    open_tables(session, output_dir)
+    return regenerate_sql_outputs(session, output_dir)
+
+
 def main() -> None:
-    parser = argparse.ArgumentParser(description=__doc__)
-    parser.add_argument("raw_dir")
+    parser = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
+    parser.add_argument("raw_dir", nargs="?")
     parser.add_argument("output_dir")
     parser.add_argument("model_path", nargs="?")
+    parser.add_argument("--rebuild", action="store_true", help="only rebuild the SQL outputs from the published tables")
     args = parser.parse_args()
     logging.basicConfig(level=logging.INFO)
     spark = SparkSession.builder.appName("shopsight").getOrCreate()
+    if args.rebuild:
+        failures = rebuild(spark, args.output_dir)
+        for name, error in failures.items():
+            logger.error("Could not rebuild %s: %s", name, error)
+        raise SystemExit(1 if failures else 0)
+    if args.raw_dir is None:
+        parser.error("a raw folder and an output folder are needed")
     run(spark, args.raw_dir, args.output_dir, args.model_path).status.show(truncate=False)
 
 

@@ -202,9 +202,9 @@ class Staging:
             for path in [self.path, *self.attached.values()]:
                 paths.delete(self.spark, path)
 
-    def attach(self, target: str) -> str:
-        """A path beside `target`, to be written before `publish`, which puts it in the target's place."""
-        return self.attached.setdefault(target, f"{target}.staged-{uuid.uuid4().hex}")
+    def attach(self, target: str, staged: str | None = None) -> str:
+        """A path, by default beside `target`, that `publish` puts in the target's place; written before."""
+        return self.attached.setdefault(target, staged or f"{target}.staged-{uuid.uuid4().hex}")
 
     def write(self, name: str, df: DataFrame) -> DataFrame:
         """Stage one output and return the stored table."""

@@ -47,6 +47,26 @@ def test_regenerate_sql_outputs(spark, published):
     assert sorted(before) == sorted(after)
 
 
+def test_another_session_rebuilds_from_the_published_tables(spark, published):
+    _, folder = published
+    out = str(folder / "out")
+    before = {n: sorted(spark.read.parquet(f"{out}/{n}.parquet").collect()) for n in ("monthly_kpis", "category_analytics")}
+    later = spark.newSession()
+    assert sorted(pipeline.open_tables(later, out)) == ["order_items", "orders", "products", "users"]
+    assert later.table("orders").count() == spark.read.parquet(f"{out}/tables/orders.parquet").count() > 0
+    assert pipeline.rebuild(spark, out) == {}
+    assert {n: sorted(spark.read.parquet(f"{out}/{n}.parquet").collect()) for n in before} == before
+    with pytest.raises(FileNotFoundError):
+        pipeline.open_tables(later, str(folder / "nothing"))
+
+
+def test_model_belongs_to_the_outputs(spark, published):
+    result, folder = published
+    model = pipeline.load_published_model(spark, str(folder / "out"), str(folder / "model"))
+    assert model.stages[0].getInputCols() == result.models.best.stages[0].getInputCols()
+    assert [n for n in os.listdir(folder) if ".staged-" in n or ".tables-" in n] == []
+
+
 def test_failed_validation_writes_nothing(spark, tmp_path):
     raw = tables.raw_tables(spark)
     raw["users"] = raw["users"].drop("email")
@@ -55,6 +75,7 @@ def test_failed_validation_writes_nothing(spark, tmp_path):
         pipeline.run(spark, str(tmp_path / "raw"), str(tmp_path / "out"))
     assert error.value.report.filter("check_name = 'missing_column' AND n_bad > 0").count() == 1
     assert not os.path.exists(tmp_path / "out")
+    assert os.listdir(tmp_path) == ["raw"]
 
 
 def test_reports_on_published_outputs(spark, published):

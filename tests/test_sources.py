@@ -305,3 +305,29 @@ def test_failed_way_back_leaves_the_new_set(spark, folder, monkeypatch):
     monkeypatch.setattr(paths, "rename", real)
     outputs.finish(spark, folder)
     assert read_both(spark, folder) == [2, 2]
+
+
+@pytest.mark.parametrize("failing", range(1, 5))
+def test_failed_exchange_of_names_restores_all_tables(spark, monkeypatch, failing):
+    """Each of the four renames of two persistent tables fails once; both keep their old content."""
+    names = [f"exchanged_{failing}_a", f"exchanged_{failing}_b"]
+    catalog.register({n: frame(spark, value=1) for n in names}, persistent=True)
+    try:
+        real, seen = type(spark).sql, []
+
+        def sql(self, text, *args, **kwargs):
+            if "RENAME TO" in text:
+                seen.append(text)
+                if len(seen) == failing:
+                    raise OSError("catalog away")
+            return real(self, text, *args, **kwargs)
+
+        with monkeypatch.context() as patch:
+            patch.setattr(type(spark), "sql", sql)
+            with pytest.raises(OSError):
+                catalog.register({n: frame(spark, value=2) for n in names}, persistent=True)
+        assert [spark.newSession().table(n).first().x for n in names] == [1, 1]
+        assert sorted(t.name for t in spark.catalog.listTables() if t.name.startswith(f"exchanged_{failing}")) == names
+    finally:
+        for n in names:
+            spark.sql(f"DROP TABLE IF EXISTS {n}")
