@@ -24,6 +24,7 @@ no rows; other columns are ignored.
 from __future__ import annotations
 
 import re
+import uuid
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -37,12 +38,13 @@ from pyspark.sql.types import StringType, StructField, StructType
 from sentencepiece import SentencePieceProcessor
 
 from shopsight.llm.common import file_backed, located, utf8
-from shopsight.sources.scratch import materialize
+from shopsight.sources.scratch import new_path
 
 MARKER = "▁"
 BLOCK_BYTES = 16 << 20
 BUCKET_BYTES = 16 << 20
 LONG_WORD = 256
+MAX_FILES = 100_000
 OUT_ROWS, OUT_IDS = 2000, 200_000
 _WORD = re.compile(" +[^ ]*")
 
@@ -236,6 +238,17 @@ def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(arrays, names=[*named, "ids"])
 
 
+def _stored_by_block(rows: DataFrame, n_files: int) -> DataFrame:
+    """The rows stored in the shared folder, dealt to files by block without a shuffle."""
+    spark = rows.sparkSession
+    name = f"piece_blocks_{uuid.uuid4().hex}"
+    try:
+        rows.write.bucketBy(n_files, "block").option("path", new_path(spark, "piece-blocks")).saveAsTable(name)
+        return spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")  # leaves the files in the shared folder
+
+
 def encode(
     docs: DataFrame,
     model: Model,
@@ -254,15 +267,15 @@ def encode(
     schema = pa.schema(
         [("block", pa.string()), ("bucket", pa.int32()), ("words", pa.binary()), ("docs", pa.list_(doc)), *binary]
     )
-    cut = materialize(rows.mapInArrow(_cutter(model, n_buckets, block_bytes, schema), BLOCKS), "piece-blocks")
-    # Explicit counts: packed rows look small to the planner, which would leave them to a few tasks.
+    n_blocks = min(1 + total // block_bytes, MAX_FILES)
+    cut = _stored_by_block(rows.mapInArrow(_cutter(model, n_buckets, block_bytes, schema), BLOCKS), n_blocks)
+    # Explicit counts: packed rows look small to the planner, which would leave them to a few tasks. As many parts
+    # as the stored table has, so that it is joined where it lies.
     words = cut.where("bucket is not null").select("block", "bucket", "words").repartition(n_buckets, "bucket")
     segmented = words.groupBy("bucket").applyInArrow(_segmenter(model), SEGMENTED)
-    n_blocks = 1 + total // block_bytes
     parts = segmented.repartition(n_blocks, "block").groupBy("block")
     parts = parts.agg(F.collect_list(F.struct("bucket", "ids", "sizes")).alias("parts"))
-    blocks = cut.where("bucket is null").drop("bucket", "words").repartition(n_blocks, "block")
-    blocks = blocks.join(parts, "block", "left")
+    blocks = cut.where("bucket is null").drop("bucket", "words").join(parts, "block", "left")
     if decoded is None:
         return blocks.mapInArrow(_placed, ENCODED)
     return blocks.mapInArrow(lambda batches: _with_texts(_placed(batches), model, decoded), f"{ENCODED}, {decoded} string")
