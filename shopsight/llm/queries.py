@@ -78,10 +78,8 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
-    near = minhash.find_groups(docs).where("n_shingles > 0 and component_id is not null")
-    clusters = near.select("file_path", "row_index", F.col("component_id").alias("cluster"))
-    return packing.pack_documents(docs, clusters=clusters).drop("file_path", "row_index")
+    """Clusters are those of exact copies up to blanks; callers that know near duplicates pass `clusters`."""
+    return packing.pack_documents(read_table(spark, sf_dir, "documents")).drop("file_path", "row_index")
 
 
 @query
