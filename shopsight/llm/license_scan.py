@@ -1,11 +1,12 @@
 """License scans: short notices found in whole texts, a few edits allowed.
 
-A notice of n characters may differ by n // 12 edits. By the pigeonhole
-principle, a phrase split into one more piece than it may have edits keeps one
-piece unchanged, so an Aho-Corasick search for all pieces finds every candidate.
-At each candidate the exact phrase is tried first; else the regex library's
-bounded-error matching, anchored at word boundaries, verifies the edits and
-gives the span. Texts are searched as their lower-cased words joined by single
+A notice of n characters, 8 at least, may differ by n // 12 edits, at least one; the
+short `cc by` forms must be exact. By the pigeonhole principle, a phrase split into
+one more piece than it may have edits keeps one piece unchanged, so an Aho-Corasick
+search for all pieces finds every candidate. At each candidate the exact phrase is
+tried first; else every run of whole words that starts and ends within the edits of
+the candidate's ends is matched as a whole by the regex library's bounded-error
+matching, which verifies the edits and gives the span. Texts are searched as their lower-cased words joined by single
 spaces, so punctuation and line breaks between words do not matter.
 
 Texts are scanned where they lie: no shuffle, and memory for one batch.
@@ -23,7 +24,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from typing import NamedTuple
 
 import ahocorasick
@@ -35,6 +36,7 @@ from pyspark.sql import functions as F
 from shopsight.llm.common import map_arrow, utf8, word_line
 
 CHARACTERS_PER_EDIT = 12
+SHORTEST_FUZZY = 8
 WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 
 
@@ -42,17 +44,19 @@ class Notice(NamedTuple):
     label: str
     phrase: str
     base: bool = False
+    exact: bool = False
 
     @property
     def edits(self) -> int:
-        return len(self.phrase) // CHARACTERS_PER_EDIT if len(self.phrase) > CHARACTERS_PER_EDIT else 0
+        short = self.exact or len(self.phrase) < SHORTEST_FUZZY
+        return 0 if short else max(1, len(self.phrase) // CHARACTERS_PER_EDIT)
 
 
 # The four base phrases and their labels.
 BASE = [
     Notice("gpl", "gnu general public license", True),
     Notice("apache", "apache license", True),
-    Notice("cc-by", "cc by", True),
+    Notice("cc-by", "cc by", True, True),
     Notice("mit", "mit license", True),
 ]
 MORE = [
@@ -66,9 +70,9 @@ MORE = [
     Notice("isc", "isc license"),
     Notice("unlicense", "released into the public domain"),
     Notice("cc-by", "creative commons attribution"),
-    Notice("cc-by-nc", "cc by nc"),
-    Notice("cc-by-nd", "cc by nd"),
-    Notice("cc-by-sa", "cc by sa"),
+    Notice("cc-by-nc", "cc by nc", exact=True),
+    Notice("cc-by-nd", "cc by nd", exact=True),
+    Notice("cc-by-sa", "cc by sa", exact=True),
     Notice("cc0", "cc0 1 0 universal"),
 ]
 NOTICES = BASE + MORE
@@ -105,7 +109,7 @@ class Scanner:
             self.seeds.add_word(piece, (len(piece), places))
         self.seeds.make_automaton()
         self.fuzzy = [
-            regex.compile(rf"(?b)(?<!\S)(?:{regex.escape(n.phrase, literal_spaces=True)}){{e<={n.edits}}}(?!\S)")
+            regex.compile(rf"(?b)(?:{regex.escape(n.phrase, literal_spaces=True)}){{e<={n.edits}}}")
             if n.edits
             else None
             for n in self.notices
@@ -129,10 +133,7 @@ class Scanner:
                 if start >= 0 and line.startswith(notice.phrase, start) and self._whole(line, start, start + size):
                     exact.append((start, start + size, 0))
                 elif notice.edits:
-                    low, high = max(0, start - notice.edits), start + size + notice.edits
-                    for m in self.fuzzy[number].finditer(line, low, min(len(line), high), overlapped=True):
-                        if self._whole(line, *m.span()):
-                            near.append((*m.span(), sum(m.fuzzy_counts)))
+                    near.extend(self._near(line, number, start))
             taken = list(exact)
             for span in sorted(set(near), key=lambda s: (s[2], s[0], s[1])):
                 if all(span[1] <= a or span[0] >= b for a, b, _ in taken):
@@ -140,6 +141,20 @@ class Scanner:
             out.extend((number, *span) for span in taken)
         return out
 
+    def _near(self, line: str, number: int, start: int) -> Iterator[tuple[int, int, int]]:
+        """Runs of whole words that are the notice but for its edits, starting within these of `start`."""
+        edits, size = self.notices[number].edits, len(self.notices[number].phrase)
+        ends = [b for b in self._around(start + size, edits, len(line)) if b == len(line) or line[b] == " "]
+        for a in self._around(start, edits, len(line)) if ends else ():
+            if a == 0 or line[a - 1] == " ":
+                for b in ends:
+                    if abs(b - a - size) <= edits and (m := self.fuzzy[number].fullmatch(line, a, b)):
+                        yield a, b, sum(m.fuzzy_counts)
+
+    @staticmethod
+    def _around(place: int, by: int, length: int) -> range:
+        return range(max(0, place - by), min(length, place + by) + 1)
+
     @staticmethod
     def _whole(line: str, start: int, end: int) -> bool:
         return (start == 0 or line[start - 1] == " ") and (end == len(line) or line[end] == " ")

@@ -56,11 +56,45 @@ def test_license_scan_equals_brute_force(spark, extra):
 def test_fuzzy_notices_within_their_edits(spark):
     texts = ["GNU Genral Public Licence", "gnu generic private license", "apache licenze", "apache lizenze", "mit licenze"]
     found = tables.by_id(license_scan.scan_licenses(tables.documents(spark, texts)))
-    assert [found[i]["labels"] for i in range(5)] == ["gpl", "", "apache", "", ""]
+    assert [found[i]["labels"] for i in range(5)] == ["gpl", "", "apache", "", "mit"]
     assert [found[i]["n_base"] for i in range(5)] == [0] * 5
     assert found[0]["spans"][0]["edits"] == 2
 
 
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_no_notice_within_its_edits_is_missed():
+    """Random edits of every notice, between random words: the labels are those of all runs of words."""
+    random_ = random.Random(12)
+    scanner = license_scan.Scanner()
+    letters = "aeilnrst "
+    for case in range(4000):
+        notice = random_.choice(license_scan.NOTICES)
+        phrase = notice.phrase
+        for _ in range(random_.randint(0, notice.edits + 1)):
+            at = random_.randrange(len(phrase))
+            phrase = phrase[:at] + random_.choice(["", random_.choice(letters), random_.choice(letters) + phrase[at]]) + phrase[at + 1 :]
+        before, after = ([random_.choice(["see", "the", "a", "of", "words"]) for _ in range(random_.randint(0, 3))] for _ in range(2))
+        own = " ".join([*before, *phrase.split(), *after])
+        cuts = own.split(" ")
+        expected = set()
+        for n in license_scan.NOTICES:
+            runs = (" ".join(cuts[i:j]) for i in range(len(cuts)) for j in range(i + 1, len(cuts) + 1))
+            if any(abs(len(r) - len(n.phrase)) <= n.edits and distance(r, n.phrase) <= n.edits for r in runs):
+                expected.add((n.label, n.phrase))
+        _, spans = scanner.scan(own.encode())
+        assert {(s.label, s.phrase) for s in spans} == expected, own
+        for s in spans:
+            assert distance(" ".join(cuts[s.first_word : s.last_word + 1]), s.phrase) == s.edits, own
+
+
 def brute_hits(text, items, n=10):
     own, hit, named = words(text), set(), set()
     for item, body in items:
