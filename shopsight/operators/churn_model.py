@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopsight.contracts import (
@@ -119,20 +119,30 @@ def balanced_weight(train: DataFrame) -> Column:
     return F.when(F.col("churned") == 1, total / (2.0 * max(churned, 1))).otherwise(total / (2.0 * max(active, 1)))
 
 
-def _pipeline(columns: list[str], classifier) -> Pipeline:
-    return Pipeline(
-        stages=[
-            VectorAssembler(inputCols=columns, outputCol="raw_features"),
-            StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True),
-            classifier,
-        ]
-    )
+def without_summary(model: Model) -> Model:
+    """The fitted model without its training summary, which would take the session along to every task.
+
+    Tasks that score with the model cannot be sent once the session observes counts (`cleaning.Counts`).
+    """
+    for stage in getattr(model, "stages", [model]):
+        if getattr(stage, "hasSummary", False):
+            stage._call_java("setSummary", SparkSession.active()._jvm.scala.Option.empty())
+    return model
+
+
+def fit(columns: list[str], classifier, train: DataFrame) -> PipelineModel:
+    stages = [
+        VectorAssembler(inputCols=columns, outputCol="raw_features"),
+        StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True),
+        classifier,
+    ]
+    return without_summary(Pipeline(stages=stages).fit(train))
 
 
 def fit_logistic(train: DataFrame, columns: list[str]) -> PipelineModel:
     """L2-regularized logistic regression with C = 1, balanced classes."""
     weighted = train.withColumn("weight", balanced_weight(train))
-    return _pipeline(
+    return fit(
         columns,
         LogisticRegression(
             labelCol="churned",
@@ -142,7 +152,8 @@ def fit_logistic(train: DataFrame, columns: list[str]) -> PipelineModel:
             standardization=False,
             maxIter=1000,
         ),
-    ).fit(weighted)
+        weighted,
+    )
 
 
 def fit_forest(
@@ -150,7 +161,7 @@ def fit_forest(
 ) -> PipelineModel:
     """Random forest of balanced classes; `depth` at most 30, `max_bins` split candidates per feature."""
     weighted = train.withColumn("weight", balanced_weight(train))
-    return _pipeline(
+    return fit(
         columns,
         RandomForestClassifier(
             labelCol="churned",
@@ -163,7 +174,8 @@ def fit_forest(
             cacheNodeIds=True,
             seed=SEED,
         ),
-    ).fit(weighted)
+        weighted,
+    )
 
 
 def confusion(scored: DataFrame) -> dict[str, int]:

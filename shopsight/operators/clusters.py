@@ -5,13 +5,15 @@ from __future__ import annotations
 from itertools import chain
 
 from pyspark.ml import Pipeline
-from pyspark.ml.clustering import KMeans
+from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopsight.contracts import CLUSTER_LABELS, KMEANS_CLUSTERS, KMEANS_RESTARTS, SEED
+from shopsight.operators.churn_model import without_summary
 from shopsight.operators.rfm import METRICS
+from shopsight.sources.concurrent import run_all
 
 
 def cluster_labels(centers: list[list[float]]) -> dict[int, str]:
@@ -40,15 +42,18 @@ def run_kmeans_clustering(
             StandardScaler(inputCol="_raw", outputCol="_scaled", withMean=True, withStd=True),
         ]
     ).fit(numeric)
-    prepared = scale.transform(numeric).persist()
+    points = scale.transform(numeric).select("_scaled").persist()
+
+    def fit(start: int) -> tuple[float, KMeansModel]:
+        model = KMeans(k=n_clusters, seed=seed + start, featuresCol="_scaled", predictionCol="cluster").fit(points)
+        return model.summary.trainingCost, model
+
     try:
-        fits = [
-            KMeans(k=n_clusters, seed=seed + i, featuresCol="_scaled", predictionCol="cluster").fit(prepared)
-            for i in range(restarts)
-        ]
-        best = min(fits, key=lambda model: model.summary.trainingCost)
+        fits = run_all(scored.sparkSession, {str(i): lambda i=i: fit(i) for i in range(restarts)})
     finally:
-        prepared.unpersist()
+        points.unpersist()
+    _, best = min(fits.values(), key=lambda found: found[0])
+    best = without_summary(best)
 
     scaler = scale.stages[1]
     centers = [

@@ -15,7 +15,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 from shopsight.operators import assortment, churn_features, churn_model, kpis, quality, recommend
-from shopsight.operators.cleaning import clean_all
+from shopsight.operators.cleaning import audit_table, clean_all, store_cleaned
 from shopsight.operators.customers import clv_table
 from shopsight.plans import customers
 from shopsight.session import tune
@@ -40,10 +40,11 @@ class ValidationFailed(ValueError):
 
 
 class PipelineResult(NamedTuple):
-    """Status rows of the published set, and the fitted churn models."""
+    """Status rows of the published set, the fitted churn models, and the audit of the stored cleaned tables."""
 
     status: DataFrame
     models: churn_model.ChurnModels
+    audit: DataFrame
 
 
 def staged(spark: SparkSession, raw_dir: str) -> dict[str, DataFrame]:
@@ -60,17 +61,19 @@ def staged(spark: SparkSession, raw_dir: str) -> dict[str, DataFrame]:
     return raw | stored
 
 
-def clean_tables(raw: dict[str, DataFrame], folder: str) -> dict[str, DataFrame]:
-    """Cleaned tables; those with several readers are stored as Parquet in `folder`."""
-    clean = clean_all(raw)
+def clean_tables(raw: dict[str, DataFrame], folder: str) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Cleaned tables, those with several readers stored as Parquet in `folder`, and what their cleaning dropped."""
+    clean = clean_all({t: df for t, df in raw.items() if t not in STORED})
     spark = next(iter(raw.values())).sparkSession
 
-    def stored(table: str) -> DataFrame:
+    def write(table: str, df: DataFrame) -> DataFrame:
         path = paths.join(folder, f"{table}.parquet")
-        clean[table].write.parquet(path)
-        return spark.read.schema(clean[table].schema).parquet(path)
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
 
-    return clean | run_all(spark, {t: lambda t=t: stored(t) for t in STORED})
+    jobs = {t: lambda t=t: store_cleaned(t, raw[t], lambda df: write(t, df)) for t in STORED}
+    done = run_all(spark, jobs)
+    return clean | {t: df for t, (df, _) in done.items()}, audit_table({t: row for t, (_, row) in done.items()}, spark)
 
 
 def validate(raw: dict[str, DataFrame]) -> DataFrame:
@@ -154,7 +157,7 @@ def run(
     except BaseException:
         paths.delete(spark, folder)
         raise
-    clean = checked["clean"]
+    clean, audit = checked["clean"]
     logger.info("Computing outputs")
     with outputs.Staging(spark, output_dir) as staging:
         staging.attach(paths.join(output_dir, TABLES), folder)
@@ -164,7 +167,7 @@ def run(
     catalog.register({t: df for t, df in clean.items() if t not in STORED})
     open_tables(spark, output_dir)
     logger.info("Published %d outputs to %s", len(staging.contracts), output_dir)
-    return PipelineResult(status, models)
+    return PipelineResult(status, models, audit)
 
 
 def open_tables(spark: SparkSession, output_dir: str) -> list[str]:

@@ -86,3 +86,29 @@ def test_numbers_and_centers_are_typed(spark):
     assert dict(cleaning.clean_orders(orders).dtypes)["num_of_item"] == "bigint"
     text = tables.raw_tables(spark)["distribution_centers"].select(*[F.col(c).cast("string").alias(c) for c in ("id", "name", "latitude", "longitude")])
     assert dict(cleaning.clean_centers(text).dtypes) == {"id": "bigint", "name": "string", "latitude": "double", "longitude": "double"}
+
+
+def test_audit_reads_the_table_once(spark, tmp_path):
+    """The counts come from the pass that writes: one scan of the raw table, one write."""
+    tables.raw_tables(spark)["orders"].write.parquet(str(tmp_path / "orders"))
+    raw = spark.read.parquet(str(tmp_path / "orders"))
+    counts = cleaning.Counts()
+    clean = cleaning.clean_orders(raw, counts)
+    plan = clean._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("CollectMetrics") == 4
+    clean.write.parquet(str(tmp_path / "clean"))
+    assert counts.row()["rows_out"] == spark.read.parquet(str(tmp_path / "clean")).count()
+
+
+def test_audit_is_counted_again_when_tasks_were_observed_twice(spark, monkeypatch):
+    raw = tables.raw_tables(spark)["orders"]
+    real, calls = cleaning.Counts.row, []
+
+    def doubled(self):
+        calls.append(1)
+        row = real(self)
+        return {k: 2 * v for k, v in row.items()} if len(calls) == 1 else row
+
+    monkeypatch.setattr(cleaning.Counts, "row", doubled)
+    stored, row = cleaning.store_cleaned("orders", raw, lambda df: cleaning.materialize(df, "t"))
+    assert row["rows_out"] == stored.count() and len(calls) == 2

@@ -33,6 +33,15 @@ def test_all_outputs_are_ready(spark, published):
     assert os.path.exists(folder / "model" / "metadata")
 
 
+def test_audit_comes_with_the_stored_tables(spark, published):
+    result, folder = published
+    audit = tables.keyed(result.audit, "table_name")
+    assert set(audit) == set(pipeline.STORED)
+    for table, row in audit.items():
+        assert row.rows_out == spark.read.parquet(f"{folder}/out/tables/{table}.parquet").count()
+        assert row.rows_in - sum(v for k, v in row.asDict().items() if k.startswith("dropped")) == row.rows_out
+
+
 def test_recommendations_respect_history(spark, published):
     _, folder = published
     recs = spark.read.parquet(str(folder / "out" / "recommendations.parquet"))
