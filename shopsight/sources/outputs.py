@@ -30,6 +30,7 @@ from shopsight.sources.concurrent import run_all
 STATUS_SCHEMA = "output string, status string, row_count bigint"
 READ_ERRORS = (PySparkException, Py4JJavaError)
 COMMIT = "_commit.json"
+LOOKUP_KEY = "customer_id"
 STAGING = "_staging"
 STALE_DAYS = 7  # staging folders this old belong to nobody
 
@@ -42,6 +43,17 @@ def save_parquet(df: DataFrame, path: str) -> None:
     swap(spark, staged, path)
 
 
+def save_for_lookups(df: DataFrame, path: str, key: str = LOOKUP_KEY) -> None:
+    """Write a table from which single keys are read.
+
+    All rows of a key lie together in one sorted file, whose row groups carry bloom filters of the key: a reader
+    who asks for one key opens the row group that has it, and from the others only their filters.
+    """
+    laid_out = df.repartition(key).sortWithinPartitions(key)
+    options = {f"parquet.bloom.filter.enabled#{key}": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
+    laid_out.write.options(**options).parquet(path)
+
+
 def load_parquet(spark: SparkSession, path: str) -> DataFrame:
     path = located(spark, path)
     if not paths.exists(spark, path):
@@ -211,7 +223,7 @@ class Staging:
         if name not in self.contracts:
             raise ValueError(f"Output set does not match its contract: unexpected={[name]}")
         path = paths.join(self.path, self.contracts[name].path)
-        df.write.parquet(path)
+        save_for_lookups(df, path) if LOOKUP_KEY in df.columns else df.write.parquet(path)
         self.written.add(name)
         return self.spark.read.schema(df.schema).parquet(path)
 

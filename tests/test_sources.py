@@ -1,6 +1,8 @@
 import pytest
+from pyspark.sql import functions as F
 
 from shopsight.contracts import RAW_TABLES, OutputContract
+from shopsight.operators import recommend
 from shopsight.sources import catalog, concurrent, outputs, paths, scratch, tables
 from tests import tables as fixtures
 
@@ -331,3 +333,29 @@ def test_failed_exchange_of_names_restores_all_tables(spark, monkeypatch, failin
     finally:
         for n in names:
             spark.sql(f"DROP TABLE IF EXISTS {n}")
+
+
+def rows_read(df):
+    """Rows that the scans of a collected plan have read."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    plan = plan.finalPhysicalPlan() if "Adaptive" in plan.getClass().getName() else plan
+    leaves = plan.collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.length()))
+
+
+def test_one_customer_reads_one_row_group(spark, folder):
+    """Of eight files, sorted and with bloom filters, a lookup reads the rows of one; an unknown key almost none."""
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        table = spark.range(40_000).selectExpr("id * 3 as customer_id", "id % 5 as rank", "uuid() as product_name")
+        outputs.save_for_lookups(table, f"{folder}/recs.parquet")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    stored = outputs.load_parquet(spark, f"{folder}/recs.parquet")
+    sizes = [r[1] for r in stored.groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) == 8
+    one = recommend.customer_recommendations(stored, 300, 3)
+    assert one.count() == 1 and rows_read(one) <= max(sizes)
+    assert rows_read(recommend.customer_recommendations(stored, 301, 3)) <= max(sizes)
