@@ -68,19 +68,10 @@ def counted(bitmaps_: DataFrame, keys: list[str], name: str) -> DataFrame:
 def orders_and_customers(sold: DataFrame, key: str) -> DataFrame:
     """(key, order_count, unique_customers) of rows (key, order_id, user_id).
 
-    The rows are shuffled once, combined to one per key and order with the order's customers (more than one only
-    in faulty data); orders are then plain counts, and customers come from bitmaps built at order grain.
+    Orders are nearly as many as the rows: these are shuffled once, combined to one per key and order. Customers
+    are far fewer and come from bitmaps.
     """
-    orders = sold.groupBy(key, "order_id").agg(F.collect_set("user_id").alias("buyers"))
-    # The first buyer of an order counts the order; bitmaps and counts leave the same aggregation.
-    first = F.when((F.size("buyers") == 0) | (F.col("user_id") == F.get("buyers", F.lit(0))), 1)
-    runs = orders.withColumn("user_id", F.explode_outer("buyers")).select(
-        key, "user_id", F.when(F.col("order_id").isNotNull(), first).alias("order_row")
-    )
-    per_run = runs.groupBy(key, F.bitmap_bucket_number("user_id").alias(RUN)).agg(
-        F.count("order_row").alias("order_count"),
-        F.bitmap_construct_agg(F.bitmap_bit_position("user_id")).alias(BITS),
-    )
-    return per_run.groupBy(key).agg(
-        F.sum("order_count").alias("order_count"), F.coalesce(F.sum(F.bitmap_count(BITS)), F.lit(0)).alias("unique_customers")
-    )
+    orders = sold.groupBy(key, "order_id").agg(F.count("*")).groupBy(key).agg(F.count("order_id").alias("order_count"))
+    customers = counted(bitmaps(sold, [key], "user_id"), [key], "unique_customers")
+    joined = orders.join(customers, key, "left")
+    return joined.select(key, "order_count", F.coalesce("unique_customers", F.lit(0)).alias("unique_customers"))

@@ -19,30 +19,32 @@ sales AS (
     WHERE p.category IS NOT NULL
     GROUP BY p.category
 ),
-per_order AS (
-    -- The one shuffle of items: an order has one customer but for faulty data.
-    SELECT p.category, s.order_id, COLLECT_SET(s.user_id) AS buyers
+found AS (
+    SELECT p.category, s.order_id, s.user_id
     FROM sold s
     JOIN products p ON p.id = s.product_id
     WHERE p.category IS NOT NULL
-    GROUP BY p.category, s.order_id
 ),
-per_buyer AS (
-    SELECT category, user_id,
-           CASE WHEN order_id IS NOT NULL AND (SIZE(buyers) = 0 OR user_id = GET(buyers, 0)) THEN 1 END AS order_row
-    FROM per_order LATERAL VIEW OUTER EXPLODE(buyers) b AS user_id
+per_order AS (
+    -- The one shuffle of items.
+    SELECT category, order_id FROM found GROUP BY category, order_id
+),
+orders_of AS (
+    SELECT category, COUNT(order_id) AS order_count FROM per_order GROUP BY category
 ),
 per_run AS (
-    SELECT category,
-           COUNT(order_row) AS order_count,
-           BITMAP_CONSTRUCT_AGG(BITMAP_BIT_POSITION(user_id)) AS customers
-    FROM per_buyer
+    SELECT category, BITMAP_CONSTRUCT_AGG(BITMAP_BIT_POSITION(user_id)) AS customers
+    FROM found
+    WHERE user_id IS NOT NULL
     GROUP BY category, BITMAP_BUCKET_NUMBER(user_id)
 ),
+customers_of AS (
+    SELECT category, SUM(BITMAP_COUNT(customers)) AS unique_customers FROM per_run GROUP BY category
+),
 reach AS (
-    SELECT category, SUM(order_count) AS order_count, COALESCE(SUM(BITMAP_COUNT(customers)), 0) AS unique_customers
-    FROM per_run
-    GROUP BY category
+    SELECT o.category, order_count, COALESCE(unique_customers, 0) AS unique_customers
+    FROM orders_of o
+    LEFT JOIN customers_of c ON c.category = o.category
 )
 SELECT sales.category,
        ((micros * 2 + 10000) DIV 20000) / 100D AS total_revenue,

@@ -52,8 +52,7 @@ def test_items_are_shuffled_once_for_both_counts(spark):
     products = tables.products(spark, [(p, f"P{p}", f"C{p % 2}") for p in range(5)])
     plan = plan_of(assortment.compute_category_analytics(items, products))
     assert "Expand" not in plan
-    assert plan.count("hashpartitioning(category#") == 4  # category and order, category and run, then per category twice
-    assert plan.count("order_id#") and sum("Exchange hashpartitioning" in x and "order_id" in x for x in plan.splitlines()) == 1
+    assert sum("Exchange hashpartitioning" in x and "order_id" in x for x in plan.splitlines()) == 1
 
 
 def test_sql_file_gives_the_same_counts(spark):
