@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from shopsight.contracts import CHURN_HORIZON_DAYS
 from shopsight.functions import calendar
 from shopsight.functions.money import dollars_unrounded, ratio
-from shopsight.operators.purchases import order_facts, order_span, product_variety
+from shopsight.operators.purchases import Facts, order_facts, order_span, product_variety
 from shopsight.operators.rfm import epoch_micros
 
 
@@ -48,20 +48,24 @@ def build_churn_features(
     users: DataFrame,
     horizon_days: int = CHURN_HORIZON_DAYS,
     cutoff: datetime | str | None = None,
+    facts: Facts | None = None,
 ) -> DataFrame:
     """One row per customer with history: features and the `churned` label."""
     window = churn_window(orders, horizon_days, cutoff)
-    return churn_features_in(window, orders, items, users)
+    return churn_features_in(window, orders, items, users, facts)
 
 
-def churn_features_in(window: ChurnWindow, orders: DataFrame, items: DataFrame, users: DataFrame) -> DataFrame:
+def churn_features_in(
+    window: ChurnWindow, orders: DataFrame, items: DataFrame, users: DataFrame, facts: Facts | None = None
+) -> DataFrame:
+    """An order's date is that of its earliest completed row, so that facts of all orders can be cut by date."""
     cutoff, end = calendar.at_micros(window.cutoff), calendar.at_micros(window.end)
     created = F.col("created_at")
     in_history = created < cutoff
 
     # Features and label come out of the same aggregation over the order facts.
     purchases = (
-        order_facts(orders.filter(created <= end), items)
+        (facts.orders.filter(created <= end) if facts else order_facts(orders.filter(created <= end), items))
         .groupBy("user_id")
         .agg(
             F.count_if(in_history).alias("frequency"),
@@ -73,7 +77,7 @@ def churn_features_in(window: ChurnWindow, orders: DataFrame, items: DataFrame,
         )
         .filter(F.col("frequency") > 0)
     )
-    variety = product_variety(orders.filter(in_history), items).withColumnRenamed("customer_id", "user_id")
+    variety = product_variety(orders, items, facts, before=cutoff).withColumnRenamed("customer_id", "user_id")
     people = users.select(
         F.col("id").alias("user_id"), F.col("age").try_cast("double").alias("age"), "gender", "country"
     )

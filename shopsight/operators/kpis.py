@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from shopsight.functions import calendar
 from shopsight.functions.money import dollars_unrounded, mean_dollars, ratio, wide_sum
-from shopsight.operators.purchases import completed, order_facts
+from shopsight.operators.purchases import Facts, completed, order_facts
 
 
 def _with_first_month(months: DataFrame) -> DataFrame:
@@ -20,9 +20,9 @@ def _with_first_month(months: DataFrame) -> DataFrame:
     return months.withColumn("first_month", F.min("month").over(W.partitionBy("user_id")))
 
 
-def compute_monthly_kpis(orders: DataFrame, items: DataFrame) -> DataFrame:
+def compute_monthly_kpis(orders: DataFrame, items: DataFrame, facts: Facts | None = None) -> DataFrame:
     months = (
-        order_facts(orders, items)
+        (facts.orders if facts else order_facts(orders, items))
         .groupBy("user_id", calendar.month_of(F.col("created_at")).alias("month"))
         .agg(
             F.count("*").alias("orders"),

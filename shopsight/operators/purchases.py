@@ -6,15 +6,29 @@ an order counts once, with the customer and date of its earliest completed row.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from typing import NamedTuple
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopsight.contracts import COMPLETED_STATUSES
 from shopsight.functions.money import to_micros
 from shopsight.operators.ranking import first_per_key
+from shopsight.sources.concurrent import run_all
 from shopsight.sources.scratch import materialize
 
 
+class Facts(NamedTuple):
+    """What several reports need of the purchases, stored once.
+
+    orders: one row per completed order (order_id, user_id, created_at, order_micros).
+    owned: one row per customer and product (customer_id, product_id, first_at), by the order's customer.
+    """
+
+    orders: DataFrame
+    owned: DataFrame
+
+
 def completed(df: DataFrame) -> DataFrame:
     return df.filter(F.col("status").isin(*COMPLETED_STATUSES))
 
@@ -52,10 +66,32 @@ def order_facts(orders: DataFrame, items: DataFrame) -> DataFrame:
     return order_heads(orders).join(order_totals(items), "order_id", "left")
 
 
-def customer_activity(orders: DataFrame, items: DataFrame) -> DataFrame:
+def owned_products(heads: DataFrame, items: DataFrame) -> DataFrame:
+    """Distinct completed products of each order's customer, with the time of the first order of it."""
+    return (
+        completed(items)
+        .select("order_id", "product_id")
+        .join(heads, "order_id")
+        .where(F.col("product_id").isNotNull())
+        .groupBy(F.col("user_id").alias("customer_id"), "product_id")
+        .agg(F.min("created_at").alias("first_at"))
+    )
+
+
+def stored_facts(orders: DataFrame, items: DataFrame) -> Facts:
+    """The order heads are stored first, so that items of a hot order can be split over tasks in both joins."""
+    heads = materialize(order_heads(orders), "order-heads")
+    facts = {
+        "orders": lambda: materialize(heads.join(order_totals(items), "order_id", "left"), "order-facts"),
+        "owned": lambda: materialize(owned_products(heads, items), "owned-products"),
+    }
+    return Facts(**run_all(orders.sparkSession, facts))
+
+
+def customer_activity(orders: DataFrame, items: DataFrame, facts: Facts | None = None) -> DataFrame:
     """One pass over the order facts gives all per-customer purchase totals."""
     return (
-        order_facts(orders, items)
+        (facts.orders if facts else order_facts(orders, items))
         .groupBy(F.col("user_id").alias("customer_id"))
         .agg(
             F.min("created_at").alias("first_order_date"),
@@ -67,16 +103,12 @@ def customer_activity(orders: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
-def product_variety(orders: DataFrame, items: DataFrame) -> DataFrame:
-    """Distinct completed products per customer."""
-    owners = _stored_owners(orders)
-    return (
-        completed(items)
-        .select("order_id", "product_id")
-        .join(owners, "order_id")
-        .groupBy(F.col("user_id").alias("customer_id"))
-        .agg(F.count_distinct("product_id").alias("n_unique_products"))
-    )
+def product_variety(orders: DataFrame, items: DataFrame, facts: Facts | None = None, before: Column | None = None) -> DataFrame:
+    """Distinct completed products per customer; with `before`, those of orders before that time."""
+    owned = facts.owned if facts else owned_products(materialize(order_heads(orders), "order-heads"), items)
+    if before is not None:
+        owned = owned.where(F.col("first_at") < before)
+    return owned.groupBy("customer_id").agg(F.count("*").alias("n_unique_products"))
 
 
 def order_span(orders: DataFrame) -> tuple[int, int]:

@@ -1,6 +1,8 @@
 """Recommendations from segment popularity, without what a customer owns.
 
-1. Popularity per (segment, product), in one pass over the completed items.
+0. The completed items are counted once per customer and product, and stored;
+   everything below reads these counts.
+1. Popularity per (segment, product).
 2. The candidate pool: the most popular products of each segment and overall,
    with their metadata. It holds at most (#segments + 1) x pool size rows and is
    stored, so the planner knows its size when it decides how to join it.
@@ -49,6 +51,12 @@ def completed_purchases(items: DataFrame) -> DataFrame:
     return completed(items).select(F.col("user_id").alias("customer_id"), "product_id")
 
 
+def purchase_counts(items: DataFrame) -> DataFrame:
+    """Stored item rows per (customer_id, product_id)."""
+    counts = completed_purchases(items).groupBy("customer_id", "product_id").agg(F.count("*").alias("purchases"))
+    return materialize(counts, "purchase-counts")
+
+
 def customers_of(segments: DataFrame) -> DataFrame:
     return segments.select("customer_id", "segment").distinct()
 
@@ -63,6 +71,14 @@ def popularity(items: DataFrame, segments: DataFrame) -> DataFrame:
     )
 
 
+def counted_popularity(purchases: DataFrame, customers: DataFrame) -> DataFrame:
+    return (
+        purchases.join(customers, "customer_id", "left")
+        .groupBy("segment", "product_id")
+        .agg(F.sum("purchases").alias("purchase_count"))
+    )
+
+
 def segment_popularity(counts: DataFrame) -> DataFrame:
     return counts.filter(F.col("segment").isNotNull())
 
@@ -106,7 +122,10 @@ def _candidate_list() -> Column:
 
 def customer_history(items: DataFrame, products: DataFrame, pool: DataFrame) -> DataFrame:
     """Per customer: pool products owned and pool categories bought from."""
-    purchases = completed_purchases(items)
+    return counted_history(purchase_counts(items), products, pool)
+
+
+def counted_history(purchases: DataFrame, products: DataFrame, pool: DataFrame) -> DataFrame:
     owned = purchases.join(pool.select("product_id").distinct(), "product_id", "left_semi").select(
         "customer_id", "product_id", F.lit(None).cast("string").alias("category")
     )
@@ -147,12 +166,15 @@ def ranked_choices(
     Customers whose segment list runs short are filled up from the overall
     list; their ranks continue.
     """
+    return _ranked(customers_of(segments), history, pool, max_recs)
+
+
+def _ranked(customers: DataFrame, history: DataFrame, pool: DataFrame, max_recs: int) -> DataFrame:
     by_segment = pool.filter(F.col("segment").isNotNull()).groupBy("segment").agg(_candidate_list())
     overall = pool.filter(F.col("segment").isNull()).agg(_candidate_list()).scalar()
     nothing = F.array().cast("array<bigint>")
     customers = (
-        customers_of(segments)
-        .join(history, "customer_id", "left")
+        customers.join(history, "customer_id", "left")
         .join(by_segment, "segment", "left")
         .withColumn("owned", F.coalesce("owned", nothing))
         .withColumn("primary", _choose(F.col("candidates"), F.col("owned"), max_recs, overall=False))
@@ -218,7 +240,14 @@ def describe_choices(choices: DataFrame, pool: DataFrame) -> DataFrame:
 def build_pool(
     items: DataFrame, products: DataFrame, segments: DataFrame, segment_pool: int, overall_pool: int
 ) -> DataFrame:
-    counts = popularity(items, segments)
+    return counted_pool(purchase_counts(items), products, customers_of(segments), segment_pool, overall_pool)
+
+
+def counted_pool(
+    purchases: DataFrame, products: DataFrame, customers: DataFrame, segment_pool: int, overall_pool: int
+) -> DataFrame:
+    """The candidate pool, stored; so is the popularity, of which it takes two cuts."""
+    counts = materialize(counted_popularity(purchases, customers), "popularity")
     return materialize(described_pool(candidate_pool(counts, segment_pool, overall_pool), products), "pool")
 
 
@@ -232,8 +261,9 @@ def build_recommendations(
 ) -> DataFrame:
     """At most `max_recs` products per customer of `segments`."""
     size = default_pool(max_recs)
-    pool = build_pool(items, products, segments, segment_pool or size, overall_pool or size)
-    choices = ranked_choices(segments, customer_history(items, products, pool), pool, max_recs)
+    purchases, customers = purchase_counts(items), materialize(customers_of(segments), "segments")
+    pool = counted_pool(purchases, products, customers, segment_pool or size, overall_pool or size)
+    choices = _ranked(customers, counted_history(purchases, products, pool), pool, max_recs)
     return describe_choices(choices, pool)
 
 

@@ -15,15 +15,19 @@ from shopsight.operators.customers import (
     purchase_statistics,
     with_profile,
 )
-from shopsight.operators.purchases import customer_activity, product_variety
+from shopsight.operators.purchases import Facts, customer_activity, product_variety, stored_facts
 from shopsight.operators.rfm import assign_segments, compute_rfm_scores, rfm_from_activity
 from shopsight.sources.scratch import materialize
 
 
-def stored_activity(orders: DataFrame, items: DataFrame, variety: bool = True) -> DataFrame:
-    activity = customer_activity(orders, items)
+def stored_activity(
+    orders: DataFrame, items: DataFrame, variety: bool = True, facts: Facts | None = None
+) -> DataFrame:
+    if variety and facts is None:
+        facts = stored_facts(orders, items)
+    activity = customer_activity(orders, items, facts)
     if variety:
-        activity = activity.join(product_variety(orders, items), "customer_id", "left")
+        activity = activity.join(product_variety(orders, items, facts), "customer_id", "left")
     return materialize(activity, "activity")
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from shopsight.operators import assortment, churn_features, churn_model, kpis, quality, recommend
 from shopsight.operators.cleaning import audit_table, clean_all, store_cleaned
 from shopsight.operators.customers import clv_table
+from shopsight.operators.purchases import stored_facts
 from shopsight.plans import customers
 from shopsight.session import tune
 from shopsight.sources import catalog, outputs, paths, tables
@@ -95,9 +96,10 @@ def compute_outputs(
     users, orders = clean["users"], clean["orders"]
     items, products = clean["order_items"], clean["products"]
     spark = orders.sparkSession
+    facts = stored_facts(orders, items)
 
     def customer_outputs() -> None:
-        activity = customers.stored_activity(orders, items)
+        activity = customers.stored_activity(orders, items, facts=facts)
         rfm = staging.write("customer_rfm", customers.segmented(activity))
 
         def profile_outputs() -> None:
@@ -110,7 +112,7 @@ def compute_outputs(
         run_all(spark, {"profile": profile_outputs, "recommendations": recommendations})
 
     def churn_outputs() -> churn_model.ChurnModels:
-        features = churn_model.training_table(churn_features.build_churn_features(orders, items, users))
+        features = churn_model.training_table(churn_features.build_churn_features(orders, items, users, facts=facts))
         trained = churn_model.train_churn_models(features, trees=trees, depth=depth, max_bins=max_bins)
         importance = churn_model.feature_importance(trained.models[churn_model.FOREST], features)
         staging.write("churn_predictions", churn_model.generate_churn_predictions(features, trained.best))
@@ -122,7 +124,7 @@ def compute_outputs(
         {
             "churn": churn_outputs,
             "customers": customer_outputs,
-            "kpis": lambda: staging.write("monthly_kpis", kpis.compute_monthly_kpis(orders, items)),
+            "kpis": lambda: staging.write("monthly_kpis", kpis.compute_monthly_kpis(orders, items, facts)),
             "cohorts": lambda: staging.write("cohort_retention", kpis.compute_cohort_retention(orders)),
             "categories": lambda: staging.write(
                 "category_analytics", assortment.compute_category_analytics(items, products)

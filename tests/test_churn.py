@@ -94,7 +94,7 @@ def test_metrics(trained, features):
 
 def test_forest_limits_are_parameters(trained, features):
     forest = trained.models[churn_model.FOREST].stages[-1]
-    assert forest.getMaxDepth() == 30
+    assert forest.getMaxDepth() == churn_model.FOREST_DEPTH == 10
     small = churn_model.train_churn_models(features, trees=2, depth=3, max_bins=16).models[churn_model.FOREST].stages[-1]
     assert (small.getMaxDepth(), small.getMaxBins()) == (3, 16)
     assert max(tree.depth for tree in small.trees) <= 3
