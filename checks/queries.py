@@ -201,16 +201,16 @@ def dq_row_counts(m: Model) -> DataFrame:
 
 @query
 def dq_duplicate_keys(m: Model) -> DataFrame:
-    return quality.only(quality.key_checks(m.dirty), "duplicate_key")
+    return quality.only(quality.table_checks(m.dirty), "duplicate_key")
 
 
 @query
 def dq_conflicting_keys(m: Model) -> DataFrame:
-    return quality.only(quality.key_checks(m.dirty), "conflicting_key")
+    return quality.only(quality.table_checks(m.dirty), "conflicting_key")
 
 
 def _column_report(m: Model, check: str) -> DataFrame:
-    return quality.only(quality.column_checks(m.dirty), check)
+    return quality.only(quality.table_checks(m.dirty), check)
 
 
 @query

@@ -3,11 +3,10 @@
 Every check yields rows (table_name, check_name, column_name, severity, n_bad,
 pct). An `issue` fails validation when n_bad is positive; a `warning` does not.
 
-A family of checks is one aggregation over all tables together, not a job per
-check: columns are flagged in a scan and summed per table; keys are reduced to
-counts and row fingerprints; references are settled by grouping child and parent
-keys together. Everything is combined on the map side, so a repeated key or a
-heavily referenced parent does not gather in one task.
+Checks of single tables are one aggregation over one scan of each: rows carry flags
+for their columns and hashes, summed by key and then by table. References are settled
+by grouping child and parent keys together. Everything is combined on the map side, so
+a repeated key or a heavily referenced parent does not gather in one task.
 """
 
 from __future__ import annotations
@@ -100,27 +99,8 @@ def planned_column_checks(table: str, df: DataFrame) -> list[ColumnCheck]:
     return checks
 
 
-def column_checks(tables: Tables) -> DataFrame:
-    """Missing columns, emptiness, null keys, bad dates and negative numbers."""
-    spark = next(iter(tables.values())).sparkSession
-    planned = {t: planned_column_checks(t, df) for t, df in tables.items()}
-    width = max(len(checks) for checks in planned.values())
-    slots = [f"f{i}" for i in range(width)]
-
-    def flags(checks: list[ColumnCheck]) -> list[Column]:
-        bad = [c.bad.cast("int") for c in checks] + [F.lit(0)] * (width - len(checks))
-        return [b.alias(s) for b, s in zip(bad, slots)]
-
-    flagged = [df.select(F.lit(t).alias("table_name"), F.lit(1).alias("row"), *flags(planned[t])) for t, df in tables.items()]
-    # A table without rows still gets its result row.
-    present = spark.range(1).select(
-        F.explode(F.array(*[F.lit(t) for t in tables])).alias("table_name"), F.lit(0).alias("row"), *flags([])
-    )
-    counted = (
-        _union([*flagged, present])
-        .groupBy("table_name")
-        .agg(F.sum("row").alias("rows"), *[F.sum(s).alias(s) for s in slots])
-    )
+def _measured(tables: Tables, planned: dict[str, list[ColumnCheck]], slots: list[str]) -> Column:
+    """Check structs of a counted table row (table_name, rows, one sum per slot)."""
     names = F.create_map(
         *chain.from_iterable(
             (
@@ -152,59 +132,80 @@ def column_checks(tables: Tables) -> DataFrame:
         absent[F.col("table_name")], lambda c: _check("missing_column", c, ISSUE, F.lit(1))
     )
     empty = F.array(_check("empty_table", F.lit(None), ISSUE, F.col("rows") == 0))
-    return counted.select("table_name", "rows", F.inline(F.concat(empty, missing, measured)))
-
-
-# --- keys -------------------------------------------------------------------
+    return F.concat(empty, missing, measured)
 
 
-def _fingerprint(df: DataFrame, key: str, salt: int) -> Column:
-    """64-bit hash of the other columns, with NULL told apart from absence."""
-    others = [c for c in df.columns if c != key]
-    parts = [part for c in others for part in (F.col(c).isNull(), F.col(c))]
-    return F.xxhash64(F.lit(salt), *parts)
+def table_checks(tables: Tables) -> DataFrame:
+    """All checks of single tables, from one scan of each.
 
-
-def key_checks(tables: Tables) -> DataFrame:
-    """Repeated rows per primary key, and keys whose rows disagree.
-
-    Rows are compared by 128 bits of row hash; only counts and hash bounds are
-    shuffled. When any key conflicts, the repeats are part of that issue.
+    Columns: missing ones, emptiness, null keys, bad dates and negative numbers. Keys: repeated rows, and keys
+    whose rows disagree, by the smallest and largest of 128 bits of row hash; when any key conflicts, the repeats
+    are part of that issue. Every row leaves its scan as its key, its hashes and a flag per column check; flags
+    are summed along with the rows of each key.
     """
+    spark = next(iter(tables.values())).sparkSession
+    planned = {t: planned_column_checks(t, df) for t, df in tables.items()}
     keyed = {t: PRIMARY_KEYS[t] for t, df in tables.items() if PRIMARY_KEYS.get(t) in df.columns}
-    dtype = _common_type(*[(tables[t], key) for t, key in keyed.items()])
-    rows = _union(
-        [
-            tables[t].select(
-                F.lit(t).alias("table_name"),
-                F.lit(key).alias("key_name"),
-                F.col(key).cast(dtype).alias("key"),
-                _fingerprint(tables[t], key, 1).alias("h1"),
-                _fingerprint(tables[t], key, 2).alias("h2"),
-            )
-            for t, key in keyed.items()
-        ]
-    )
-    groups = rows.groupBy("table_name", "key_name", "key").agg(
-        F.count("*").alias("copies"),
-        F.min("h1").alias("l1"),
-        F.max("h1").alias("u1"),
-        F.min("h2").alias("l2"),
-        F.max("h2").alias("u2"),
+    dtype = _common_type(*[(tables[t], key) for t, key in keyed.items()]) if keyed else "string"
+    slots = [f"f{i}" for i in range(max(len(checks) for checks in planned.values()))]
+
+    def row(table: Column, rows: int, key: Column, hashes: list[Column], checks: list[ColumnCheck]) -> list[Column]:
+        flags = [c.bad.cast("int") for c in checks] + [F.lit(0)] * (len(slots) - len(checks))
+        return [
+            table.alias("table_name"), F.lit(rows).alias("row"), key.cast(dtype).alias("key"),
+            *[h.cast("bigint").alias(n) for n, h in zip(("h1", "h2"), hashes)], *[f.alias(s) for f, s in zip(flags, slots)],
+        ]
+
+    nothing = [F.lit(None), F.lit(None)]
+    scanned = [
+        df.select(
+            row(F.lit(t), 1, F.col(keyed[t]), [_fingerprint(df, keyed[t], salt) for salt in (1, 2)], planned[t])
+            if t in keyed
+            else row(F.lit(t), 1, F.lit(None), nothing, planned[t])
+        )
+        for t, df in tables.items()
+    ]
+    # A table without rows still gets its result rows.
+    names = F.explode(F.array(*[F.lit(t) for t in tables]))
+    present = spark.range(1).select(names.alias("name")).select(row(F.col("name"), 0, F.lit(None), nothing, []))
+    groups = (
+        _union([*scanned, present])
+        .groupBy("table_name", "key")
+        .agg(
+            F.sum("row").alias("copies"),
+            *[f(h).alias(f"{n}_{h}") for h in ("h1", "h2") for n, f in (("least", F.min), ("most", F.max))],
+            *[F.sum(s).alias(s) for s in slots],
+        )
     )
-    conflicting = (F.col("l1") != F.col("u1")) | (F.col("l2") != F.col("u2"))
-    counted = groups.groupBy("table_name", "key_name").agg(
+    conflicting = (F.col("least_h1") != F.col("most_h1")) | (F.col("least_h2") != F.col("most_h2"))
+    counted = groups.groupBy("table_name").agg(
         F.sum("copies").alias("rows"),
-        F.sum(F.col("copies") - 1).alias("repeats"),
+        F.sum(F.greatest(F.col("copies") - 1, F.lit(0))).alias("repeats"),
         F.count_if(conflicting).alias("conflicts"),
+        *[F.sum(s).alias(s) for s in slots],
     )
-    checks = F.array(
-        _check("duplicate_key", F.col("key_name"), WARNING, F.col("repeats")),
-        _check("conflicting_key", F.col("key_name"), ISSUE, F.col("conflicts")),
-    )
+    key_name = F.create_map(*chain.from_iterable((F.lit(t), F.lit(k)) for t, k in keyed.items())) if keyed else None
+    checks = _measured(tables, planned, slots)
+    if key_name is not None:
+        of_key = F.array(
+            _check("duplicate_key", F.try_element_at(key_name, F.col("table_name")), WARNING, F.col("repeats")),
+            _check("conflicting_key", F.try_element_at(key_name, F.col("table_name")), ISSUE, F.col("conflicts")),
+        )
+        checked = (F.col("rows") > 0) & F.col("table_name").isin(*keyed)
+        checks = F.concat(checks, F.filter(of_key, lambda _: checked))
     return counted.select("table_name", "rows", F.inline(checks))
 
 
+# --- keys -------------------------------------------------------------------
+
+
+def _fingerprint(df: DataFrame, key: str, salt: int) -> Column:
+    """64-bit hash of the other columns, with NULL told apart from absence."""
+    others = [c for c in df.columns if c != key]
+    parts = [part for c in others for part in (F.col(c).isNull(), F.col(c))]
+    return F.xxhash64(F.lit(salt), *parts)
+
+
 # --- references -------------------------------------------------------------
 
 
@@ -284,7 +285,7 @@ def missing_tables(tables: Tables, required: list[str] = RAW_TABLES) -> list[str
 def all_checks(tables: Tables, required: list[str] = RAW_TABLES) -> DataFrame:
     """Check rows with the row count they refer to."""
     spark = next(iter(tables.values())).sparkSession
-    frames = [column_checks(tables), key_checks(tables), *reference_checks(tables)]
+    frames = [table_checks(tables), *reference_checks(tables)]
     frames += [
         spark.range(1).select(
             F.lit(t).alias("table_name"),

@@ -92,3 +92,24 @@ def test_summary(spark, raw):
     rows = tables.keyed(quality.summary(raw | {"users": twice}), "table_name")
     assert (rows["users"].row_count, rows["users"].column_count) == (13, 10)
     assert (rows["users"].issues, rows["users"].warnings, rows["users"].status) == (0, 1, "PASS")
+
+
+def test_one_scan_per_table_outside_the_references(spark, tmp_path):
+    raw = tables.raw_tables(spark)
+    for name, df in raw.items():
+        df.write.parquet(str(tmp_path / name))
+    stored = {name: spark.read.parquet(str(tmp_path / name)) for name in raw}
+    plan = quality.table_checks(stored)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == len(raw)
+
+
+def test_hot_and_null_keys_are_combined(spark):
+    """A third of the rows share one key; null keys count as one key that repeats."""
+    rows = [(7 if i % 3 == 0 else None if i % 50 == 1 else i, "x" if i else "y") for i in range(900)]
+    users = spark.createDataFrame(rows, "id long, email string")
+    found = {(r.check_name, r.column_name): r.n_bad for r in quality.table_checks({"users": users}).collect()}
+    keys = [k for k, _ in rows]
+    assert found["duplicate_key", "id"] == len(keys) - len(set(keys))
+    assert found["conflicting_key", "id"] == 1 and found["empty_table", None] == 0
+    empty = {(r.check_name): r.n_bad for r in quality.table_checks({"users": users.limit(0)}).collect()}
+    assert empty["empty_table"] == 1 and "duplicate_key" not in empty
