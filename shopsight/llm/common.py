@@ -59,6 +59,14 @@ def map_arrow(
     return df.mapInArrow(run, schema)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """`name`, with underscores added while a column of `df` has it (whatever its case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

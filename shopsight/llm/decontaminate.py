@@ -242,22 +242,23 @@ def remove_passages(
     docs: DataFrame, benchmark: DataFrame, n: int = WINDOW_WORDS, block_windows: int = BLOCK_WINDOWS
 ) -> DataFrame:
     """All documents with all their columns; the words of benchmark passages are cut out of the texts."""
-    rows = _numbered(docs)
-    scanned = rows.select(F.col("doc_id").cast("long").alias("doc_id"), utf8("text"), "_row")
+    rows = _numbered(docs.select(F.struct("*").alias("doc")))  # its own columns cannot clash with those below
+    scanned = rows.select(F.col("doc.doc_id").cast("long").alias("doc_id"), F.col("doc.text").cast("binary").alias("text"), "_row")
     hit = _found(scanned, benchmark, n, block_windows).where("n_hit > 0").select("_row", "spans")
-    dirty = rows.join(hit, "_row").withColumn("text", utf8("text"))
-    at, spans = dirty.columns.index("text"), dirty.columns.index("spans")
+    dirty = rows.join(hit, "_row").select("doc", F.col("doc.text").cast("binary").alias("body"), "spans")
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = [
             cut_words(text, [(s["first"], s["last"]) for s in found])
-            for text, found in zip(batch.column(at).to_pylist(), batch.column(spans).to_pylist())
+            for text, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())
         ]
-        return batch.set_column(at, batch.schema.field(at), pa.array(texts, pa.binary()))
+        return batch.set_column(1, batch.schema.field(1), pa.array(texts, pa.binary()))
 
-    mended = map_arrow(dirty, cut, dirty.schema).withColumn("text", F.col("text").cast("string"))
-    clean = rows.join(hit, "_row", "left_anti")
-    return clean.select(*docs.columns).union(mended.select(*docs.columns))
+    mended = map_arrow(dirty, cut, dirty.schema)
+    texts = {"text": F.col("body").cast("string")}
+    own = {c: F.col(f"doc.`{c}`") for c in docs.columns}
+    clean = rows.join(hit, "_row", "left_anti").select(*[v.alias(c) for c, v in own.items()])
+    return clean.union(mended.select(*[v.alias(c) for c, v in (own | texts).items()]))
 
 
 def cut_words(text: bytes, spans: list[tuple[int, int]]) -> bytes:

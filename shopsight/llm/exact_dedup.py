@@ -137,7 +137,41 @@ class Deduplicator:
         self.arrivals = paths.join(folder, "arrivals")
         self.state = paths.join(folder, "state")
 
-    def add(self, docs: DataFrame) -> DataFrame:
-        """Take in a batch and return the state over everything added so far."""
-        fingerprints(located(file_backed(docs), "doc_id", "text")).write.mode("append").parquet(self.arrivals)
+    def add(self, docs: DataFrame, batch: str | None = None) -> DataFrame:
+        """Take in a batch and return the state over everything added so far.
+
+        A batch counts once, however often it is added, so that a run that failed can be repeated. It is known by
+        its name, by default a hash of its rows and their places.
+        """
+        rows = fingerprints(located(file_backed(docs), "doc_id", "text"))
+        if batch is None:
+            row = rows.agg(F.count("*").alias("n"), *[F.bit_xor(F.xxhash64(F.lit(i), *rows.columns)).alias(f"h{i}") for i in (1, 2)])
+            batch = "-".join(str(v or 0) for v in row.first()).replace("--", "-n")
+        folder = paths.join(self.arrivals, f"batch={batch}")
+        if not paths.exists(self.spark, paths.join(folder, "_SUCCESS")):
+            rows.write.mode("overwrite").parquet(folder)
         return advance(self.spark, self.arrivals, self.state)
+
+    def decide(self, docs: DataFrame, everything: DataFrame) -> DataFrame:
+        """The decisions on a batch that was added, as `find_copies` gives them.
+
+        `everything` is a file-backed table of all documents added so far: the text behind the locator of a row's
+        group is compared byte for byte, and rows that only share the digest are grouped by their own bytes.
+        """
+        seen = self.spark.read.format("statestore").load(self.state)
+        seen = seen.select("key.*", F.col("value.min").alias("keep"), F.col("value.count").alias("group_size"))
+        rows = located(file_backed(docs), "doc_id", "text")
+        decided = materialize(fingerprints(rows).join(seen, KEY), "exact-decided")
+        copies = decided.where(~_is_keeper()).select(*KEY, "file_path", "row_index", "keep")
+        texts = rows.select("doc_id", "file_path", "row_index", normalised("text").alias("clean"))
+        kept = located(everything, "text").select(
+            F.struct("file_path", "row_index").alias("place"), normalised("text").alias("kept_clean")
+        )
+        hits = copies.join(texts, ["file_path", "row_index"])
+        hits = hits.join(kept, F.struct("keep.file_path", "keep.row_index") == F.col("place"))
+        different = materialize(hits.where("clean <> kept_clean").drop("kept_clean", "place", "keep"), "exact-different")
+        if not different.isEmpty():
+            decided = _told_apart(decided, different)
+        return decided.select(
+            "doc_id", F.col("keep.doc_id").alias("keep_id"), "group_size", _is_keeper().alias("kept"), "text_sha256", "file_path", "row_index"
+        )

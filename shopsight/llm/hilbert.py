@@ -28,7 +28,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopsight.llm.common import file_backed, located
+from shopsight.llm.common import file_backed, free_name, located
 from shopsight.sources import paths
 from shopsight.sources.scratch import materialize
 
@@ -140,19 +140,22 @@ def write_shards(docs: DataFrame, folder: str, n_shards: int) -> DataFrame:
     spark = docs.sparkSession
     stored = file_backed(docs)
     place = F.struct(F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.row_index").alias("row_index"))
-    whole = stored.select("*", place.alias("_own_place"))
+    own, slot, shard = (free_name(docs, name) for name in ("_own_place", "_slot", "curve_shard"))
+    whole = stored.select("*", place.alias(own))
     assigned = assign(metadata(stored), n_shards)
     placed = assigned.select(
-        F.struct("file_path", "row_index").alias("_place"), F.col("shard").alias("curve_shard"), F.col("slot").alias("_slot")
+        F.struct("file_path", "row_index").alias("_place"), F.col("shard").alias(shard), F.col("slot").alias(slot)
     )
-    joined = whole.join(placed, whole["_own_place"] == placed["_place"])
+    joined = whole.join(placed, whole[own] == placed["_place"])
     columns = [whole[f"`{c}`"] for c in docs.columns]
-    ordered = joined.select(*columns, "curve_shard", "_slot").repartitionByRange("curve_shard", "_slot")
+    ordered = joined.select(*columns, placed[shard], placed[slot]).repartitionByRange(shard, slot)
     data = paths.join(folder, "data")
-    ordered.sortWithinPartitions("curve_shard", "_slot").drop("_slot").write.partitionBy("curve_shard").parquet(data)
+    ordered.sortWithinPartitions(shard, slot).drop(slot).write.partitionBy(shard).parquet(data)
     written = spark.read.parquet(data)
     dimensions = {"size": F.octet_length(F.coalesce("text", F.lit(""))) + 1} | {c: written[c] for c in ("lang", "source", "doc_id")}
-    narrow = written.select("curve_shard", F.col("_metadata.file_path").alias("file"), *[v.alias(k) for k, v in dimensions.items()])
+    narrow = written.select(
+        F.col(shard).alias("curve_shard"), F.col("_metadata.file_path").alias("file"), *[v.alias(k) for k, v in dimensions.items()]
+    )
     ranges = [f(c).alias(f"{name}_{c}") for c in dimensions for name, f in (("min", F.min), ("max", F.max))]
     manifest = narrow.groupBy("curve_shard", "file").agg(F.count(F.lit(1)).alias("n_rows"), *ranges)
     manifest.write.parquet(paths.join(folder, "manifest"))

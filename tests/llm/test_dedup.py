@@ -58,6 +58,23 @@ def test_state_carries_over_to_later_batches(spark):
     assert seen.group_size == 2 and seen.keep.doc_id == 3
 
 
+def test_a_batch_counts_once_and_is_decided_by_bytes(spark):
+    dedup = exact_dedup.Deduplicator(spark, new_path(spark, "test-state"))
+    first = tables.documents(spark, [(5, "a  b"), (6, "c"), (None, "only null")])
+    second = tables.documents(spark, [(3, "a b"), (9, "d"), (10, "c"), (11, None), (12, "")])
+    for batch in (first, first, second, second):
+        state = {r.text_sha256: r for r in dedup.add(batch).collect()}
+    assert sorted(r.group_size for r in state.values()) == [1, 1, 2, 2, 2]
+    found = tables.by_id(dedup.decide(second, _with_places(spark, first, second)))
+    assert {i: (r["keep_id"], r["kept"], r["group_size"]) for i, r in found.items()} == {
+        3: (3, True, 2), 9: (9, True, 1), 10: (6, False, 2), 11: (11, True, 2), 12: (11, False, 2),
+    }
+
+
+def _with_places(spark, *tables_):
+    return spark.read.parquet(*[f.rpartition("/")[0] for t in tables_ for f in t.inputFiles()[:1]])
+
+
 def near_brute(texts, words, percent):
     sets = []
     for t in texts:

@@ -220,3 +220,12 @@ def test_assembled_sequences_hold_every_word(spark):
     words = Counter(w for s in sequences for w in s["text"].split())
     assert words == Counter(w for t in texts for w in (t or "").split())
     assert all(s["n_tokens"] <= 32 for s in sequences)
+
+
+def test_shards_keep_columns_of_any_name(spark):
+    docs = tables.documents(spark, [f"text {i}" for i in range(40)]).selectExpr("*", "doc_id + 1 as curve_shard", "'s' as _slot", "2 as _own_place", "3 as _place")
+    folder = new_path(spark, "test-shards")
+    manifest = hilbert.write_shards(docs, folder, 4)
+    assert manifest.agg({"n_rows": "sum"}).first()[0] == 40
+    back = spark.read.parquet(f"{folder}/data")
+    assert {r.doc_id: r.curve_shard for r in back.collect()} == {i: i + 1 for i in range(40)}

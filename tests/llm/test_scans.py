@@ -162,3 +162,13 @@ def test_empty_tables(spark, benchmark_case):
     assert decontaminate.find_passages(docs.limit(0), benchmark_case[2]).count() == 0
     assert tables.rows(decontaminate.digest(decontaminate.find_passages(docs, none)))[0]["contaminated"] is False
     assert decontaminate.drop_contaminated(docs, none).count() == 1
+
+
+def test_cut_texts_keep_columns_of_any_name(spark):
+    docs = tables.documents(spark, ["x " + " ".join("abcdefghij") + " y", "clean", None]).selectExpr("*", "1 as spans", "'r' as _row", "2 as body", "3 as doc", "4 as n_hit")
+    items = spark.createDataFrame([(1, " ".join("abcdefghij"))], "item_id long, text string")
+    left = decontaminate.remove_passages(docs, items)
+    assert left.columns == docs.columns
+    rows = {r.doc_id: r for r in left.collect()}
+    assert [rows[i].text for i in range(3)] == ["x  y", "clean", None]
+    assert all((r.spans, r._row, r.body, r.doc, r.n_hit) == (1, "r", 2, 3, 4) for r in rows.values())
