@@ -665,7 +665,8 @@ ORACLES: dict[str, str] = {
     "sql_cohort": "SELECT * FROM {cohorts}",
     "cohort_wide": """
         SELECT * FROM (PIVOT (SELECT cohort_month, months_since, retention_rate FROM {cohorts})
-                       ON months_since USING first(retention_rate) GROUP BY cohort_month)""",
+                       ON months_since IN (""" + ", ".join(map(str, range(79))) + """)
+                       USING first(retention_rate) GROUP BY cohort_month)""",
     "category_analytics": "SELECT * FROM {categories}",
     "sql_category_analytics": "SELECT * FROM {categories}",
     "product_top_n": """
