@@ -564,6 +564,10 @@ ORACLES: dict[str, str] = {
     "src_input_inventory": _inventory(),
     "cat_register": "SELECT status, count(*) AS orders FROM {m_orders} WHERE created_at >= TIMESTAMP '1998-01-01' GROUP BY status",
     "cat_row_counts": _counts(CLEAN),
+    "src_malformed_records": """
+        SELECT 'orders' AS table_name, 'malformed_record' AS check_name, NULL::VARCHAR AS column_name, 'warning' AS severity,
+               n_bad, round(n_bad * 1000 / n_rows) / 1000 * 100 AS pct
+        FROM (SELECT count(*) FILTER (order_id % 50 = 0 OR order_id % 70 = 0) AS n_bad, count(*) AS n_rows FROM {m_orders})""",
     "sink_parquet_roundtrip": "SELECT * FROM {users}",
     "sink_contract_status": _contract_status(),
     "sink_regenerate": """SELECT 'monthly_kpis' AS output, 'ready' AS status, count(*) AS row_count FROM {kpis}
@@ -579,6 +583,10 @@ ORACLES: dict[str, str] = {
     "dq_bad_dates": _union(_bad_dates(ALL)),
     "dq_negative_values": _union(_negatives(ALL)),
     "dq_orphan_keys": _union(_orphans()),
+    "dq_missing_tables": _union(
+        _empty([t for t in ALL if t not in ("events", "inventory_items")]) + _orphans()
+        + [f"SELECT '{t}', 'missing_table', NULL, 'issue', 1::BIGINT, NULL::DOUBLE" for t in ("events", "inventory_items")]
+    ),
     "dq_owner_mismatch": _mismatch(),
     "dq_summary": _summary(),
     "clean_users": "SELECT * EXCLUDE (_k) FROM (SELECT *, NULL AS _k FROM {c_users})",

@@ -80,6 +80,18 @@ def src_csv_scan(m: Model) -> DataFrame:
     )
 
 
+@query
+def src_malformed_records(m: Model) -> DataFrame:
+    """Orders as text, every 50th without its last field and every 70th with one too many."""
+    folder = new_path(m.spark, "raw")
+    key = F.col("order_id").cast("string")
+    fields = F.when(F.col("order_id") % 50 == 0, key).when(F.col("order_id") % 70 == 0, F.concat(key, F.lit(",x,y")))
+    lines = m.orders.select(F.coalesce(fields, F.concat(key, F.lit(",complete"))).alias("order_id,status"))
+    lines.write.option("header", True).option("quote", "").csv(paths.join(folder, "orders.csv"))
+    _, counts = tables.stored_csv(m.spark, paths.join(folder, "orders.csv"), "orders")
+    return quality.finish(quality.record_checks({"orders": counts}))
+
+
 @query
 def src_load_all(m: Model) -> DataFrame:
     loaded = tables.load_all_tables(m.spark, _stored_raw(m, csv=("users", "events")))
@@ -189,6 +201,14 @@ def _narrowed(m: Model) -> dict[str, DataFrame]:
     return m.dirty | {"users": m.dirty["users"].drop("email"), "products": m.dirty["products"].drop("brand", "cost")}
 
 
+@query
+def dq_missing_tables(m: Model) -> DataFrame:
+    """The report of a set that lacks two tables: these are issues, references to them are not checked."""
+    present = {t: df for t, df in m.dirty.items() if t not in ("events", "inventory_items")}
+    checks = quality.all_checks(present)
+    return quality.finish(checks.filter(F.col("check_name").isin("missing_table", "empty_table", "orphan_key")))
+
+
 @query
 def dq_required_columns(m: Model) -> DataFrame:
     return quality.required_columns(_narrowed(m))

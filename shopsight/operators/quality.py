@@ -275,6 +275,15 @@ def reference_checks(tables: Tables) -> list[DataFrame]:
     return checks
 
 
+# --- records ----------------------------------------------------------------
+
+
+def record_checks(counts: dict[str, DataFrame]) -> DataFrame:
+    """Records that do not fit their table's columns, from (rows, n_bad) per table that was read as text."""
+    checks = F.array(_check("malformed_record", F.lit(None), WARNING, F.col("n_bad")))
+    return _union([df.select(F.lit(t).alias("table_name"), "rows", F.inline(checks)) for t, df in counts.items()])
+
+
 # --- reports ----------------------------------------------------------------
 
 
@@ -297,9 +306,12 @@ def all_checks(tables: Tables, required: list[str] = RAW_TABLES) -> DataFrame:
     return _union(frames)
 
 
-def quality_report(tables: Tables, required: list[str] = RAW_TABLES) -> DataFrame:
-    """All check rows of a table set."""
-    return finish(all_checks(tables, required))
+def quality_report(
+    tables: Tables, required: list[str] = RAW_TABLES, records: dict[str, DataFrame] | None = None
+) -> DataFrame:
+    """All check rows of a table set; `records` as in `record_checks`."""
+    checks = all_checks(tables, required)
+    return finish(checks.unionByName(record_checks(records)) if records else checks)
 
 
 def passed(report: DataFrame) -> bool:

@@ -48,18 +48,12 @@ class PipelineResult(NamedTuple):
     audit: DataFrame
 
 
-def staged(spark: SparkSession, raw_dir: str) -> dict[str, DataFrame]:
-    """Raw tables; CSV, which would be parsed anew by every check, is stored as Parquet."""
+def staged(spark: SparkSession, raw_dir: str) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """Raw tables; CSV, which would be parsed anew by every check, is stored as Parquet, and its records counted."""
     raw = tables.load_all_tables(spark, raw_dir)
-    stored = run_all(
-        spark,
-        {
-            t: lambda t=t, df=df: materialize(df, t)
-            for t, df in raw.items()
-            if tables.detect_format(spark, t, raw_dir) == "csv"
-        },
-    )
-    return raw | stored
+    csv = [t for t in raw if tables.detect_format(spark, t, raw_dir) == "csv"]
+    stored = run_all(spark, {t: lambda t=t: tables.stored_csv(spark, paths.join(raw_dir, f"{t}.csv"), t) for t in csv})
+    return raw | {t: df for t, (df, _) in stored.items()}, {t: counts for t, (_, counts) in stored.items()}
 
 
 def clean_tables(raw: dict[str, DataFrame], folder: str) -> tuple[dict[str, DataFrame], DataFrame]:
@@ -77,9 +71,9 @@ def clean_tables(raw: dict[str, DataFrame], folder: str) -> tuple[dict[str, Data
     return clean | {t: df for t, (df, _) in done.items()}, audit_table({t: row for t, (_, row) in done.items()}, spark)
 
 
-def validate(raw: dict[str, DataFrame]) -> DataFrame:
+def validate(raw: dict[str, DataFrame], records: dict[str, DataFrame] | None = None) -> DataFrame:
     """The stored check rows; raises when one of them fails validation."""
-    report = materialize(quality.quality_report(raw), "quality")
+    report = materialize(quality.quality_report(raw, records=records), "quality")
     if not quality.passed(report):
         raise ValidationFailed(report)
     return report
@@ -151,11 +145,11 @@ def run(
     """
     tune(spark)
     logger.info("Loading and validating %s", raw_dir)
-    raw = staged(spark, raw_dir)
+    raw, records = staged(spark, raw_dir)
     logger.info("Cleaning beside validation")
     folder = f"{output_dir.rstrip('/')}.tables-{uuid.uuid4().hex}"
     try:
-        checked = run_all(spark, {"report": lambda: validate(raw), "clean": lambda: clean_tables(raw, folder)})
+        checked = run_all(spark, {"report": lambda: validate(raw, records), "clean": lambda: clean_tables(raw, folder)})
     except BaseException:
         paths.delete(spark, folder)
         raise

@@ -6,11 +6,14 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shopsight.contracts import NULL_WORDS, RAW_TABLES
 from shopsight.sources import catalog, paths
+from shopsight.sources.scratch import materialize
 
 FORMATS = ("parquet", "csv")
+MALFORMED = "_malformed"
 
 
 def detect_format(spark: SparkSession, table: str, raw_dir: str) -> str | None:
@@ -24,16 +27,29 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, multi_line: bool = False, malformed: str | None = None) -> DataFrame:
     """Every column as text: no inference pass, the cleaners parse. NULL_WORDS become NULL.
 
-    `multi_line` reads quoted line breaks; files can then not be split over tasks.
+    `multi_line` reads quoted line breaks; files can then not be split over tasks. `malformed` names a further
+    column with the text of a record that has too few or too many fields, else NULL. Such a record is read as
+    far as it goes: missing fields are NULL, surplus ones are left out.
     """
-    reader = spark.read.option("header", True).option("inferSchema", False).option("escape", '"')
-    text = reader.option("multiLine", multi_line).csv(path)
-    return text.select(
-        *[F.when(~F.col(c).isin(*NULL_WORDS), F.col(c)).alias(c) for c in (catalog.quoted(n) for n in text.columns)]
-    ).toDF(*text.columns)
+    options = {"header": True, "inferSchema": False, "escape": '"', "multiLine": multi_line}
+    names = spark.read.options(**options).csv(path).columns
+    reader = spark.read.options(**options)
+    if malformed:
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, malformed]])
+        # Without this only the columns that a query asks for would be parsed, and no field would be missed.
+        reader = reader.schema(schema).options(columnNameOfCorruptRecord=malformed, mode="PERMISSIVE", columnPruning=False)
+    text = reader.csv(path)
+    plain = [F.when(~F.col(c).isin(*NULL_WORDS), F.col(c)) for c in (catalog.quoted(n) for n in names)]
+    return text.select(*plain, *([F.col(catalog.quoted(malformed))] if malformed else [])).toDF(*text.columns)
+
+
+def stored_csv(spark: SparkSession, path: str, label: str) -> tuple[DataFrame, DataFrame]:
+    """A CSV table parsed once and stored: its rows, and (rows, n_bad), the records with too few or too many fields."""
+    stored = materialize(read_csv(spark, path, malformed=MALFORMED), label)
+    return stored.drop(MALFORMED), stored.agg(F.count("*").alias("rows"), F.count(MALFORMED).alias("n_bad"))
 
 
 def load_table(spark: SparkSession, table: str, raw_dir: str, multi_line: bool = False) -> DataFrame:

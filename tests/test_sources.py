@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shopsight.contracts import RAW_TABLES, OutputContract
-from shopsight.operators import recommend
+from shopsight.operators import quality, recommend
 from shopsight.sources import catalog, concurrent, outputs, paths, scratch, tables
 from tests import tables as fixtures
 
@@ -359,3 +359,17 @@ def test_one_customer_reads_one_row_group(spark, folder):
     one = recommend.customer_recommendations(stored, 300, 3)
     assert one.count() == 1 and rows_read(one) <= max(sizes)
     assert rows_read(recommend.customer_recommendations(stored, 301, 3)) <= max(sizes)
+
+
+def test_malformed_csv_records_are_counted(spark, tmp_path):
+    """Short, long and empty-field records, quotes and blank lines; null words do not count."""
+    lines = ["id,name,age", "1,a,2", "2,b", "3,c,4,5", '4,"d ""q"", x",9', "5", "", "6,e,nan", "7,,"]
+    (tmp_path / "t.csv").write_text("\n".join(lines) + "\n")
+    rows, counts = tables.stored_csv(spark, str(tmp_path / "t.csv"), "t")
+    assert tuple(counts.first()) == (7, 3)
+    assert rows.columns == ["id", "name", "age"]
+    assert {r.id: (r.name, r.age) for r in rows.collect()} == {
+        "1": ("a", "2"), "2": ("b", None), "3": ("c", "4"), "4": ('d "q", x', "9"), "5": (None, None), "6": ("e", None), "7": (None, None),
+    }
+    check = quality.finish(quality.record_checks({"t": counts})).first()
+    assert (check.table_name, check.check_name, check.severity, check.n_bad) == ("t", "malformed_record", "warning", 3)
