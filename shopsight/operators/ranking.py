@@ -2,12 +2,11 @@
 
 `positions` gives each distinct value of one or more series the number of rows
 before it. Ties collapse first, with map-side combine, so a value held by a
-third of all rows is one row from there on. The distinct values are cut into
-buckets at boundaries taken from the data: the values with the lowest hashes, a
-choice that depends on the data alone, so that a re-run task sees the same
-buckets. Each bucket is ordered in its own task, and its offset comes from the
-bucket totals. Average ranks, scores, exact medians and exact splits all follow
-from the positions.
+third of all rows is one row from there on. The distinct values are stored, dealt by
+range to as many buckets of about `BUCKET_ROWS` as there need to be, and stored with
+their bucket, so that a re-run task sees the same ones. Each bucket is ordered in its
+own task, and its offset comes from the bucket totals. Average ranks, scores, exact
+medians and exact splits all follow from the positions.
 """
 
 from __future__ import annotations
@@ -18,8 +17,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from shopsight.sources.scratch import materialize
+
 SERIES, VALUE, TIES, BEFORE, TOTAL = "series", "value", "ties", "before", "total"
-SEARCH_STEPS = 10  # 2**10 - 1 boundaries
+BUCKET_ROWS = 1_000_000
 
 
 def stack(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
@@ -28,40 +29,21 @@ def stack(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     return df.select(F.inline(F.array(*pairs)))
 
 
-def _boundaries(histogram: DataFrame, steps: int) -> Column:
-    key = F.struct(SERIES, VALUE)
-    chosen = (
-        histogram.select(key.alias("key"), F.xxhash64(SERIES, VALUE).alias("hash"))
-        .orderBy("hash", "key")
-        .limit(2**steps - 1)
-    )
-    return chosen.agg(F.array_sort(F.collect_list("key")).alias("keys")).scalar()
-
-
-def _bucket(boundaries: str, steps: int) -> Column:
-    """Number of boundaries not above the row's key, by binary search."""
-    strides = F.array(*[F.lit(2**i) for i in reversed(range(steps))])
-    return F.aggregate(
-        strides,
-        F.lit(0),
-        lambda at, stride: F.when(
-            F.try_element_at(boundaries, at + stride) <= F.struct(SERIES, VALUE), at + stride
-        ).otherwise(at),
-    )
+def dealt(stacked: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """Stored distinct values (series, value, ties, bucket); buckets follow each other in order."""
+    histogram = materialize(stacked.groupBy(SERIES, VALUE).agg(F.count("*").alias(TIES)), "histogram")
+    buckets = 1 + histogram.count() // bucket_rows
+    ranged = histogram.repartitionByRange(buckets, SERIES, VALUE).withColumn("bucket", F.spark_partition_id())
+    return materialize(ranged, "histogram-buckets")
 
 
-def positions(stacked: DataFrame, steps: int = SEARCH_STEPS) -> DataFrame:
+def positions(stacked: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """(series, value) rows -> distinct values with ties, rows before, rows in total.
 
     The number of series must be small and fixed by the caller (metrics,
-    classes): the bucket totals, at most 2**steps + #series rows, are broadcast.
+    classes): the bucket totals, one row per bucket and series in it, are broadcast.
     """
-    histogram = stacked.groupBy(SERIES, VALUE).agg(F.count("*").alias(TIES))
-    bucketed = (
-        histogram.withColumn("boundaries", _boundaries(histogram, steps))
-        .withColumn("bucket", _bucket("boundaries", steps))
-        .drop("boundaries")
-    )
+    bucketed = dealt(stacked, bucket_rows)
     in_order = W.partitionBy(SERIES).orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
     offsets = (
         bucketed.groupBy(SERIES, "bucket")
@@ -91,7 +73,7 @@ def average_ranks(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
 
     Values must be equal exactly when they are meant to tie.
     """
-    ranked = positions(stack(df, columns)).withColumn("rank", average_rank())
+    ranked = materialize(positions(stack(df, columns)).select(SERIES, VALUE, average_rank().alias("rank")), "ranks")
 
     def attach(left: DataFrame, name: str) -> DataFrame:
         key = f"_{name}_key"

@@ -83,7 +83,7 @@ def average_ranks(rfm: DataFrame) -> DataFrame:
 def compute_rfm_scores(rfm: DataFrame) -> DataFrame:
     """`rfm` plus r_score, f_score, m_score and their sum.
 
-    `rfm` is read three times (boundaries, positions, result): pass a stored
+    `rfm` is read twice (positions, result): pass a stored
     table at scale. A null or non-finite metric fails the job.
     """
     _require(rfm, ["customer_id", *METRICS])

@@ -22,7 +22,7 @@ from shopsight.plans import customers
 from shopsight.session import tune
 from shopsight.sources import catalog, outputs, paths, tables
 from shopsight.sources.concurrent import run_all
-from shopsight.sources.scratch import materialize
+from shopsight.sources.scratch import materialize, run_folder
 
 logger = logging.getLogger(__name__)
 
@@ -155,7 +155,7 @@ def run(
         raise
     clean, audit = checked["clean"]
     logger.info("Computing outputs")
-    with outputs.Staging(spark, output_dir) as staging:
+    with run_folder(spark), outputs.Staging(spark, output_dir) as staging:
         staging.attach(paths.join(output_dir, TABLES), folder)
         models = compute_outputs(clean, staging, trees, depth, max_bins)
         churn_model.save_model(models.best, staging.attach(model_path or paths.join(output_dir, MODEL)))

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +19,7 @@ from pyspark.sql import functions as F
 from shopsight.sources import paths
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+RUN_FOLDER = "shopsight.run.folder"  # a property of the threads that work in it
 
 
 def root(spark: SparkSession) -> str:
@@ -32,7 +35,24 @@ def root(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    return paths.join(root(spark), f"{label}-{uuid.uuid4().hex}")
+    folder = spark.sparkContext.getLocalProperty(RUN_FOLDER) or root(spark)
+    return paths.join(folder, f"{label}-{uuid.uuid4().hex}")
+
+
+@contextmanager
+def run_folder(spark: SparkSession) -> Iterator[str]:
+    """Intermediate tables of this block, of its threads too, go to one folder, deleted at its end.
+
+    For work whose results are stored elsewhere or small: tables made inside cannot be read afterwards.
+    """
+    context, before = spark.sparkContext, spark.sparkContext.getLocalProperty(RUN_FOLDER)
+    folder = new_path(spark, "run")
+    context.setLocalProperty(RUN_FOLDER, folder)
+    try:
+        yield folder
+    finally:
+        context.setLocalProperty(RUN_FOLDER, before)
+        paths.delete(spark, folder)
 
 
 ROWS_PER_PART = 100_000

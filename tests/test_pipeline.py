@@ -5,6 +5,7 @@ import pytest
 from shopsight.contracts import OUTPUTS
 from shopsight.operators import reports
 from shopsight.plans import pipeline
+from shopsight.sources import paths, scratch
 from tests import tables
 
 
@@ -42,6 +43,10 @@ def test_audit_comes_with_the_stored_tables(spark, published):
         assert row.rows_in - sum(v for k, v in row.asDict().items() if k.startswith("dropped")) == row.rows_out
 
 
+def test_intermediate_tables_of_a_run_are_deleted(spark, published):
+    assert [n for n, _ in paths.children(spark, scratch.root(spark)) if n.startswith("run-")] == []
+
+
 def test_recommendations_respect_history(spark, published):
     _, folder = published
     recs = spark.read.parquet(str(folder / "out" / "recommendations.parquet"))

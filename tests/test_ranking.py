@@ -22,8 +22,8 @@ def test_ranks_equal_pandas_for_every_bucket_count(spark):
     values = [float(rng.choice([0, 1, 1, rng.randrange(400)])) for _ in range(1500)]
     expected = pd.Series(values).rank(method="average")
     df = with_values(spark, values)
-    for steps in (1, 3, 10):
-        placed = ranking.positions(ranking.stack(df, {"v": F.col("v")}), steps).select(
+    for bucket_rows in (1, 3, 10):  # from one bucket a value on
+        placed = ranking.positions(ranking.stack(df, {"v": F.col("v")}), bucket_rows).select(
             "value", ranking.average_rank().alias("rank"), "total"
         )
         got = {r.value: (r.rank, r.total) for r in placed.collect()}
@@ -72,3 +72,22 @@ def test_first_per_key_prunes_before_the_shuffle(spark, hot_share):
     unique = ranking.first_per_key(df, "k")
     assert unique.count() == 601 and unique.filter("k = 0").first().x == 0
     assert "WindowGroupLimit" in unique._jdf.queryExecution().executedPlan().toString()
+
+
+def test_buckets_grow_with_the_values_and_stay_small(spark):
+    """Twenty times the values make twenty times the buckets, none far larger than asked for."""
+    for n in (2_000, 40_000):
+        df = spark.range(n).select((F.col("id") * 7 % n).cast("double").alias("v"))
+        sizes = [r["count"] for r in ranking.dealt(ranking.stack(df, {"a": F.col("v")}), 1_000).groupBy("bucket").count().collect()]
+        assert n / 2_000 <= len(sizes) <= n / 1_000 + 1 and max(sizes) <= 3_000
+
+
+def test_three_ranks_take_few_exchanges(spark):
+    df = spark.range(500).select("id", *[(F.col("id") * k % 97).cast("double").alias(f"m{k}") for k in (3, 5, 7)])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ranked = ranking.average_ranks(df, {f"m{k}": F.col(f"m{k}") for k in (3, 5, 7)})
+        assert ranked._jdf.queryExecution().executedPlan().toString().count("Exchange ") <= 9
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -373,3 +373,19 @@ def test_malformed_csv_records_are_counted(spark, tmp_path):
     }
     check = quality.finish(quality.record_checks({"t": counts})).first()
     assert (check.table_name, check.check_name, check.severity, check.n_bad) == ("t", "malformed_record", "warning", 3)
+
+
+def test_run_folder_holds_what_its_threads_store_and_goes_at_the_end(spark):
+    with scratch.run_folder(spark) as run:
+        one = scratch.materialize(spark.range(3), "inside")
+        two = concurrent.run_all(spark, {"t": lambda: scratch.materialize(spark.range(4), "thread")})["t"]
+        assert all(run.replace("file:", "") in df.inputFiles()[0].replace("file://", "") for df in (one, two))
+        with scratch.run_folder(spark) as inner:
+            assert inner.startswith(run)
+        assert scratch.new_path(spark, "x").startswith(run)
+    assert not paths.exists(spark, run)
+    assert not scratch.new_path(spark, "x").startswith(run)
+    with pytest.raises(KeyError), scratch.run_folder(spark) as failed:
+        scratch.materialize(spark.range(3), "inside")
+        raise KeyError
+    assert not paths.exists(spark, failed)
