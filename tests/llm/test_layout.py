@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from shopsight.llm import hilbert, packing, queries, warc
+from shopsight.llm import hilbert, minhash, packing, warc
 from shopsight.sources import paths
 from shopsight.sources.scratch import materialize, new_path
 from tests.llm import tables
@@ -198,15 +198,16 @@ def test_packed_documents(spark, extra):
         assert len(set(sources)) == len(sources) and len(set(copies)) == len(copies)
 
 
-def test_near_copies_share_no_sequence(spark, monkeypatch):
+def test_near_copies_share_no_sequence(spark):
+    """Near duplicates that the caller knows are clusters; without them only exact copies are."""
     random_ = random.Random(8)
     base = [tables.sentence(random_, 100).split() for _ in range(4)]
     texts = [" ".join([*b[:-1], f"end{k}"]) for k in range(6) for b in base]  # last word changed, sources differ
     docs = tables.documents(spark, texts).withColumn("source", F.lit(None).cast("string"))
     docs = materialize(docs.coalesce(1), "near-copies")
-    monkeypatch.setattr(queries, "read_table", lambda *_: docs)
+    near = minhash.find_groups(docs).select("file_path", "row_index", F.col("component_id").alias("cluster"))
     bins = defaultdict(list)
-    for row in tables.rows(queries.QUERIES["op10_packing"](spark, "")):
+    for row in tables.rows(packing.pack_documents(docs, clusters=near)):
         bins[row["bin_id"]].append(row["doc_id"] % 4)
     assert sum(map(len, bins.values())) == 24 and max(map(len, bins.values())) > 1
     assert all(len(set(held)) == len(held) for held in bins.values())

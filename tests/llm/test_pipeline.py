@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_registered_queries():
     found = contract.queries()
-    assert [f"op{n}" for n in range(1, 11)] == sorted({n.split("_")[0] for n in queries.QUERIES}, key=lambda n: int(n[2:]))
+    assert [f"op{n}" for n in range(1, 14)] == sorted({n.split("_")[0] for n in queries.QUERIES}, key=lambda n: int(n[2:]))
     assert set(queries.QUERIES) | {"pipeline"} <= set(found)
     assert set(queries.ORACLES) <= set(contract.oracle_sql())
 
