@@ -10,4 +10,4 @@ def test_bytes_of_a_task_are_bounded(spark):
         own.conf.set(key, "2MB")
         session.tune(own)
         assert session._bytes(own.conf.get(key)) == 2 << 20
-    assert "spark.sql.adaptive.advisoryPartitionSizeInBytes" in session.MOST_BYTES
+    assert {"spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes"} == set(session.MOST_BYTES)
