@@ -111,6 +111,16 @@ def prepared(features: DataFrame, columns: list[str]) -> DataFrame:
     return features.select(*others, *inputs)
 
 
+def stored_part(part: DataFrame, columns: list[str]) -> DataFrame:
+    """Model inputs of one part of a split, stored: every pass of a fit would settle the split anew."""
+    return materialize(prepared(part, columns).select("user_id", "churned", *columns), "churn-part")
+
+
+def dealt_evenly(train: DataFrame) -> DataFrame:
+    """At most as many parts as cores: each sends the statistics of all nodes of all trees at every level."""
+    return train.coalesce(train.sparkSession.sparkContext.defaultParallelism)
+
+
 def balanced_weight(train: DataFrame) -> Column:
     """Weight that gives both classes the same total."""
     row = train.agg(F.count_if(F.col("churned") == 1), F.count_if(F.col("churned") == 0)).first()
@@ -160,7 +170,7 @@ def fit_forest(
     train: DataFrame, columns: list[str], trees: int = 200, depth: int = FOREST_DEPTH, max_bins: int = FOREST_BINS
 ) -> PipelineModel:
     """Random forest of balanced classes; `depth` at most 30, `max_bins` split candidates per feature."""
-    weighted = train.withColumn("weight", balanced_weight(train))
+    weighted = dealt_evenly(train).withColumn("weight", balanced_weight(train))
     return fit(
         columns,
         RandomForestClassifier(
@@ -229,8 +239,7 @@ def train_churn_models(
     """
     check_training_data(features)
     available = [c for c in columns if c in features.columns]
-    train, test = (prepared(part, available) for part in stratified_split(features))
-    train, test = train.persist(), test.persist()
+    train, test = (stored_part(part, available) for part in stratified_split(features))
     fits = {
         LOGISTIC: lambda: fit_logistic(train, available),
         FOREST: lambda: fit_forest(train, available, trees, depth, max_bins),
@@ -240,11 +249,7 @@ def train_churn_models(
         model = fits[name]()
         return model, evaluate(model, test)
 
-    try:
-        done = run_all(features.sparkSession, {name: lambda n=name: fit_and_evaluate(n) for name in fits})
-    finally:
-        train.unpersist()
-        test.unpersist()
+    done = run_all(features.sparkSession, {name: lambda n=name: fit_and_evaluate(n) for name in fits})
     models = {name: model for name, (model, _) in done.items()}
     metrics = {name: measured for name, (_, measured) in done.items()}
     return ChurnModels(models, metrics, available)

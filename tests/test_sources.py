@@ -232,6 +232,13 @@ def test_spread_tables_grow_with_their_rows(spark, monkeypatch):
     assert stored.count() == 200 and 15 <= len(stored.inputFiles()) <= 20
 
 
+def test_spread_tables_fill_all_cores(spark, monkeypatch):
+    """Of 5 parts on 4 cores, one would run alone after the others."""
+    monkeypatch.setattr(scratch, "ROWS_PER_PART", 1000)
+    stored = scratch.materialize(spark.range(4500).withColumnRenamed("id", "key"), "spread", spread_by="key")
+    assert stored.count() == 4500 and len(stored.inputFiles()) == 8
+
+
 class Lost(BaseException):
     """The process ends here: nothing after it runs, no handler for errors either."""
 
