@@ -675,6 +675,10 @@ ORACLES: dict[str, str] = {
         SELECT * FROM (PIVOT (SELECT cohort_month, months_since, retention_rate FROM {cohorts})
                        ON months_since IN (""" + ", ".join(map(str, range(79))) + """)
                        USING first(retention_rate) GROUP BY cohort_month)""",
+    "cohort_wide_cells": """
+        SELECT m.cohort_month, o.months_since, c.retention_rate
+        FROM (SELECT DISTINCT cohort_month FROM {cohorts}) m CROSS JOIN (SELECT DISTINCT months_since FROM {cohorts}) o
+        LEFT JOIN {cohorts} c ON c.cohort_month = m.cohort_month AND c.months_since = o.months_since""",
     "category_analytics": "SELECT * FROM {categories}",
     "sql_category_analytics": "SELECT * FROM {categories}",
     "product_top_n": """
